@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference is a batch job: it has no stream source, watermark, window or
+state, so there is nothing to rebuild here.  Every operator in this library
+is a plain DataFrame transformation, so a fitted ``FeatureModel.pipeline`` and
+a fitted MLlib model can be applied unchanged to a ``readStream`` frame by a
+caller; no stream-specific code is needed for that.
+"""
