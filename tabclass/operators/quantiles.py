@@ -62,8 +62,23 @@ def _window(base: DataFrame, lo, hi) -> DataFrame:
     return base if cond is None else base.where(cond)
 
 
+def _kth_from_pairs(pairs, k: int, below: int):
+    cum = below
+    for row in pairs:
+        cum += row["count"]
+        if cum >= k:
+            return row[_Q]
+    raise RuntimeError("rank outside the candidate window")  # pragma: no cover
+
+
+def _collect_pairs(win: DataFrame, max_collect: int):
+    """(value, count) pairs of a window, ordered, or None if more than the bound."""
+    pairs = win.groupBy(_Q).count().orderBy(_Q).limit(max_collect + 1).collect()
+    return pairs if len(pairs) <= max_collect else None
+
+
 def _kth_smallest(
-    base: DataFrame, k: int, n: int, max_collect: int, relative_error: float
+    base: DataFrame, k: int, n: int, max_collect: int, relative_error: float, bracket=None
 ):
     lo = hi = None
     below = 0  # rows strictly below the window
@@ -72,24 +87,20 @@ def _kth_smallest(
     margin = 2.0 * relative_error
     while True:
         win = _window(base, lo, hi)
-        local = (k - below) / size
-        p_lo, p_hi = max(0.0, local - margin), min(1.0, local + margin)
-        stats = win.agg(
-            F.approx_count_distinct(_Q).alias("nd"),
-            F.percentile_approx(_Q, [p_lo, p_hi], accuracy).alias("br"),
-        ).first()
-        if size <= max_collect or stats["nd"] <= max_collect // 2:
-            pairs = (
-                win.groupBy(_Q).count().orderBy(_Q).limit(max_collect + 1).collect()
-            )
-            if len(pairs) <= max_collect:
-                cum = below
-                for row in pairs:
-                    cum += row["count"]
-                    if cum >= k:
-                        return row[_Q]
-                raise RuntimeError("rank outside the candidate window")  # pragma: no cover
-        q_lo, q_hi = stats["br"]
+        if bracket is None:
+            local = (k - below) / size
+            p_lo, p_hi = max(0.0, local - margin), min(1.0, local + margin)
+            stats = win.agg(
+                F.approx_count_distinct(_Q).alias("nd"),
+                F.percentile_approx(_Q, [p_lo, p_hi], accuracy).alias("br"),
+            ).first()
+            if size <= max_collect or stats["nd"] <= max_collect // 2:
+                pairs = _collect_pairs(win, max_collect)
+                if pairs is not None:
+                    return _kth_from_pairs(pairs, k, below)
+            bracket = stats["br"]
+        q_lo, q_hi = bracket
+        bracket = None
         counts = win.agg(
             F.count(F.when(F.col(_Q) < F.lit(q_lo), 1)).alias("lt"),
             F.count(F.when(F.col(_Q) <= F.lit(q_hi), 1)).alias("le"),
@@ -111,17 +122,38 @@ def exact_quantiles(
     max_collect: int = 50_000,
     relative_error: float = 1e-3,
 ) -> list:
-    """Exact ``percentile_disc`` values of ``column`` (NULL and NaN ignored)."""
+    """Exact ``percentile_disc`` values of ``column`` (NULL and NaN ignored).
+
+    First pass: row count, approximate distinct count and a GK bracket around
+    every wanted rank, in one aggregation.  If the whole column has few
+    distinct values, one more job collects its (value, count) pairs and
+    answers every probability; otherwise each rank is narrowed separately.
+    """
     _check_probabilities(probabilities)
     base = _values(df, column)
-    n = base.count()
+    accuracy = max(1, int(round(1.0 / relative_error)))
+    margin = 2.0 * relative_error
+    probes = []
+    for p in probabilities:
+        probes += [max(0.0, p - margin), min(1.0, p + margin)]
+    stats = base.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct(_Q).alias("nd"),
+        F.percentile_approx(_Q, probes, accuracy).alias("br"),
+    ).first()
+    n = stats["n"]
     if n == 0:
         return [None for _ in probabilities]
-    out = []
-    for p in probabilities:
-        k = min(n, max(1, math.ceil(p * n)))
-        out.append(_kth_smallest(base, k, n, max_collect, relative_error))
-    return out
+    ks = [min(n, max(1, math.ceil(p * n))) for p in probabilities]
+    if n <= max_collect or stats["nd"] <= max_collect // 2:
+        pairs = _collect_pairs(base, max_collect)
+        if pairs is not None:
+            return [_kth_from_pairs(pairs, k, 0) for k in ks]
+    br = stats["br"]
+    return [
+        _kth_smallest(base, k, n, max_collect, relative_error, bracket=(br[2 * i], br[2 * i + 1]))
+        for i, k in enumerate(ks)
+    ]
 
 
 def quantile_cut_points(

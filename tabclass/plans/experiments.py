@@ -29,6 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabclass.operators.columns import infer_column_roles
 from tabclass.operators.features import FEATURES_COL, LABEL_COL, build_features
 from tabclass.operators.partitioning import materialize, repartition_rows
 from tabclass.operators.split import (
@@ -89,36 +90,50 @@ def experiment_grid(datasets: Sequence[str], classifiers: Sequence[str]) -> list
 
 
 def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple[DataFrame, object]:
-    """Normalised rows -> (materialised (keys, label, features, split), feature model)."""
+    """Normalised rows -> (materialised (keys, label, features, split), feature model).
+
+    The normalised rows are materialised once, pruned to the columns the
+    model uses, so the vocabulary fit and the feature transform read that
+    copy instead of re-running the normalisation; the copy is released as
+    soon as the feature table is filled.
+    """
     df = ds.load(spark)
     if cfg.partitions is not None:
         df = repartition_rows(df, cfg.partitions)
     keys = list(ds.keys)
+    roles = infer_column_roles(df.schema, ds.target, ds.numeric, ds.categorical, exclude=keys)
+    used = [*keys, *roles.numeric, *roles.categorical, ds.target]
+    df = df.select(*used)
     if cfg.split_method == "hash":
         flagged = hash_split(df, keys, cfg.train_ratio)
     elif cfg.split_method == "stratified":
         flagged = stratified_split(df, keys, ds.target, cfg.train_ratio)
-    else:
-        flagged = None
-    if flagged is not None:
-        fit_df = flagged.where(F.col(SPLIT_COL) == "train") if cfg.fit_scope == "train" else None
-        feats, model = build_features(
-            flagged, ds.target, ds.numeric, ds.categorical,
-            exclude=[*keys, SPLIT_COL], fit_df=fit_df, max_categories=cfg.max_categories,
-        )
-        table = feats.select(*keys, LABEL_COL, FEATURES_COL, SPLIT_COL)
     else:
         if cfg.fit_scope == "train":
             raise ValueError("fit_scope='train' needs a hash or stratified split")
-        feats, model = build_features(
-            df, ds.target, ds.numeric, ds.categorical, exclude=keys, max_categories=cfg.max_categories
-        )
-        base = feats.select(*keys, LABEL_COL, FEATURES_COL)
-        train, test = random_split(base, cfg.train_ratio, cfg.seed)
-        table = train.withColumn(SPLIT_COL, F.lit("train")).unionByName(
-            test.withColumn(SPLIT_COL, F.lit("test"))
-        )
-    return materialize(table, cfg.materialize), model
+        base = df
+        flagged = None
+    rows = materialize(flagged if flagged is not None else base, cfg.materialize)
+    try:
+        if flagged is not None:
+            fit_df = rows.where(F.col(SPLIT_COL) == "train") if cfg.fit_scope == "train" else None
+            feats, model = build_features(
+                rows, ds.target, roles.numeric, roles.categorical,
+                exclude=[*keys, SPLIT_COL], fit_df=fit_df, max_categories=cfg.max_categories,
+            )
+            table = feats.select(*keys, LABEL_COL, FEATURES_COL, SPLIT_COL)
+        else:
+            feats, model = build_features(
+                rows, ds.target, roles.numeric, roles.categorical, exclude=keys, max_categories=cfg.max_categories
+            )
+            train, test = random_split(feats.select(*keys, LABEL_COL, FEATURES_COL), cfg.train_ratio, cfg.seed)
+            table = train.withColumn(SPLIT_COL, F.lit("train")).unionByName(
+                test.withColumn(SPLIT_COL, F.lit("test"))
+            )
+        out = materialize(table, cfg.materialize)
+    finally:
+        rows.unpersist()
+    return out, model
 
 
 def _row(ds: str, clf: str, cfg: RunConfig, metrics: dict | None, error: str | None) -> dict:
