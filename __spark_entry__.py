@@ -289,14 +289,15 @@ def scores_sql(pred: str = "pred") -> str:
     """accuracy and weighted F1 (MLlib MulticlassMetrics) from a (label, prediction) relation."""
     return f"""
 cm AS (SELECT label, prediction, count(*) AS n FROM {pred} GROUP BY 1, 2),
-act AS (SELECT label AS cl, sum(n) AS support, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM cm GROUP BY 1),
-prd AS (SELECT prediction AS cl, sum(n) AS predicted FROM cm GROUP BY 1),
+act AS (SELECT label AS cl, CAST(sum(n) AS BIGINT) AS support,
+               CAST(sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS BIGINT) AS tp FROM cm GROUP BY 1),
+prd AS (SELECT prediction AS cl, CAST(sum(n) AS BIGINT) AS predicted FROM cm GROUP BY 1),
 pc AS (SELECT act.cl, support, tp, COALESCE(predicted, 0) AS predicted,
               CASE WHEN COALESCE(predicted, 0) > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS p,
               CAST(tp AS DOUBLE) / support AS r FROM act LEFT JOIN prd ON act.cl = prd.cl),
 f AS (SELECT *, CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END AS f1 FROM pc),
 sc2 AS (SELECT CAST(sum(tp) AS DOUBLE) / sum(support) AS accuracy,
-               sum(f1 * support) / sum(support) AS weighted_f1, sum(support) AS n FROM f)"""
+               sum(f1 * support) / sum(support) AS weighted_f1, CAST(sum(support) AS BIGINT) AS n FROM f)"""
 
 
 SALARY_FEATS = features_ctes(*EXPERIMENTS["part_salary"][:5])

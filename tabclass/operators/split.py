@@ -16,7 +16,8 @@
   small count table finds, per class, the one bucket that holds the boundary;
   only the rows of those boundary buckets (about n_c / 65536 per class) are
   ranked to find the exact (hash, key) threshold; and the final flag is a
-  per-row comparison against a handful of literals.
+  per-row comparison with the threshold of the row's class, brought in by a
+  broadcast join of a table with one row per class (size checked).
 """
 from __future__ import annotations
 
@@ -81,59 +82,59 @@ def stratified_split(
     ratio: float = DEFAULT_TRAIN_RATIO,
     column: str = SPLIT_COL,
 ) -> DataFrame:
-    """Exact per-class ratio; see the module docstring for the plan."""
+    """Exact per-class ratio; see the module docstring for the plan.
+
+    The two small tables that travel back to the rows (one boundary bucket and
+    one (hash, key) threshold per class) have at most ``MAX_STRATA`` rows, a
+    bound checked before they are broadcast.
+    """
     _check_ratio(ratio)
     keys = [keys] if isinstance(keys, str) else list(keys)
+    spark = df.sparkSession
     order_key = key_text(keys) if len(keys) > 1 else F.col(keys[0])
-    base = df.withColumn("_h", key_hash32(keys)).withColumn("_b", F.shiftright("_h", 32 - BUCKET_BITS))
+    base = (
+        df.withColumn("_h", key_hash32(keys))
+        .withColumn("_b", F.shiftright("_h", 32 - BUCKET_BITS))
+        .withColumn("_o", order_key)
+    )
 
     # 1. counts per (class, bucket): partial aggregation, only counts shuffle.
     counts = base.groupBy(F.col(stratum).alias("_s"), "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wc = Window.partitionBy("_s")
     per_bucket = (
         counts.withColumn("_cum", F.sum("_n").over(w))
-        .withColumn("_tot", F.sum("_n").over(wc))
+        .withColumn("_tot", F.sum("_n").over(Window.partitionBy("_s")))
         .withColumn("_k", F.round(F.col("_tot") * F.lit(float(ratio))).cast("bigint"))
     )
-    boundary = (
-        per_bucket.where((F.col("_cum") - F.col("_n") < F.col("_k")) & (F.col("_k") <= F.col("_cum")))
-        .select("_s", "_b", (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_r"))
-        .limit(MAX_STRATA + 1)
-        .collect()
-    )
-    if len(boundary) > MAX_STRATA:
+    boundary_q = per_bucket.where(
+        (F.col("_cum") - F.col("_n") < F.col("_k")) & (F.col("_k") <= F.col("_cum"))
+    ).select("_s", "_b", (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_r"))
+    boundary_rows = boundary_q.limit(MAX_STRATA + 1).collect()
+    if len(boundary_rows) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata in {stratum!r}")
-    if not boundary:
+    if not boundary_rows:
         return df.withColumn(column, F.lit("test"))
+    boundary = F.broadcast(spark.createDataFrame(boundary_rows, boundary_q.schema))
 
     # 2. rank only the rows of each class's boundary bucket.
-    in_boundary = None
-    for r in boundary:
-        cond = F.col(stratum).eqNullSafe(F.lit(r["_s"])) & (F.col("_b") == F.lit(r["_b"]))
-        in_boundary = cond if in_boundary is None else in_boundary | cond
-    rank_w = Window.partitionBy(F.col(stratum)).orderBy("_h", order_key)
-    wanted = {(r["_s"], r["_b"]): r["_r"] for r in boundary}
-    ranked = (
-        base.where(in_boundary)
-        .select(F.col(stratum).alias("_s"), "_b", "_h", order_key.alias("_o"), F.row_number().over(rank_w).alias("_rn"))
+    cand = base.select(F.col(stratum).alias("_cs"), "_b", "_h", "_o").join(
+        boundary, F.col("_cs").eqNullSafe(F.col("_s")) & (base["_b"] == boundary["_b"])
+    )
+    rank_w = Window.partitionBy("_s").orderBy("_h", "_o")
+    threshold_q = (
+        cand.withColumn("_rn", F.row_number().over(rank_w))
+        .where(F.col("_rn") == F.col("_r"))
+        .select("_s", F.col("_h").alias("_th"), F.col("_o").alias("_to"))
     )
-    pick = None
-    for (s, b), r in wanted.items():
-        cond = F.col("_s").eqNullSafe(F.lit(s)) & (F.col("_rn") == F.lit(r))
-        pick = cond if pick is None else pick | cond
-    thresholds = ranked.where(pick).select("_s", "_h", "_o").collect()
+    thresholds = F.broadcast(spark.createDataFrame(threshold_q.collect(), threshold_q.schema))
 
     # 3. per-row flag: (hash, key) <= the class threshold.  Classes with k = 0
     #    have no threshold and go wholly to test.
-    flag = None
-    for t in thresholds:
-        cond = F.col(stratum).eqNullSafe(F.lit(t["_s"])) & (
-            (F.col("_h") < F.lit(t["_h"])) | ((F.col("_h") == F.lit(t["_h"])) & (order_key <= F.lit(t["_o"])))
-        )
-        flag = cond if flag is None else flag | cond
-    out = base.withColumn(column, F.when(flag, F.lit("train")).otherwise(F.lit("test")) if flag is not None else F.lit("test"))
-    return out.drop("_h", "_b")
+    flagged = base.join(thresholds, F.col(stratum).eqNullSafe(F.col("_s")), "left")
+    in_train = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & (F.col("_o") <= F.col("_to")))
+    return flagged.withColumn(
+        column, F.when(F.coalesce(in_train, F.lit(False)), F.lit("train")).otherwise(F.lit("test"))
+    ).drop("_h", "_b", "_o", "_s", "_th", "_to")
 
 
 def split_frames(df: DataFrame, column: str = SPLIT_COL) -> tuple[DataFrame, DataFrame]:
