@@ -16,14 +16,37 @@ from tabclass.operators.split import DEFAULT_SEED
 
 # Fixed values that must equal the reference: forest 100 trees of depth 10,
 # tree depth 10, seed 42, Gaussian naive Bayes.
-def random_forest(num_trees: int = 100, max_depth: int = 10, seed: int = DEFAULT_SEED) -> RandomForestClassifier:
+#
+# ``cache_node_ids`` / ``checkpoint_interval`` / ``max_memory_mb`` do not
+# change the model, only how MLlib trains it: for deep trees over very large
+# inputs, caching node ids (checkpointed to the shared checkpoint folder every
+# ``checkpoint_interval`` iterations) avoids re-walking the trees for every
+# row at each level, and more memory lets more nodes split per pass.
+def random_forest(
+    num_trees: int = 100,
+    max_depth: int = 10,
+    seed: int = DEFAULT_SEED,
+    cache_node_ids: bool = False,
+    checkpoint_interval: int = 10,
+    max_memory_mb: int = 256,
+) -> RandomForestClassifier:
     return RandomForestClassifier(
-        featuresCol=FEATURES_COL, labelCol=LABEL_COL, numTrees=num_trees, maxDepth=max_depth, seed=seed
+        featuresCol=FEATURES_COL, labelCol=LABEL_COL, numTrees=num_trees, maxDepth=max_depth, seed=seed,
+        cacheNodeIds=cache_node_ids, checkpointInterval=checkpoint_interval, maxMemoryInMB=max_memory_mb,
     )
 
 
-def decision_tree(max_depth: int = 10, seed: int = DEFAULT_SEED) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(featuresCol=FEATURES_COL, labelCol=LABEL_COL, maxDepth=max_depth, seed=seed)
+def decision_tree(
+    max_depth: int = 10,
+    seed: int = DEFAULT_SEED,
+    cache_node_ids: bool = False,
+    checkpoint_interval: int = 10,
+    max_memory_mb: int = 256,
+) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(
+        featuresCol=FEATURES_COL, labelCol=LABEL_COL, maxDepth=max_depth, seed=seed,
+        cacheNodeIds=cache_node_ids, checkpointInterval=checkpoint_interval, maxMemoryInMB=max_memory_mb,
+    )
 
 
 def naive_bayes() -> NaiveBayes:

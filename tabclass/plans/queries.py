@@ -47,7 +47,7 @@ from tabclass.plans.results import sweep_speedup, time_by_classifier, total_time
 from tabclass.session import scratch_path
 from tabclass.sources.catalog import DatasetSpec, catalog_frame
 from tabclass.sources.files import read_csv, write_csv
-from tabclass.sources.metrics_store import MetricsSink, metrics_frame, read_metrics
+from tabclass.sources.metrics_store import MetricsSink, metrics_frame, read_metrics, run_folder
 
 DIGITS = 6
 
@@ -442,7 +442,7 @@ def q_metrics_sink(spark: SparkSession, sf: str) -> DataFrame:
 def q_results_union(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "runs")
     for p in (2, 4):
-        _sink_run(spark, sf, f"{base}/experiments_w1_p{p}", p, [S.salary_experiment(sf)])
+        _sink_run(spark, sf, run_folder(base, 1, p), p, [S.salary_experiment(sf)])
     return _quality(read_metrics(spark, f"{base}/experiments_w*", "csv"))
 
 

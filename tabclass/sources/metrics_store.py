@@ -44,6 +44,11 @@ class MetricsSink:
         return read_metrics(self.spark, self.path, self.fmt)
 
 
+def run_folder(base: str, workers: int, partitions: int) -> str:
+    """Folder of one run, named as the reference names its CSVs: experiments_w{W}_p{P}."""
+    return f"{base.rstrip('/')}/experiments_w{workers}_p{partitions}"
+
+
 def read_metrics(spark: SparkSession, paths: str | list[str], fmt: str = "parquet") -> DataFrame:
     """All metrics rows from one or many run folders (globs allowed), unioned.
 
