@@ -49,9 +49,15 @@ def random_split(
 
 
 def key_text(keys: Sequence[str]) -> Column:
+    """Text of the row key.  Several columns are joined with '|', NULL written
+    as ``\\N`` so that (a, NULL, b) and (a, b, NULL) differ.  With no key at all
+    (datasets without an id), pass every column: the whole row is the key, and
+    identical rows simply land on the same side."""
+    if not keys:
+        raise ValueError("need at least one key column")
     if len(keys) == 1:
         return F.col(keys[0]).cast("string")
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys])
 
 
 def key_hash32(keys: Sequence[str]) -> Column:

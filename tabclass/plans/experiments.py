@@ -104,10 +104,11 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
     roles = infer_column_roles(df.schema, ds.target, ds.numeric, ds.categorical, exclude=keys)
     used = [*keys, *roles.numeric, *roles.categorical, ds.target]
     df = df.select(*used)
+    split_keys = keys or used  # no id column: the whole (used) row is the key
     if cfg.split_method == "hash":
-        flagged = hash_split(df, keys, cfg.train_ratio)
+        flagged = hash_split(df, split_keys, cfg.train_ratio)
     elif cfg.split_method == "stratified":
-        flagged = stratified_split(df, keys, ds.target, cfg.train_ratio)
+        flagged = stratified_split(df, split_keys, ds.target, cfg.train_ratio)
     else:
         if cfg.fit_scope == "train":
             raise ValueError("fit_scope='train' needs a hash or stratified split")

@@ -1,0 +1,29 @@
+import os
+
+from tabclass.__main__ import main
+
+
+def _salary_csv(root):
+    d = os.path.join(root, "data/raw/job_salary")
+    os.makedirs(d, exist_ok=True)
+    lines = ["job_title,experience_years,education_level,skills_count,industry,company_size,location,remote_work,certifications,salary"]
+    for i in range(120):
+        lines.append(f"J{i % 4},{i % 10},E{i % 3},{i % 7},I{i % 2},S{i % 3},L{i % 5},{'Yes' if i % 2 else 'No'},{i % 3},{1000 + (i % 4) * 500 + i}")
+    with open(os.path.join(d, "job_salary_prediction_dataset.csv"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_cli_experiments_and_smoke(spark, tmp_dir, capsys):
+    _salary_csv(tmp_dir)
+    results = os.path.join(tmp_dir, "results")
+    rc = main([
+        "experiments", "--dataset", "job_salary", "--classifier", "naive_bayes",
+        "--workers", "2", "--partitions", "2", "--data-root", tmp_dir, "--results", results,
+    ])
+    assert rc == 0
+    back = spark.read.option("header", "true").csv(os.path.join(results, "experiments_w2_p2"))
+    row = back.first()
+    assert row["dataset"] == "job_salary" and row["status"] == "ok" and float(row["accuracy"]) > 0.3
+    assert main(["job_salary", "--data-root", tmp_dir]) == 0  # default subcommand is smoke
+    out = capsys.readouterr().out
+    assert "job_salary" in out and "salary_category" in out
