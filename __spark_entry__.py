@@ -358,6 +358,21 @@ FROM information_schema.columns WHERE table_name = '{table}'"""
 FROM ({' UNION ALL '.join(blocks)})"""
 
 
+def _schema_sql() -> str:
+    blocks = []
+    for name, (rec, _k, target, _n, _c) in EXPERIMENTS.items():
+        if name == "lineitem_matches":
+            rec = RECIPE_MATCHES
+        blocks.append(
+            f"""SELECT '{name}' AS dataset, CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column",
+       CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+                        WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS data_type,
+       column_name = '{target}' AS is_target
+FROM (DESCRIBE {rec})"""
+        )
+    return "\nUNION ALL\n".join(blocks)
+
+
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     # ---------------------------------------------------------------- sources
@@ -429,6 +444,7 @@ t AS (SELECT salary, CASE WHEN salary <= q1 THEN 'Low' WHEN salary <= q2 THEN 'M
 SELECT price_tercile, count(*) AS n, min(salary) AS min_salary, max(salary) AS max_salary, any_value(q1) AS q1, any_value(q2) AS q2
 FROM t GROUP BY price_tercile"""
     o["sample_rows"] = f"SELECT * FROM ({RECIPE_SOCIAL}) ORDER BY o_orderkey LIMIT 5"
+    o["schema_report"] = _schema_sql()
     # --------------------------------------------------------------- features
     o["label_index"] = SALARY_FEATS + "\nSELECT rec.p_partkey, rec.price_tercile, lab.idx AS label FROM rec JOIN lab ON rec.price_tercile = lab.v"
     o["category_index"] = (

@@ -14,6 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tabclass.operators.features import build_features, with_feature_array  # noqa: E402
 from tabclass.plans import queries as Q  # noqa: E402
 from tabclass.plans import standins as S  # noqa: E402
 from tabclass.plans.experiments import RunConfig, run_experiments  # noqa: E402
@@ -25,6 +26,14 @@ def _run_plan(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _sf_value(sf_dir: str):
+    text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(text)
+    except ValueError:
+        return text
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -40,10 +49,13 @@ def main() -> None:
         "recipe_matches": lambda: _run_plan(S.recipe_matches(spark, sf_dir)),
         "recipe_salary": lambda: _run_plan(S.recipe_salary(spark, sf_dir)),
         "tercile_target": lambda: Q.q_tercile_target(spark, sf_dir).collect(),
-        "build_features_matches": lambda: _run_plan(Q.with_feature_array(
-            __import__("tabclass.operators.features", fromlist=["build_features"]).build_features(
-                S.recipe_matches(spark, sf_dir), "win", exclude=[S.MATCHES_KEY]
-            )[0].select("label", "features"))),
+        "build_features_matches": lambda: _run_plan(
+            with_feature_array(
+                build_features(S.recipe_matches(spark, sf_dir), "win", exclude=[S.MATCHES_KEY])[0].select(
+                    "label", "features"
+                )
+            )
+        ),
         "stratified_split": lambda: _run_plan(Q.q_stratified_split(spark, sf_dir)),
         "experiments_nb_all": lambda: run_experiments(
             spark, S.all_experiments(sf_dir), ClassifierRegistry({"naive_bayes": naive_bayes}), config=run_cfg
@@ -70,7 +82,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "cpus": cpus,
     }
     if failed:

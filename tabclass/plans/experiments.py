@@ -59,6 +59,21 @@ class ExperimentDataset:
     size_category: str = "medium"
 
 
+def dataset_from_spec(spec, root: str | None = None, keys: Sequence[str] = ()) -> ExperimentDataset:
+    """Experiment input from a catalog ``DatasetSpec`` (load + normalise).
+
+    Without ``keys`` the hash split keys on the whole normalised row, which is
+    what the reference's id-less CSVs need.
+    """
+    return ExperimentDataset(
+        name=spec.name,
+        load=lambda s: spec.run(s, root),
+        target=spec.target_column,
+        keys=tuple(keys),
+        size_category=spec.size_category,
+    )
+
+
 @dataclass
 class RunConfig:
     workers: int = 1

@@ -30,8 +30,8 @@ from tabclass.operators.features import (
     with_feature_array,
 )
 from tabclass.operators.partitioning import repartition_rows
-from tabclass.operators.profile import profile_table, sample_rows
-from tabclass.operators.quantiles import approx_quantiles, exact_quantiles
+from tabclass.operators.profile import profile_table, sample_rows, schema_frame
+from tabclass.operators.quantiles import TERCILE_LABELS, approx_quantiles, bin_by_cut_points, exact_quantiles
 from tabclass.operators.split import hash_split, random_split, split_frames, stratified_split
 from tabclass.plans import standins as S
 from tabclass.plans.experiments import RunConfig, run_experiments
@@ -239,10 +239,11 @@ def q_quantiles_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_tercile_target(spark: SparkSession, sf: str) -> DataFrame:
-    raw = C.cast_double(S.salary_raw(spark, sf), ["salary"])
+    """Exact cut points and the rows per bin (bins from the raw column: no join)."""
+    raw = R.dropna_subset(C.cast_double(S.salary_raw(spark, sf), ["salary"]), ["salary"])
     q1, q2 = exact_quantiles(raw, "salary", [1 / 3, 2 / 3])
-    rec = S.recipe_salary(spark, sf).join(raw.select("p_partkey", "salary"), "p_partkey")
-    return rec.groupBy(S.SALARY.target).agg(
+    binned = raw.withColumn(S.SALARY.target, bin_by_cut_points("salary", [q1, q2], TERCILE_LABELS))
+    return binned.groupBy(S.SALARY.target).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("salary").alias("min_salary"),
         F.max("salary").alias("max_salary"),
@@ -251,6 +252,17 @@ def q_tercile_target(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_schema_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Schema of every normalised stand-in (from the analysed plans, no job)."""
+    out = None
+    for name, (fn, target) in RECIPES.items():
+        sch = schema_frame(spark, fn(spark, sf), target).select(
+            F.lit(name).alias("dataset"), "position", "column", "data_type", "is_target"
+        )
+        out = sch if out is None else out.unionByName(sch)
+    return out
+
+
 def q_label_index(spark: SparkSession, sf: str) -> DataFrame:
     rec = S.recipe_salary(spark, sf)
     vocab = fit_vocabularies(rec, [S.SALARY.target])
@@ -507,6 +519,7 @@ QUERIES = {
     "quantiles_approx": q_quantiles_approx,
     "tercile_target": q_tercile_target,
     "sample_rows": q_sample_rows,
+    "schema_report": q_schema_report,
     # features
     "label_index": q_label_index,
     "category_index": q_category_index,

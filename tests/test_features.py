@@ -63,3 +63,19 @@ def test_fit_scope_train_only(spark):
     df = _frame(spark)
     _, model = build_features(df, "target", fit_df=df.where("cat = 'a'"))
     assert model.vocabularies["cat"] == ["a"]
+
+
+def test_pipeline_save_and_load(spark):
+    from pyspark.ml import PipelineModel
+
+    from tabclass.session import scratch_path
+
+    df = _frame(spark)
+    feats, model = build_features(df, "target")
+    path = scratch_path(spark, "pipeline")
+    model.pipeline.save(path)
+    again = PipelineModel.load(path).transform(df)
+    a = sorted(tuple(r.f) for r in feats.select(vector_to_array("features").alias("f")).collect())
+    b = sorted(tuple(r.f) for r in again.select(vector_to_array("features").alias("f")).collect())
+    assert a == b
+    assert model.feature_names()[0] == "num" and "cat=a" in model.feature_names()
