@@ -120,25 +120,12 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
     used = [*keys, *roles.numeric, *roles.categorical, ds.target]
     df = df.select(*used)
     split_keys = keys or used  # no id column: the whole (used) row is the key
-    if cfg.split_method == "hash":
-        flagged = hash_split(df, split_keys, cfg.train_ratio)
-    elif cfg.split_method == "stratified":
-        flagged = stratified_split(df, split_keys, ds.target, cfg.train_ratio)
-    else:
-        if cfg.fit_scope == "train":
-            raise ValueError("fit_scope='train' needs a hash or stratified split")
-        base = df
-        flagged = None
-    rows = materialize(flagged if flagged is not None else base, cfg.materialize)
+    if cfg.split_method == "random" and cfg.fit_scope == "train":
+        raise ValueError("fit_scope='train' needs a hash or stratified split")
+    # One pass over the source: everything below reads this copy.
+    rows = materialize(df, cfg.materialize)
     try:
-        if flagged is not None:
-            fit_df = rows.where(F.col(SPLIT_COL) == "train") if cfg.fit_scope == "train" else None
-            feats, model = build_features(
-                rows, ds.target, roles.numeric, roles.categorical,
-                exclude=[*keys, SPLIT_COL], fit_df=fit_df, max_categories=cfg.max_categories,
-            )
-            table = feats.select(*keys, LABEL_COL, FEATURES_COL, SPLIT_COL)
-        else:
+        if cfg.split_method == "random":
             feats, model = build_features(
                 rows, ds.target, roles.numeric, roles.categorical, exclude=keys, max_categories=cfg.max_categories
             )
@@ -146,6 +133,17 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
             table = train.withColumn(SPLIT_COL, F.lit("train")).unionByName(
                 test.withColumn(SPLIT_COL, F.lit("test"))
             )
+        else:
+            if cfg.split_method == "hash":
+                flagged = hash_split(rows, split_keys, cfg.train_ratio)
+            else:
+                flagged = stratified_split(rows, split_keys, ds.target, cfg.train_ratio)
+            fit_df = flagged.where(F.col(SPLIT_COL) == "train") if cfg.fit_scope == "train" else None
+            feats, model = build_features(
+                flagged, ds.target, roles.numeric, roles.categorical,
+                exclude=[*keys, SPLIT_COL], fit_df=fit_df, max_categories=cfg.max_categories,
+            )
+            table = feats.select(*keys, LABEL_COL, FEATURES_COL, SPLIT_COL)
         out = materialize(table, cfg.materialize)
     finally:
         rows.unpersist()
