@@ -14,6 +14,21 @@ def repartition_rows(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys) if keys else df.repartition(partitions)
 
 
+def balance_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input that arrives in too few partitions (one unsplittable
+    file, a single Parquet row group, a multi-line CSV) over the cluster.
+
+    Only when the scan yields fewer partitions than ``min_partitions``
+    (default: the cluster's default parallelism) is a round-robin
+    repartition added; a large, well-split input is returned untouched, so on
+    a real cluster this costs nothing.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def set_shuffle_partitions(spark: SparkSession, partitions: int) -> None:
     if partitions < 1:
         raise ValueError(f"shuffle partitions must be >= 1, got {partitions}")

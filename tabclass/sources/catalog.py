@@ -14,8 +14,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tabclass.operators.partitioning import balance_partitions
 from tabclass.plans import recipes
-from tabclass.sources.files import read_csv
+from tabclass.sources.files import header_text_schema, read_csv
 
 SIZE_CATEGORIES = ("small", "medium", "large")
 
@@ -29,6 +30,7 @@ class DatasetSpec:
     normalize: Callable[[DataFrame], DataFrame] = field(default=lambda df: df, compare=False)
     schema: StructType | None = field(default=None, compare=False)
     multi_line: bool = False
+    infer_types: bool = False
     loader: Callable[[SparkSession, "DatasetSpec"], DataFrame] | None = field(default=None, compare=False)
 
     def __post_init__(self) -> None:
@@ -39,7 +41,14 @@ class DatasetSpec:
         if self.loader is not None:
             return self.loader(spark, self)
         path = self.path if root is None or os.path.isabs(self.path) else os.path.join(root, self.path)
-        return read_csv(spark, path, schema=self.schema, multi_line=self.multi_line)
+        schema = self.schema
+        if schema is None and not self.infer_types:
+            # The recipes cast every column from text: no inference pass needed.
+            schema = header_text_schema(spark, path)
+        df = read_csv(spark, path, schema=schema, multi_line=self.multi_line)
+        # A multi-line CSV is one task per file however large: spread it
+        # before normalising (no-op when there are already enough splits).
+        return balance_partitions(df) if self.multi_line else df
 
     def run(self, spark: SparkSession, root: str | None = None) -> DataFrame:
         """load, then normalise."""

@@ -1,8 +1,24 @@
 """File sources and sinks (CSV, Parquet)."""
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+def header_text_schema(spark: SparkSession, path: str | list[str]) -> StructType:
+    """All-text schema named by the CSV header, read from ONE line.
+
+    ``spark.read.text(path).first()`` scans only the first partition, so
+    this replaces ``inferSchema`` (a full extra parse of every file) when the
+    normalisation casts every column from text anyway.
+    """
+    first = spark.read.text(path).first()
+    if first is None:
+        raise ValueError(f"no header line in {path!r}")
+    names = next(csv.reader([first[0]]))
+    return StructType([StructField(n, StringType(), True) for n in names])
 
 
 def read_csv(

@@ -135,3 +135,20 @@ def test_spec_run_on_csv(spark, tmp_dir):
     spec = DatasetSpec("gen_z_social", path, "addiction_level", "medium", normalize=recipes.normalize_social)
     assert spec.run(spark).count() == 4
     assert REFERENCE_DATASETS[0].path.endswith("genz_social_media_usage_1M.csv")
+
+
+def test_text_schema_matches_inferred_results(spark, tmp_dir):
+    """Reading every column as text (no inference pass) gives the same
+    normalised rows as the reference's inferSchema read."""
+    from tabclass.sources.files import header_text_schema
+
+    for name, text, norm in [
+        ("s3.csv", SOCIAL, recipes.normalize_social),
+        ("f3.csv", FRAUD, recipes.normalize_fraud),
+        ("j3.csv", SALARY, lambda d: recipes.normalize_salary(d, recipes.SalaryColumns(quantile_method="exact"))),
+    ]:
+        path = _write(tmp_dir, name, text)
+        inferred = norm(read_csv(spark, path, multi_line=True))
+        textual = norm(read_csv(spark, path, schema=header_text_schema(spark, path), multi_line=True))
+        assert inferred.dtypes == textual.dtypes
+        assert sorted(map(tuple, inferred.collect()), key=str) == sorted(map(tuple, textual.collect()), key=str)

@@ -44,3 +44,12 @@ def test_partitioning_helpers(spark):
 
 def test_run_folder_name():
     assert run_folder("/x/results/", 4, 8) == "/x/results/experiments_w4_p8"
+
+
+def test_balance_partitions(spark):
+    from tabclass.operators.partitioning import balance_partitions
+
+    one = spark.range(100).coalesce(1)
+    assert balance_partitions(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert balance_partitions(many, 4) is many
