@@ -13,11 +13,14 @@
   whole classes (one task per class would have to sort a third of the data
   when one class holds a third of the rows): the hash is uniform, so rows are
   counted per (class, hash bucket) with a map-side-combined aggregate; the
-  small count table finds, per class, the one bucket that holds the boundary;
-  only the rows of those boundary buckets (about n_c / 65536 per class) are
-  ranked to find the exact (hash, key) threshold; and the final flag is a
-  per-row comparison with the threshold of the row's class, brought in by a
-  broadcast join of a table with one row per class (size checked).
+  small count table finds, per class, the one bucket that holds the boundary
+  (and, when that bucket is still large, a second count pass over the full
+  32-bit hash narrows it to one hash value); the distinct (hash, key) pairs of
+  that range, counted map-side, give the exact threshold; and the final flag
+  is a per-row comparison with the threshold of the row's class, brought in
+  by a broadcast join of a table with one row per class (size checked).  No
+  task ever sorts more than a bounded number of distinct keys, and a key
+  repeated a billion times is one counted pair.
 """
 from __future__ import annotations
 
@@ -32,6 +35,8 @@ SPLIT_COL = "split"
 HASH_MODULUS = 10_000
 BUCKET_BITS = 16
 MAX_STRATA = 10_000
+# Distinct (hash, key) pairs one task may rank per class before a second level is used.
+RANK_LIMIT = 1_000_000
 
 
 def _check_ratio(ratio: float) -> None:
@@ -81,6 +86,31 @@ def hash_split(
     return df.withColumn(column, hash_split_flag(keys, ratio))
 
 
+def _boundaries(counts: DataFrame) -> list:
+    """Per class, the bucket holding the wanted rank.
+
+    ``counts`` has (_s class, _b bucket, _n rows, _t wanted rank in the class);
+    the window runs over the small count table (at most 65536 buckets per
+    class).  Returns rows (_s, _b, _r rank inside the bucket, _n).
+    """
+    w = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = counts.withColumn("_cum", F.sum("_n").over(w))
+    rows = (
+        c.where((F.col("_cum") - F.col("_n") < F.col("_t")) & (F.col("_t") <= F.col("_cum")))
+        .select("_s", "_b", (F.col("_t") - (F.col("_cum") - F.col("_n"))).alias("_r"), "_n")
+        .limit(MAX_STRATA + 1)
+        .collect()
+    )
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata")
+    return rows
+
+
+def _small_table(spark, rows: list, schema: str) -> DataFrame:
+    """A per-class table of at most MAX_STRATA rows (checked by the caller), broadcast."""
+    return F.broadcast(spark.createDataFrame([tuple(r) for r in rows], schema))
+
+
 def stratified_split(
     df: DataFrame,
     keys: Sequence[str] | str,
@@ -90,57 +120,66 @@ def stratified_split(
 ) -> DataFrame:
     """Exact per-class ratio; see the module docstring for the plan.
 
-    The two small tables that travel back to the rows (one boundary bucket and
-    one (hash, key) threshold per class) have at most ``MAX_STRATA`` rows, a
-    bound checked before they are broadcast.
+    Rows with the same key hash and key tie; a tie group is never split, so
+    with duplicate keys a class can get a few more train rows than
+    ``round(ratio * n_c)``.  With unique keys the count is exact.
     """
     _check_ratio(ratio)
     keys = [keys] if isinstance(keys, str) else list(keys)
     spark = df.sparkSession
     order_key = key_text(keys) if len(keys) > 1 else F.col(keys[0])
-    base = (
-        df.withColumn("_h", key_hash32(keys))
-        .withColumn("_b", F.shiftright("_h", 32 - BUCKET_BITS))
-        .withColumn("_o", order_key)
-    )
-
-    # 1. counts per (class, bucket): partial aggregation, only counts shuffle.
-    counts = base.groupBy(F.col(stratum).alias("_s"), "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_bucket = (
-        counts.withColumn("_cum", F.sum("_n").over(w))
-        .withColumn("_tot", F.sum("_n").over(Window.partitionBy("_s")))
-        .withColumn("_k", F.round(F.col("_tot") * F.lit(float(ratio))).cast("bigint"))
+    base = df.withColumn("_h", key_hash32(keys)).withColumn("_o", order_key).withColumn("_cs", F.col(stratum))
+    s_type = base.schema["_cs"].dataType.simpleString()
+    o_type = base.schema["_o"].dataType.simpleString()
+
+    # Level 1: rows per (class, top 16 hash bits); partial aggregation, only
+    # the counts shuffle.  The wanted rank per class is round(ratio * n_c).
+    counts = (
+        base.groupBy(F.col("_cs").alias("_s"), F.shiftright("_h", 32 - BUCKET_BITS).alias("_b"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_t", F.round(F.sum("_n").over(Window.partitionBy("_s")) * F.lit(float(ratio))).cast("bigint"))
     )
-    boundary_q = per_bucket.where(
-        (F.col("_cum") - F.col("_n") < F.col("_k")) & (F.col("_k") <= F.col("_cum"))
-    ).select("_s", "_b", (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_r"))
-    boundary_rows = boundary_q.limit(MAX_STRATA + 1).collect()
-    if len(boundary_rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in {stratum!r}")
-    if not boundary_rows:
+    level1 = _boundaries(counts)
+    if not level1:
         return df.withColumn(column, F.lit("test"))
-    boundary = F.broadcast(spark.createDataFrame(boundary_rows, boundary_q.schema))
-
-    # 2. rank only the rows of each class's boundary bucket.
-    cand = base.select(F.col(stratum).alias("_cs"), "_b", "_h", "_o").join(
-        boundary, F.col("_cs").eqNullSafe(F.col("_s")) & (base["_b"] == boundary["_b"])
+    # Hash range [lo, hi] and rank r to look for, per class.
+    ranges = [(r["_s"], r["_b"] << BUCKET_BITS, (r["_b"] << BUCKET_BITS) | 0xFFFF, r["_r"]) for r in level1]
+
+    # Level 2 (only for very large classes): rows per exact 32-bit hash inside
+    # the boundary bucket.
+    if max(r["_n"] for r in level1) > RANK_LIMIT:
+        b1 = _small_table(spark, [(s_, lo, r) for s_, lo, _hi, r in ranges], f"_s {s_type}, _lo bigint, _t bigint")
+        cand = base.join(
+            b1, F.col("_cs").eqNullSafe(F.col("_s")) & (F.col("_h").bitwiseAND(F.lit(~0xFFFF)) == F.col("_lo"))
+        )
+        counts2 = cand.groupBy("_s", F.col("_h").alias("_b"), "_t").agg(F.count(F.lit(1)).alias("_n"))
+        ranges = [(r["_s"], r["_b"], r["_b"], r["_r"]) for r in _boundaries(counts2)]
+
+    # Threshold (hash, key) per class: distinct (hash, key) pairs with their
+    # counts inside the range (duplicates collapse map-side), then the first
+    # pair whose running count reaches the rank.
+    sel = _small_table(spark, ranges, f"_s {s_type}, _lo bigint, _hi bigint, _r bigint")
+    pairs = (
+        base.join(sel, F.col("_cs").eqNullSafe(F.col("_s")) & F.col("_h").between(F.col("_lo"), F.col("_hi")))
+        .groupBy("_s", "_h", "_o", "_r")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    rank_w = Window.partitionBy("_s").orderBy("_h", "_o")
-    threshold_q = (
-        cand.withColumn("_rn", F.row_number().over(rank_w))
-        .where(F.col("_rn") == F.col("_r"))
+    w = Window.partitionBy("_s").orderBy("_h", "_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    thresholds = (
+        pairs.withColumn("_cum", F.sum("_n").over(w))
+        .where((F.col("_cum") - F.col("_n") < F.col("_r")) & (F.col("_r") <= F.col("_cum")))
         .select("_s", F.col("_h").alias("_th"), F.col("_o").alias("_to"))
+        .collect()
     )
-    thresholds = F.broadcast(spark.createDataFrame(threshold_q.collect(), threshold_q.schema))
+    th = _small_table(spark, thresholds, f"_s {s_type}, _th bigint, _to {o_type}")
 
-    # 3. per-row flag: (hash, key) <= the class threshold.  Classes with k = 0
-    #    have no threshold and go wholly to test.
-    flagged = base.join(thresholds, F.col(stratum).eqNullSafe(F.col("_s")), "left")
+    # Per-row flag: (hash, key) <= the class threshold.  Classes with k = 0
+    # have no threshold and go wholly to test.
+    flagged = base.join(th, F.col("_cs").eqNullSafe(F.col("_s")), "left")
     in_train = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & (F.col("_o") <= F.col("_to")))
     return flagged.withColumn(
         column, F.when(F.coalesce(in_train, F.lit(False)), F.lit("train")).otherwise(F.lit("test"))
-    ).drop("_h", "_b", "_o", "_s", "_th", "_to")
+    ).drop("_h", "_o", "_cs", "_s", "_th", "_to")
 
 
 def split_frames(df: DataFrame, column: str = SPLIT_COL) -> tuple[DataFrame, DataFrame]:

@@ -63,3 +63,18 @@ def test_metrics_equal_mllib(spark):
     assert abs(sf.accuracy - ours.accuracy) < 1e-12 and abs(sf.weighted_f1 - ours.weighted_f1) < 1e-12
     pc = per_class_metrics(confusion_matrix(preds)).collect()
     assert all(0.0 <= r.f1 <= 1.0 for r in pc)
+
+
+def test_stratified_second_level_and_duplicates(spark, monkeypatch):
+    import tabclass.operators.split as sp
+
+    rows = [(i, "a" if i % 3 else "b") for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, c string")
+    one = {r.k: r.split for r in stratified_split(df, "k", "c").collect()}
+    monkeypatch.setattr(sp, "RANK_LIMIT", 0)  # force the second level
+    two = {r.k: r.split for r in sp.stratified_split(df, "k", "c").collect()}
+    assert one == two
+    # a hot duplicated key stays together and never needs one task per copy
+    dup = spark.createDataFrame([(7, "a")] * 500 + [(i, "a") for i in range(100, 600)], "k long, c string")
+    out = stratified_split(dup, "k", "c").groupBy("k").agg(F.countDistinct("split").alias("d"))
+    assert out.where("d > 1").count() == 0
