@@ -65,12 +65,21 @@ def main() -> None:
         ),
     }
     times: dict[str, float] = {}
+    fits: dict[str, dict] = {}
     failed: dict[str, str] = {}
     for name, fn in steps.items():
         t0 = time.perf_counter()
         try:
             out = fn()
             if isinstance(out, list) and out and isinstance(out[0], dict):
+                for r in out:
+                    if r.get("status") == "ok":
+                        fits[f"{r['dataset']}/{r['classifier']}"] = {
+                            "train_s": round(r["train_time_s"], 3),
+                            "predict_s": round(r["predict_time_s"], 3),
+                            "accuracy": round(r["accuracy"], 4),
+                            "f1": round(r["f1"], 4),
+                        }
                 errs = [r for r in out if r.get("status") != "ok"]
                 if errs:
                     failed[name] = errs[0].get("error", "error")
@@ -83,6 +92,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": _sf_value(sf_dir),
+        "fits": fits,
         "cpus": cpus,
     }
     if failed:
