@@ -115,3 +115,17 @@ def test_registry_defaults():
     rf = reg.create("random_forest")
     assert rf.getNumTrees() == 100 and rf.getMaxDepth() == 10 and rf.getSeed() == 42
     assert reg.create("naive_bayes").getModelType() == "gaussian"
+
+
+def test_single_pass_scores_equal_mllib_evaluators(spark):
+    from tabclass.operators.split import split_frames
+    from tabclass.plans.experiments import prepare
+    from tabclass.plans.training import train_and_evaluate
+
+    table, _ = prepare(spark, S.salary_experiment(SF001), RunConfig())
+    train, test = split_frames(table)
+    a = train_and_evaluate(train, test, naive_bayes(), "confusion")
+    b = train_and_evaluate(train, test, naive_bayes(), "mllib")
+    assert abs(a.scores.accuracy - b.scores.accuracy) < 1e-12
+    assert abs(a.scores.weighted_f1 - b.scores.weighted_f1) < 1e-12
+    table.unpersist()
