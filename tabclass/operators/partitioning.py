@@ -52,12 +52,26 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 
 
 def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
-    """Cut or keep lineage: ``persist`` (memory+disk) or ``checkpoint`` (reliable,
-    written to the shared ``spark.checkpoint.dir``).  Never a local checkpoint."""
+    """Fill a reusable copy of ``df``.
+
+    * ``persist``: memory + disk blocks; lost blocks are recomputed from lineage.
+    * ``checkpoint``: reliable checkpoint into the shared ``spark.checkpoint.dir``
+      (lineage cut; never a local checkpoint).
+    * ``parquet``: a Parquet table in a fresh folder under the same shared
+      checkpoint folder, read back; later reads get column pruning and filter
+      pushdown, and the lineage is cut.
+    """
     if how == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         out.count()
         return out
     if how == "checkpoint":
         return df.checkpoint(eager=True)
+    if how == "parquet":
+        from tabclass.session import scratch_path
+
+        spark = df.sparkSession
+        path = scratch_path(spark, "table")
+        df.write.mode("error").parquet(path)
+        return spark.read.parquet(path)
     raise ValueError(f"unknown materialisation {how!r}")

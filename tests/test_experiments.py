@@ -63,7 +63,10 @@ def test_random_split_and_train_scope_options(spark):
     r1 = run_experiments(spark, [S.salary_experiment(SF001)], reg, config=RunConfig(split_method="random"))
     r2 = run_experiments(spark, [S.salary_experiment(SF001)], reg, config=RunConfig(fit_scope="train"))
     r3 = run_experiments(spark, [S.salary_experiment(SF001)], reg, config=RunConfig(split_method="stratified", materialize="checkpoint"))
-    assert all(r[0]["status"] == "ok" for r in (r1, r2, r3))
+    r4 = run_experiments(spark, [S.salary_experiment(SF001)], reg, config=RunConfig(materialize="parquet"))
+    r5 = run_experiments(spark, [S.salary_experiment(SF001)], reg, config=RunConfig())
+    assert all(r[0]["status"] == "ok" for r in (r1, r2, r3, r4))
+    assert r4[0]["accuracy"] == r5[0]["accuracy"]
 
 
 def test_sink_roundtrip_and_union(spark):
