@@ -8,7 +8,7 @@ projection (the output contract) and never uses a chain of ``withColumn``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,15 +164,14 @@ def lol_matches_columns() -> MatchesColumns:
         "vision_wards_bought_in_game", "time_ccing_others", "champion_mastery_level",
         "champion_mastery_tokensEarned",
     )
-    doubles = tuple(
-        "final_" + s
-        for s in (
-            "abilityHaste", "abilityPower", "armor", "armorPen", "armorPenPercent",
-            "attackDamage", "attackSpeed", "bonusArmorPenPercent", "bonusMagicPenPercent",
-            "ccReduction", "cooldownReduction", "health", "healthMax", "healthRegen",
-            "lifesteal", "magicPen", "magicPenPercent", "magicResist", "movementSpeed",
-            "omnivamp", "physicalVamp", "power", "powerMax", "powerRegen", "spellVamp",
-        )
+    doubles = (
+        "final_abilityHaste", "final_abilityPower", "final_armor", "final_armorPen",
+        "final_armorPenPercent", "final_attackDamage", "final_attackSpeed",
+        "final_bonusArmorPenPercent", "final_bonusMagicPenPercent", "final_ccReduction",
+        "final_cooldownReduction", "final_health", "final_healthMax", "final_healthRegen",
+        "final_lifesteal", "final_magicPen", "final_magicPenPercent", "final_magicResist",
+        "final_movementSpeed", "final_omnivamp", "final_physicalVamp", "final_power",
+        "final_powerMax", "final_powerRegen", "final_spellVamp",
     )
     return MatchesColumns(drop=drop, strings=strings, longs=longs, ints=ints, doubles=doubles)
 

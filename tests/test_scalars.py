@@ -1,7 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
 
 from tabclass.functions import day_of_week, haversine_km, hour_of_day, parse_timestamp, year_diff
 
