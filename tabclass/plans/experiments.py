@@ -26,7 +26,7 @@ import traceback
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabclass.operators.columns import infer_column_roles
@@ -37,6 +37,7 @@ from tabclass.operators.split import (
     DEFAULT_TRAIN_RATIO,
     SPLIT_COL,
     hash_split,
+    hash_split_flag,
     random_split,
     split_frames,
     stratified_split,
@@ -57,6 +58,9 @@ class ExperimentDataset:
     numeric: Sequence[str] | None = None
     categorical: Sequence[str] | None = None
     size_category: str = "medium"
+    # Optional: load with a condition marking the rows that statistics of the
+    # normalisation itself (e.g. tercile cut points) may be fitted on.
+    load_fitted_on: Callable[[SparkSession, Column], DataFrame] | None = None
 
 
 def dataset_from_spec(spec, root: str | None = None, keys: Sequence[str] = ()) -> ExperimentDataset:
@@ -111,10 +115,15 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
     copy instead of re-running the normalisation; the copy is released as
     soon as the feature table is filled.
     """
-    df = ds.load(spark)
+    keys = list(ds.keys)
+    if cfg.fit_scope == "train" and cfg.split_method == "hash" and keys and ds.load_fitted_on is not None:
+        # The hash flag depends on the key only, so "training row" is known
+        # before normalising: quantile cut points see training rows only.
+        df = ds.load_fitted_on(spark, hash_split_flag(keys, cfg.train_ratio) == "train")
+    else:
+        df = ds.load(spark)
     if cfg.partitions is not None:
         df = repartition_rows(df, cfg.partitions)
-    keys = list(ds.keys)
     roles = infer_column_roles(df.schema, ds.target, ds.numeric, ds.categorical, exclude=keys)
     used = [*keys, *roles.numeric, *roles.categorical, ds.target]
     df = df.select(*used)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabclass.functions.calendar import day_of_week, hour_of_day, parse_timestamp, year_diff
@@ -205,13 +205,20 @@ class SalaryColumns:
 
 
 def normalize_salary(
-    df: DataFrame, cols: SalaryColumns = SalaryColumns(), keep: Sequence[str] = (), fit_df: DataFrame | None = None
+    df: DataFrame,
+    cols: SalaryColumns = SalaryColumns(),
+    keep: Sequence[str] = (),
+    fit_df: DataFrame | None = None,
+    fit_filter: Column | None = None,
 ) -> DataFrame:
     """double salary, drop NULL salary, tercile target, int casts, trimmed strings, contract.
 
     The cut points are computed eagerly (one quantile job); with ``fit_df``
-    they come from those rows only (e.g. the training rows).
+    (raw rows) or ``fit_filter`` (a condition on the raw rows, e.g. "is a
+    training row") they come from those rows only.
     """
+    if fit_filter is not None and fit_df is None:
+        fit_df = df.where(fit_filter)
     df = cast_columns(df, {cols.source: "double"})
     df = dropna_subset(df, [cols.source])
     if fit_df is not None:

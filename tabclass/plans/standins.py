@@ -51,9 +51,9 @@ def salary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def recipe_salary(spark: SparkSession, sf_dir: str, method: str = "exact") -> DataFrame:
+def recipe_salary(spark: SparkSession, sf_dir: str, method: str = "exact", fit_filter=None) -> DataFrame:
     cols = SALARY if method == "exact" else recipes.SalaryColumns(**{**SALARY.__dict__, "quantile_method": method})
-    return recipes.normalize_salary(salary_raw(spark, sf_dir), cols, keep=(SALARY_KEY,))
+    return recipes.normalize_salary(salary_raw(spark, sf_dir), cols, keep=(SALARY_KEY,), fit_filter=fit_filter)
 
 
 # ------------------------------------------------------------- social / orders
@@ -177,6 +177,7 @@ def salary_experiment(sf_dir: str) -> ExperimentDataset:
         target=SALARY.target,
         keys=(SALARY_KEY,),
         size_category="medium",
+        load_fitted_on=lambda spark, cond: recipe_salary(spark, sf_dir, fit_filter=cond),
     )
 
 

@@ -132,3 +132,19 @@ def test_single_pass_scores_equal_mllib_evaluators(spark):
     assert abs(a.scores.accuracy - b.scores.accuracy) < 1e-12
     assert abs(a.scores.weighted_f1 - b.scores.weighted_f1) < 1e-12
     table.unpersist()
+
+
+def test_train_scoped_cut_points(spark):
+    from tabclass.operators.columns import cast_double
+    from tabclass.operators.quantiles import TERCILE_LABELS, bin_by_cut_points, exact_quantiles
+    from tabclass.operators.split import hash_split_flag
+
+    train = hash_split_flag(["p_partkey"]) == "train"
+    raw = cast_double(S.salary_raw(spark, SF001), ["salary"])
+    cuts = exact_quantiles(raw.where(train), "salary", [1 / 3, 2 / 3])
+    got = S.recipe_salary(spark, SF001, fit_filter=train).join(raw.select("p_partkey", "salary"), "p_partkey")
+    want = got.withColumn("w", bin_by_cut_points("salary", cuts, TERCILE_LABELS))
+    assert want.where("w <> price_tercile").count() == 0
+    rows = run_experiments(spark, [S.salary_experiment(SF001)], ClassifierRegistry({"naive_bayes": naive_bayes}),
+                           config=RunConfig(fit_scope="train"))
+    assert rows[0]["status"] == "ok"
