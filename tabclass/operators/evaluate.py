@@ -28,18 +28,18 @@ def confusion_matrix(
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def per_class_metrics(confusion: DataFrame) -> DataFrame:
+def per_class_metrics(confusion: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(class, support, predicted, tp, precision, recall, f1) from a confusion table.
 
-    Works on the small confusion table only; the self-union and group-by are
-    over classes x classes rows.
+    Works on the small confusion table only (classes x classes rows, per
+    group of ``by`` columns such as dataset and classifier).
     """
-    actual = confusion.groupBy(F.col("label").alias("class")).agg(
+    actual = confusion.groupBy(*by, F.col("label").alias("class")).agg(
         F.sum("n").alias("support"),
         F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp"),
     )
-    predicted = confusion.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("predicted"))
-    m = actual.join(predicted, "class", "full_outer").fillna(0, ["support", "tp", "predicted"])
+    predicted = confusion.groupBy(*by, F.col("prediction").alias("class")).agg(F.sum("n").alias("predicted"))
+    m = actual.join(predicted, [*by, "class"], "full_outer").fillna(0, ["support", "tp", "predicted"])
     p = F.when(F.col("predicted") > 0, F.col("tp").cast("double") / F.col("predicted")).otherwise(F.lit(0.0))
     r = F.when(F.col("support") > 0, F.col("tp").cast("double") / F.col("support")).otherwise(F.lit(0.0))
     m = m.withColumn("precision", p).withColumn("recall", r)
@@ -55,13 +55,14 @@ class Scores:
     accuracy: float
     weighted_f1: float
     rows: int
+    cells: tuple = ()  # (label, prediction, n) confusion cells, when known
 
 
 def scores_from_confusion(cells: list[tuple[float, float, int]]) -> Scores:
     """Accuracy and weighted F1 from collected (label, prediction, n) cells."""
     total = sum(n for _, _, n in cells)
     if total == 0:
-        return Scores(float("nan"), float("nan"), 0)
+        return Scores(float("nan"), float("nan"), 0, tuple(cells))
     support: dict[float, int] = {}
     predicted: dict[float, int] = {}
     tp: dict[float, int] = {}
@@ -78,7 +79,7 @@ def scores_from_confusion(cells: list[tuple[float, float, int]]) -> Scores:
         r = t / n_c
         f1 = 2.0 * p * r / (p + r) if p + r > 0 else 0.0
         wf1 += f1 * n_c / total
-    return Scores(acc, wf1, total)
+    return Scores(acc, wf1, total, tuple(cells))
 
 
 def evaluate(

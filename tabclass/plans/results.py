@@ -5,6 +5,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def confusion_frame(spark, rows: list[dict]) -> DataFrame:
+    """(dataset, classifier, partitions, label, prediction, n) from experiment rows."""
+    cells = [
+        (r["dataset"], r["classifier"], r.get("partitions"), float(lab), float(pred), int(n))
+        for r in rows
+        for lab, pred, n in (r.get("confusion") or [])
+    ]
+    return spark.createDataFrame(
+        cells, "dataset string, classifier string, partitions int, label double, prediction double, n bigint"
+    )
+
+
+def per_class_report(spark, rows: list[dict]) -> DataFrame:
+    """Per-class support, precision, recall and F1 for every experiment."""
+    from tabclass.operators.evaluate import per_class_metrics
+
+    return per_class_metrics(confusion_frame(spark, rows), by=("dataset", "classifier", "partitions"))
+
+
 def total_time(results: DataFrame) -> DataFrame:
     """total_time_s = train_time_s + predict_time_s."""
     return results.withColumn("total_time_s", F.col("train_time_s") + F.col("predict_time_s"))

@@ -28,6 +28,7 @@ class TrainResult:
             "train_time_s": self.train_time_s,
             "predict_time_s": self.predict_time_s,
             "total_time_s": self.total_time_s,
+            "confusion": list(self.scores.cells),
         }
 
 

@@ -148,3 +148,13 @@ def test_train_scoped_cut_points(spark):
     rows = run_experiments(spark, [S.salary_experiment(SF001)], ClassifierRegistry({"naive_bayes": naive_bayes}),
                            config=RunConfig(fit_scope="train"))
     assert rows[0]["status"] == "ok"
+
+
+def test_per_class_report(spark):
+    from tabclass.plans.results import per_class_report
+
+    rows = run_experiments(spark, [S.salary_experiment(SF001)], ClassifierRegistry({"naive_bayes": naive_bayes}))
+    rep = per_class_report(spark, rows).collect()
+    assert len(rep) == 3 and sum(r.support for r in rep) == sum(n for _, _, n in rows[0]["confusion"])
+    wf1 = sum(r.f1 * r.support for r in rep) / sum(r.support for r in rep)
+    assert abs(wf1 - rows[0]["f1"]) < 1e-12
