@@ -443,6 +443,12 @@ t AS (SELECT salary, CASE WHEN salary <= q1 THEN 'Low' WHEN salary <= q2 THEN 'M
       FROM nn CROSS JOIN cuts)
 SELECT price_tercile, count(*) AS n, min(salary) AS min_salary, max(salary) AS max_salary, any_value(q1) AS q1, any_value(q2) AS q2
 FROM t GROUP BY price_tercile"""
+    probs = ["0.01", "0.25", "CAST(1 AS DOUBLE) / 3", "0.5", "CAST(2 AS DOUBLE) / 3", "0.75", "0.99"]
+    o["quantiles_exact"] = " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS i, CAST({p} AS DOUBLE) AS p, "
+        f"CAST(quantile_disc(l_extendedprice, {p}) AS DOUBLE) AS q FROM lineitem"
+        for i, p in enumerate(probs)
+    )
     o["sample_rows"] = f"SELECT * FROM ({RECIPE_SOCIAL}) ORDER BY o_orderkey LIMIT 5"
     o["schema_report"] = _schema_sql()
     # --------------------------------------------------------------- features

@@ -49,6 +49,7 @@ def main() -> None:
         "recipe_matches": lambda: _run_plan(S.recipe_matches(spark, sf_dir)),
         "recipe_salary": lambda: _run_plan(S.recipe_salary(spark, sf_dir)),
         "tercile_target": lambda: Q.q_tercile_target(spark, sf_dir).collect(),
+        "quantiles_exact_lineitem": lambda: Q.q_quantiles_exact(spark, sf_dir).collect(),
         "build_features_matches": lambda: _run_plan(
             with_feature_array(
                 build_features(S.recipe_matches(spark, sf_dir), "win", exclude=[S.MATCHES_KEY])[0].select(

@@ -6,10 +6,11 @@ relative error 0.01).  ``exact_quantiles`` returns the same value as SQL
 the value of rank ceil(p * n)), without Spark's exact percentile aggregate,
 which keeps every distinct value of a group in one task's memory.
 
-How the exact form scales: each round runs one aggregate over the current
-candidate window [lo, hi] (count, approximate distinct count and two GK
-quantiles that bracket the wanted rank with a 2-epsilon margin), then one
-exact count of the rows below and inside the bracket.  The window shrinks by
+How the exact form scales: every wanted rank keeps a candidate window
+[lo, hi].  Each round runs one aggregation for ALL ranks together (per rank:
+an approximate distinct count and two GK quantiles of the values inside its
+window, bracketing the rank with a 2-epsilon margin), then one exact count of
+the rows below and inside every bracket.  The window shrinks by
 about 1 / (4 * epsilon) per round (250x at epsilon 1e-3), so 10^12 rows need
 four or five rounds.  Only when the window holds at most ``max_collect``
 distinct values are its (value, count) pairs brought to the driver; that bound
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,22 +54,12 @@ def _values(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias(_Q)).where(cond)
 
 
-def _window(base: DataFrame, lo, hi) -> DataFrame:
-    cond: Column | None = None
-    if lo is not None:
-        cond = F.col(_Q) >= F.lit(lo)
-    if hi is not None:
-        c = F.col(_Q) <= F.lit(hi)
-        cond = c if cond is None else cond & c
-    return base if cond is None else base.where(cond)
-
-
-def _kth_from_pairs(pairs, k: int, below: int):
+def _kth_from_pairs(pairs, k: int, below: int, value_field: str = _Q):
     cum = below
     for row in pairs:
         cum += row["count"]
         if cum >= k:
-            return row[_Q]
+            return row[value_field]
     raise RuntimeError("rank outside the candidate window")  # pragma: no cover
 
 
@@ -77,42 +69,105 @@ def _collect_pairs(win: DataFrame, max_collect: int):
     return pairs if len(pairs) <= max_collect else None
 
 
-def _kth_smallest(
-    base: DataFrame, k: int, n: int, max_collect: int, relative_error: float, bracket=None
-):
-    lo = hi = None
-    below = 0  # rows strictly below the window
-    size = n  # rows inside the window
+@dataclass
+class _Rank:
+    """Search state of one wanted rank: its window [lo, hi] and what lies below."""
+
+    k: int
+    size: int
+    lo: object = None
+    hi: object = None
+    below: int = 0
+    bracket: tuple | None = None
+    collect: bool = False
+    margin: float = 0.0
+    done: bool = False
+    value: object = None
+
+    def in_window(self) -> Column:
+        cond = F.lit(True)
+        if self.lo is not None:
+            cond = cond & (F.col(_Q) >= F.lit(self.lo))
+        if self.hi is not None:
+            cond = cond & (F.col(_Q) <= F.lit(self.hi))
+        return cond
+
+
+def _narrow(base: DataFrame, ranks: list[_Rank], max_collect: int, relative_error: float) -> None:
+    """Narrow every rank's window together; each step is ONE aggregation for all ranks."""
     accuracy = max(1, int(round(1.0 / relative_error)))
-    margin = 2.0 * relative_error
-    while True:
-        win = _window(base, lo, hi)
-        if bracket is None:
-            local = (k - below) / size
-            p_lo, p_hi = max(0.0, local - margin), min(1.0, local + margin)
-            stats = win.agg(
-                F.approx_count_distinct(_Q).alias("nd"),
-                F.percentile_approx(_Q, [p_lo, p_hi], accuracy).alias("br"),
-            ).first()
-            if size <= max_collect or stats["nd"] <= max_collect // 2:
-                pairs = _collect_pairs(win, max_collect)
+    while not all(r.done for r in ranks):
+        # A. exact counts below / inside each bracket.
+        counted = [i for i, r in enumerate(ranks) if not r.done and r.bracket is not None]
+        if counted:
+            aggs = []
+            for i in counted:
+                r = ranks[i]
+                w = r.in_window()
+                aggs += [
+                    F.count(F.when(w & (F.col(_Q) < F.lit(r.bracket[0])), 1)).alias(f"lt{i}"),
+                    F.count(F.when(w & (F.col(_Q) <= F.lit(r.bracket[1])), 1)).alias(f"le{i}"),
+                ]
+            row = base.agg(*aggs).first()
+            for i in counted:
+                r = ranks[i]
+                q_lo, q_hi = r.bracket
+                r.bracket = None
+                new_below, new_upto = r.below + row[f"lt{i}"], r.below + row[f"le{i}"]
+                if new_below < r.k <= new_upto and (new_upto - new_below) < r.size:
+                    r.lo, r.hi, r.below, r.size = q_lo, q_hi, new_below, new_upto - new_below
+                elif r.margin < 0.5:
+                    r.margin *= 4.0  # bracket missed (not expected under the GK bound): widen
+                else:  # pragma: no cover
+                    raise RuntimeError("exact quantile did not converge")
+        # B. windows small enough to bring back.  Windows bounded by their row
+        #    count go together in one tagged aggregation; windows bounded only
+        #    by an approximate distinct count are collected one by one, with
+        #    the bound re-checked.
+        small = [i for i, r in enumerate(ranks) if not r.done and r.size <= max_collect]
+        if small:
+            tags = F.filter(
+                F.array(*[F.when(ranks[i].in_window(), F.lit(i)) for i in small]), lambda t: t.isNotNull()
+            )
+            rows = (
+                base.select(F.explode(tags).alias("_w"), _Q)
+                .groupBy("_w", _Q)
+                .count()
+                .orderBy("_w", _Q)
+                .collect()
+            )
+            by_tag: dict[int, list] = {i: [] for i in small}
+            for row in rows:
+                by_tag[row["_w"]].append(row)
+            for i in small:
+                r = ranks[i]
+                r.value, r.done = _kth_from_pairs(by_tag[i], r.k, r.below), True
+        for i, r in enumerate(ranks):
+            if not r.done and r.collect:
+                pairs = _collect_pairs(base.where(r.in_window()), max_collect)
+                r.collect = False
                 if pairs is not None:
-                    return _kth_from_pairs(pairs, k, below)
-            bracket = stats["br"]
-        q_lo, q_hi = bracket
-        bracket = None
-        counts = win.agg(
-            F.count(F.when(F.col(_Q) < F.lit(q_lo), 1)).alias("lt"),
-            F.count(F.when(F.col(_Q) <= F.lit(q_hi), 1)).alias("le"),
-        ).first()
-        new_below = below + counts["lt"]
-        new_upto = below + counts["le"]
-        if new_below < k <= new_upto and (new_upto - new_below) < size:
-            lo, hi, below, size = q_lo, q_hi, new_below, new_upto - new_below
-        elif margin < 0.5:
-            margin *= 4.0  # bracket missed (not expected under the GK bound): widen
-        else:  # pragma: no cover - the window cannot be narrowed further
-            raise RuntimeError("exact quantile did not converge")
+                    r.value, r.done = _kth_from_pairs(pairs, r.k, r.below), True
+        # C. new GK brackets (and approximate distinct counts) for the rest.
+        rest = [i for i, r in enumerate(ranks) if not r.done and r.bracket is None]
+        if rest:
+            aggs = []
+            for i in rest:
+                r = ranks[i]
+                v = F.when(r.in_window(), F.col(_Q))
+                local = (r.k - r.below) / r.size
+                probes = [max(0.0, local - r.margin), min(1.0, local + r.margin)]
+                aggs += [
+                    F.approx_count_distinct(v).alias(f"nd{i}"),
+                    F.percentile_approx(v, probes, accuracy).alias(f"br{i}"),
+                ]
+            row = base.agg(*aggs).first()
+            for i in rest:
+                r = ranks[i]
+                if row[f"nd{i}"] <= max_collect // 2:
+                    r.collect = True
+                else:
+                    r.bracket = tuple(row[f"br{i}"])
 
 
 def exact_quantiles(
@@ -127,7 +182,9 @@ def exact_quantiles(
     First pass: row count, approximate distinct count and a GK bracket around
     every wanted rank, in one aggregation.  If the whole column has few
     distinct values, one more job collects its (value, count) pairs and
-    answers every probability; otherwise each rank is narrowed separately.
+    answers every probability; otherwise all ranks are narrowed together
+    (see the module docstring), so the number of jobs does not grow with the
+    number of probabilities.
     """
     _check_probabilities(probabilities)
     base = _values(df, column)
@@ -150,10 +207,11 @@ def exact_quantiles(
         if pairs is not None:
             return [_kth_from_pairs(pairs, k, 0) for k in ks]
     br = stats["br"]
-    return [
-        _kth_smallest(base, k, n, max_collect, relative_error, bracket=(br[2 * i], br[2 * i + 1]))
-        for i, k in enumerate(ks)
+    ranks = [
+        _Rank(k=k, size=n, bracket=(br[2 * i], br[2 * i + 1]), margin=margin) for i, k in enumerate(ks)
     ]
+    _narrow(base, ranks, max_collect, relative_error)
+    return [r.value for r in ranks]
 
 
 def quantile_cut_points(

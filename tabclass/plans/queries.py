@@ -252,6 +252,20 @@ def q_tercile_target(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+QUANTILE_PROBS = (0.01, 0.25, 1 / 3, 0.5, 2 / 3, 0.75, 0.99)
+
+
+def q_quantiles_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact percentile_disc of a near-unique column of the whole lineitem table
+    (more distinct values than the collect bound, so the narrowing path runs)."""
+    li = S.table(spark, sf, "lineitem")
+    vals = exact_quantiles(li, "l_extendedprice", QUANTILE_PROBS, max_collect=20_000)
+    return spark.createDataFrame(
+        [(i, float(p), float(v)) for i, (p, v) in enumerate(zip(QUANTILE_PROBS, vals))],
+        "i int, p double, q double",
+    )
+
+
 def q_schema_report(spark: SparkSession, sf: str) -> DataFrame:
     """Schema of every normalised stand-in (from the analysed plans, no job)."""
     out = None
@@ -518,6 +532,7 @@ QUERIES = {
     "profile_table": q_profile_table,
     "quantiles_approx": q_quantiles_approx,
     "tercile_target": q_tercile_target,
+    "quantiles_exact": q_quantiles_exact,
     "sample_rows": q_sample_rows,
     "schema_report": q_schema_report,
     # features
