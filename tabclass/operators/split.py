@@ -61,7 +61,7 @@ def key_text(keys: Sequence[str]) -> Column:
     if not keys:
         raise ValueError("need at least one key column")
     if len(keys) == 1:
-        return F.col(keys[0]).cast("string")
+        return F.coalesce(F.col(keys[0]).cast("string"), F.lit("\\N"))
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys])
 
 
@@ -176,7 +176,9 @@ def stratified_split(
     # Per-row flag: (hash, key) <= the class threshold.  Classes with k = 0
     # have no threshold and go wholly to test.
     flagged = base.join(th, F.col("_cs").eqNullSafe(F.col("_s")), "left")
-    in_train = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & (F.col("_o") <= F.col("_to")))
+    # NULL keys sort first among equal hashes (the window's ascending order).
+    tie_ok = (F.col("_o") <= F.col("_to")) | F.col("_o").isNull()
+    in_train = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & tie_ok)
     return flagged.withColumn(
         column, F.when(F.coalesce(in_train, F.lit(False)), F.lit("train")).otherwise(F.lit("test"))
     ).drop("_h", "_o", "_cs", "_s", "_th", "_to")

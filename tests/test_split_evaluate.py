@@ -78,3 +78,12 @@ def test_stratified_second_level_and_duplicates(spark, monkeypatch):
     dup = spark.createDataFrame([(7, "a")] * 500 + [(i, "a") for i in range(100, 600)], "k long, c string")
     out = stratified_split(dup, "k", "c").groupBy("k").agg(F.countDistinct("split").alias("d"))
     assert out.where("d > 1").count() == 0
+
+
+def test_null_keys(spark):
+    rows = [(None if i % 10 == 0 else i, "a" if i % 2 else "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, c string")
+    flags = {r.split for r in hash_split(df, "k").where("k is null").collect()}
+    assert len(flags) == 1  # all NULL keys land on one side
+    out = stratified_split(df, "k", "c")
+    assert out.count() == 300 and out.where("split is null").count() == 0
