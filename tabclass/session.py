@@ -52,15 +52,22 @@ def local_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
         # Unset: we are on one machine (tests, bench).  A cluster always sets it.
         configured = tempfile.mkdtemp(prefix="tabclass-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
