@@ -158,3 +158,17 @@ def test_per_class_report(spark):
     assert len(rep) == 3 and sum(r.support for r in rep) == sum(n for _, _, n in rows[0]["confusion"])
     wf1 = sum(r.f1 * r.support for r in rep) / sum(r.support for r in rep)
     assert abs(wf1 - rows[0]["f1"]) < 1e-12
+
+
+def _interrupt():
+    raise KeyboardInterrupt  # not an Exception: the run stops, like a crash
+
+
+def test_sink_keeps_finished_rows_after_a_crash(spark):
+    base = scratch_path(spark, "crash")
+    reg = ClassifierRegistry({"naive_bayes": naive_bayes, "crash": _interrupt})
+    cfg = RunConfig(sink=MetricsSink(spark, base, "csv"))
+    with pytest.raises(KeyboardInterrupt):
+        run_experiments(spark, [S.salary_experiment(SF001)], reg, config=cfg)
+    rows = read_metrics(spark, base, "csv").collect()
+    assert [r.classifier for r in rows] == ["naive_bayes"] and rows[0].status == "ok"
