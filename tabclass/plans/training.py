@@ -16,6 +16,7 @@ class TrainResult:
     scores: Scores
     train_time_s: float
     predict_time_s: float
+    predictions: DataFrame | None = None  # cached (label, prediction) when kept
 
     @property
     def total_time_s(self) -> float:
@@ -67,4 +68,4 @@ def train_and_evaluate(
     finally:
         if not keep_predictions:
             preds.unpersist()
-    return TrainResult(model, scores, train_time, predict_time)
+    return TrainResult(model, scores, train_time, predict_time, preds if keep_predictions else None)

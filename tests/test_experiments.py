@@ -172,3 +172,16 @@ def test_sink_keeps_finished_rows_after_a_crash(spark):
         run_experiments(spark, [S.salary_experiment(SF001)], reg, config=cfg)
     rows = read_metrics(spark, base, "csv").collect()
     assert [r.classifier for r in rows] == ["naive_bayes"] and rows[0].status == "ok"
+
+
+def test_keep_predictions(spark):
+    from tabclass.operators.split import split_frames
+    from tabclass.plans.experiments import prepare
+    from tabclass.plans.training import train_and_evaluate
+
+    table, _ = prepare(spark, S.salary_experiment(SF001), RunConfig())
+    train, test = split_frames(table)
+    res = train_and_evaluate(train, test, naive_bayes(), keep_predictions=True)
+    assert res.predictions is not None and res.predictions.count() == test.count() == res.scores.rows
+    res.predictions.unpersist()
+    table.unpersist()
