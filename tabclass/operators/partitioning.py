@@ -55,10 +55,12 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
         df.unpersist()
 
 
-def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
+def materialize(df: DataFrame, how: str = "persist", eager: bool = True) -> DataFrame:
     """Fill a reusable copy of ``df``.
 
     * ``persist``: memory + disk blocks; lost blocks are recomputed from lineage.
+      With ``eager=False`` the blocks are filled by the next job that scans
+      the rows (saves a pass when that job reads every row anyway).
     * ``checkpoint``: reliable checkpoint into the shared ``spark.checkpoint.dir``
       (lineage cut; never a local checkpoint).
     * ``parquet``: a Parquet table in a fresh folder under the same shared
@@ -67,7 +69,8 @@ def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
     """
     if how == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
+        if eager:
+            out.count()
         return out
     if how == "checkpoint":
         return df.checkpoint(eager=True)

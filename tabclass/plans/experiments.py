@@ -130,8 +130,10 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
     split_keys = keys or used  # no id column: the whole (used) row is the key
     if cfg.split_method == "random" and cfg.fit_scope == "train":
         raise ValueError("fit_scope='train' needs a hash or stratified split")
-    # One pass over the source: everything below reads this copy.
-    rows = materialize(df, cfg.materialize)
+    # One pass over the source: everything below reads this copy.  With
+    # ``persist`` the first job below (the vocabulary or split count, which
+    # scans every row) fills it, so no separate pass is spent on filling.
+    rows = materialize(df, cfg.materialize, eager=False)
     try:
         if cfg.split_method == "random":
             feats, model = build_features(
