@@ -5,6 +5,11 @@ driver table shaped like its raw input (text columns where the CSV would give
 text, injected NULLs and bad values by a fixed rule on the row key).  The same
 shaping is written in SQL for the DuckDB checks.  All of it reads the whole
 table; nothing is sampled or capped.
+
+The key rules (``key % 17 = 0`` -> NULL and so on) only REPLACE values: the
+driver tables have no NULLs, and the recipes exist to handle them.  No rule
+selects rows; rows disappear only through a recipe's own null or
+allowed-value rule, exactly as they would on real input.
 """
 from __future__ import annotations
 
