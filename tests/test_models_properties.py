@@ -37,3 +37,22 @@ def test_exact_quantile_property(spark, values, p):
 
     k = min(len(s), max(1, math.ceil(p * len(s))))
     assert got == float(s[k - 1])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    classes=st.lists(st.sampled_from(["a", "a", "a", "b", "c", None]), min_size=1, max_size=400),
+    ratio=st.sampled_from([0.5, 0.8, 0.9]),
+)
+def test_stratified_exact_counts_property(spark, classes, ratio):
+    from tabclass.operators.split import stratified_split
+
+    df = spark.createDataFrame(list(enumerate(classes)), "k long, c string")
+    got = {}
+    for r in stratified_split(df, "k", "c", ratio).collect():
+        got.setdefault(r.c, [0, 0])[0 if r.split == "train" else 1] += 1
+    for c in set(classes):
+        n = classes.count(c)
+        train = got.get(c, [0, 0])[0]
+        want = int(float(n) * ratio + 0.5)  # Spark round(): half up
+        assert train == want, (c, n, train, want)
