@@ -27,3 +27,17 @@ def test_cli_experiments_and_smoke(spark, tmp_dir, capsys):
     assert main(["job_salary", "--data-root", tmp_dir]) == 0  # default subcommand is smoke
     out = capsys.readouterr().out
     assert "job_salary" in out and "salary_category" in out
+
+
+def test_cli_report_combines_runs(spark, tmp_dir, capsys):
+    _salary_csv(tmp_dir)
+    results = os.path.join(tmp_dir, "results")
+    for parts in ("1", "2"):
+        assert main([
+            "experiments", "--dataset", "job_salary", "--classifier", "naive_bayes",
+            "--workers", parts, "--partitions", parts, "--data-root", tmp_dir, "--results", results,
+        ]) == 0
+    capsys.readouterr()
+    assert main(["report", "--results", results]) == 0
+    out = capsys.readouterr().out
+    assert "speedup" in out and out.count("job_salary") >= 4
