@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -129,5 +129,14 @@ def catalog_frame(spark: SparkSession, specs: list[DatasetSpec]) -> DataFrame:
     )
 
 
-def reference_registry() -> DatasetRegistry:
-    return DatasetRegistry(REFERENCE_DATASETS)
+def reference_registry(exact_quantiles: bool = False) -> DatasetRegistry:
+    """The four reference datasets; ``exact_quantiles`` cuts the salary terciles
+    at exact ``percentile_disc`` values instead of the reference's GK estimate."""
+    specs = list(REFERENCE_DATASETS)
+    if exact_quantiles:
+        exact = recipes.SalaryColumns(quantile_method="exact")
+        specs = [
+            replace(s, normalize=lambda df: recipes.normalize_salary(df, exact)) if s.name == "job_salary" else s
+            for s in specs
+        ]
+    return DatasetRegistry(specs)

@@ -152,3 +152,11 @@ def test_text_schema_matches_inferred_results(spark, tmp_dir):
         textual = norm(read_csv(spark, path, schema=header_text_schema(spark, path), multi_line=True))
         assert inferred.dtypes == textual.dtypes
         assert sorted(map(tuple, inferred.collect()), key=str) == sorted(map(tuple, textual.collect()), key=str)
+
+
+def test_registry_exact_terciles(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "data/raw/job_salary"), exist_ok=True)
+    _write(tmp_dir, "data/raw/job_salary/job_salary_prediction_dataset.csv", SALARY)
+    spec = reference_registry(exact_quantiles=True).get("job_salary")
+    got = sorted((r.job_title, r.experience_years, r.salary_category) for r in spec.run(spark, tmp_dir).collect())
+    assert got == [("Dev", 3, "Low"), ("Dev", 4, "Low"), ("Ops", 1, "Low"), ("Ops", 2, "Medium"), ("QA", 2, "High")]
