@@ -146,6 +146,8 @@ def fit_feature_pipeline(
     The one-hot encoder reads its sizes from the indexer metadata (no job).
     """
     roles = infer_column_roles(df.schema, target, numeric, categorical, exclude)
+    if not roles.numeric and not roles.categorical:
+        raise ValueError(f"no numeric or categorical feature columns besides {target!r}; ignored: {roles.ignored}")
     vocab = fit_vocabularies(df, [target, *roles.categorical], max_categories)
     stages: list = [label_indexer(vocab[target], target)]
     ohe_cols = [f"{c}_ohe" for c in roles.categorical]

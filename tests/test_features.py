@@ -79,3 +79,9 @@ def test_pipeline_save_and_load(spark):
     b = sorted(tuple(r.f) for r in again.select(vector_to_array("features").alias("f")).collect())
     assert a == b
     assert model.feature_names()[0] == "num" and "cat=a" in model.feature_names()
+
+
+def test_no_feature_columns_is_a_clear_error(spark):
+    df = spark.createDataFrame([("a", True)], "target string, flag boolean")
+    with pytest.raises(ValueError, match="no numeric or categorical"):
+        build_features(df, "target")
