@@ -185,3 +185,16 @@ def test_keep_predictions(spark):
     assert res.predictions is not None and res.predictions.count() == test.count() == res.scores.rows
     res.predictions.unpersist()
     table.unpersist()
+
+
+def test_keyless_dataset_with_hash_and_stratified_splits(spark):
+    from tabclass.plans.experiments import ExperimentDataset
+
+    keyless = ExperimentDataset(
+        "part_keyless", lambda s: S.recipe_salary(s, SF001).drop("p_partkey"), target="price_tercile"
+    )
+    reg = ClassifierRegistry({"naive_bayes": naive_bayes})
+    for method in ("hash", "stratified"):
+        rows = run_experiments(spark, [keyless], reg, config=RunConfig(split_method=method))
+        assert rows[0]["status"] == "ok", rows[0]["error"]
+        assert 0.3 < rows[0]["accuracy"] <= 1.0
