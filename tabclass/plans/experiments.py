@@ -122,11 +122,12 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
         df = ds.load_fitted_on(spark, hash_split_flag(keys, cfg.train_ratio) == "train")
     else:
         df = ds.load(spark)
-    if cfg.partitions is not None:
-        df = repartition_rows(df, cfg.partitions)
     roles = infer_column_roles(df.schema, ds.target, ds.numeric, ds.categorical, exclude=keys)
     used = [*keys, *roles.numeric, *roles.categorical, ds.target]
     df = df.select(*used)
+    if cfg.partitions is not None:
+        # After the projection: the shuffle carries only the columns the model uses.
+        df = repartition_rows(df, cfg.partitions)
     split_keys = keys or used  # no id column: the whole (used) row is the key
     if cfg.split_method == "random" and cfg.fit_scope == "train":
         raise ValueError("fit_scope='train' needs a hash or stratified split")
