@@ -24,7 +24,7 @@ def test_trees_predict_known_classes_and_beat_majority(spark):
     table.unpersist()
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(st.one_of(st.integers(-50, 50), st.sampled_from([7, 7, 7])), min_size=1, max_size=300),
     p=st.floats(0.0, 1.0),
@@ -39,7 +39,7 @@ def test_exact_quantile_property(spark, values, p):
     assert got == float(s[k - 1])
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     classes=st.lists(st.sampled_from(["a", "a", "a", "b", "c", None]), min_size=1, max_size=400),
     ratio=st.sampled_from([0.5, 0.8, 0.9]),
