@@ -53,3 +53,15 @@ def test_balance_partitions(spark):
     assert balance_partitions(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert balance_partitions(many, 4) is many
+
+
+def test_scratch_lives_under_the_configured_checkpoint_dir(spark):
+    from tabclass.operators.partitioning import materialize
+    from tabclass.session import ensure_checkpoint_dir, scratch_path
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    ckpt = ensure_checkpoint_dir(spark)
+    assert configured.rstrip("/") in ckpt  # the session's folder is used, not a new one
+    assert scratch_path(spark, "x").startswith(ckpt.rstrip("/"))
+    copy = materialize(spark.range(10), "parquet")
+    assert copy.count() == 10 and configured.rstrip("/") in copy.inputFiles()[0]
