@@ -43,7 +43,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run.__doc__ = fn.__doc__
         return run
 
-    return {k: wrap(v) for k, v in QUERIES.items()}
+    return {k: wrap(v) for k, v in (QUERIES | _training_data()[0]).items()}
+
+
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data subpackage and of the pipeline that
+    belongs to it; none of a part that isn't installed."""
+    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    sql: dict[str, str] = {}
+    try:
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "tabclass.llm"):
+            raise
+    try:
+        from tabclass.llm import queries as llm
+
+        found |= llm.QUERIES
+        sql |= llm.ORACLE_SQL
+    except ModuleNotFoundError as e:
+        if e.name != "tabclass.llm":
+            raise
+    return found, sql
 
 
 # =============================================================== SQL building
@@ -508,4 +533,4 @@ FROM ({' UNION ALL '.join(theta_rows)}) t JOIN cls ON cls.label = t.class CROSS
     o["recipe_fraud"] = f"SELECT * REPLACE (round(distance_to_merchant, {D}) AS distance_to_merchant) FROM ({RECIPE_FRAUD_FULL})"
     o["recipe_matches"] = RECIPE_MATCHES
     o["recipe_salary"] = RECIPE_SALARY
-    return o
+    return o | _training_data()[1]
