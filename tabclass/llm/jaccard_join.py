@@ -10,7 +10,8 @@ n - t + l shingles of both sets have at least l in common.  A class estimates
 what l = 1 would cost it (how often its frequent prefix shingles occur) and
 takes a longer prefix, with a larger l, the more candidates it would meet; two
 classes are compared only when they share min(l, l') shingles of the prefixes
-of that level.  Order and l change the work, never the result.
+of that level, at positions that leave room for the similarity.  Order and l
+change the work, never the result.
 
 Candidates are verified on whole texts.  Within the postings of a shingle the
 class with the largest share of frequent shingles is the hub; hub pairs come
@@ -34,9 +35,9 @@ WORDS = 5
 #: Similarity as a fraction of integers, so that the test is exact.
 NUM, DEN = 75, 100
 #: A shingle is frequent if the classes of single tasks that hold it add up to this.
-FREQUENT = 8
+FREQUENT = 3
 #: Frequent shingles kept for the global order (they only steer the cost).
-ORDER_SIZE = 1 << 18
+ORDER_SIZE = 1 << 20
 #: Estimated postings that a class may meet before its prefix is lengthened.
 FREE_COST = 32
 #: Shingles that one task holds before it counts them.
@@ -70,7 +71,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def frequent() -> pa.RecordBatch:
         value, count = np.unique(np.concatenate(held), return_counts=True)
-        value, count = value[count > 2], count[count > 2]
+        value, count = value[count > 1], count[count > 1]
         none = pa.nulls(len(value), pa.int64())
         return pa.record_batch([none, pa.array(_signed(value)), none, pa.array(count.astype(np.int64))], names=["doc_id", "cls", "n", "count"])
 
@@ -97,10 +98,10 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frequent()
 
 
-def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Prefix of one sorted set: its shingles in global order, the level from
-    which each belongs to it, the class's level l, and its share of frequent
-    shingles in 1/1000.  ``common`` is sorted, ``counts`` goes with it."""
+def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """Prefix of one sorted set in global order, the class's level l, and its
+    share of frequent shingles in 1/1000.  ``common`` is sorted, ``counts``
+    goes with it."""
     n = len(tokens)
     share = 0
     cost = np.zeros(n, dtype=np.int64)
@@ -115,8 +116,7 @@ def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tuple[
     base = n - must
     level = 1 + int(np.log2(1 + int(cost[: base + 1].sum()) / FREE_COST))
     level = max(1, min(level, must))
-    take = base + level
-    return tokens[:take], np.maximum(1, np.arange(1, take + 1) - base), level, share
+    return tokens[: base + level], level, share
 
 
 def _postings(common: np.ndarray, counts: np.ndarray):
@@ -131,25 +131,24 @@ def _postings(common: np.ndarray, counts: np.ndarray):
                     if n == 0 or (int(cls[i]), n) in seen:
                         continue
                     seen.add((int(cls[i]), n))
-                    tokens, levels, level, share = prefix(value[start[i] : start[i + 1]], common, counts)
-                    parts.append((tokens, levels, int(cls[i]), n, level, share))
+                    tokens, level, share = prefix(value[start[i] : start[i + 1]], common, counts)
+                    parts.append((tokens, int(cls[i]), (n << 20) + (share << 8) + level))
                 if not parts:
                     continue
                 tokens = np.concatenate([p[0] for p in parts])
                 size = [len(p[0]) for p in parts]
                 at = np.searchsorted(common, tokens) if len(common) else np.zeros(len(tokens), np.int64)
                 known = common[np.minimum(at, len(common) - 1)] == tokens if len(common) else np.zeros(len(tokens), bool)
-                # one integer for n, level and share: n * 2**20 + share * 2**8 + level
-                head = np.array([(p[3] << 20) + (p[5] << 8) + p[4] for p in parts], dtype=np.int64)
+                pos = np.concatenate([np.arange(k, dtype=np.int32) for k in size])
                 yield pa.record_batch(
                     [
                         pa.array(_signed(tokens)),
+                        pa.array(np.repeat(np.array([p[1] for p in parts], dtype=np.int64), size)),
                         pa.array(np.repeat(np.array([p[2] for p in parts], dtype=np.int64), size)),
-                        pa.array(np.repeat(head, size)),
-                        pa.array(np.concatenate([p[1] for p in parts]).astype(np.int16)),
+                        pa.array(pos),
                         pa.array(known),
                     ],
-                    names=["tok", "cls", "head", "lvl", "known"],
+                    names=["tok", "cls", "head", "pos", "known"],
                 )
 
     return run
@@ -186,19 +185,45 @@ def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(cls), pa.array(np.diff(start)), batch.column(0).slice(first, len(cls))], names=["cls", "n", "text"])
 
 
+#: What both sides of a posting join carry.
+_SIDE = ("cls", "n", "l", "pos", "band")
+
+#: Of a shared shingle at positions i and j at most min(i, j) come before it in
+#: both orders, and at most min(n - i, n' - j) - 1 after it; and the sizes must allow the similarity.
+_POSSIBLE = (
+    "at = greatest(bandA, bandB)"
+    f" AND {DEN} * least(nA, nB) >= {NUM} * greatest(nA, nB)"
+    f" AND {DEN + NUM} * (least(posA, posB) + least(nA - posA, nB - posB)) >= {NUM} * (nA + nB)"
+)
+
+
+def _side(df: DataFrame, side: str) -> list:
+    return [df[c].alias(c + side) for c in _SIDE]
+
+
 def _counted(rows: DataFrame) -> DataFrame:
-    """Rows (a, b, la, lb, va, vb), one for each shared prefix shingle, to the
-    pairs that share as many as the lower of their levels asks."""
-    need = F.least("la", "lb")
+    """Rows of two postings (sides A and B) of one shingle to the pairs (a, b)
+    that share as many prefix shingles as the lower of their levels asks."""
+    level = [F.expr(f"greatest(1, pos{x} + 1 - (n{x} - cast(ceil(n{x} * {NUM} / {DEN}) AS int)))") for x in "AB"]
+    need = F.least("lA", "lB")
     return (
-        rows.where(F.greatest("va", "vb") <= need)
-        .groupBy("a", "b", need.alias("need"))
+        rows.where(F.greatest(*level) <= need)
+        .groupBy(F.col("clsA").alias("a"), F.col("clsB").alias("b"), need.alias("need"))
         .agg(F.count("*").alias("shared"))
         .where("shared >= need")
         .select("a", "b")
     )
 
 
+def _texts(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in ``pairs``, one text each."""
+    chosen = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
+    chosen = saved(chosen.select("cls", "n", "rep"), "jaccard-chosen")
+    bitmap = id_filter(chosen.select("rep"))
+    near = rows.where(maybe_in(bitmap, F.col("doc_id"))).select("text").mapInArrow(_with_class, "cls long, n long, text string")
+    return saved(near.join(chosen.select("cls", "n"), ["cls", "n"], "left_semi").dropDuplicates(["cls", "n"]), "jaccard-texts")
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     with_b = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
     with_a = with_b.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
@@ -226,50 +251,34 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sort = np.argsort(common)
     common, counts = common[sort], order["count"].to_numpy()[sort]
 
-    # Frequent shingles are shared for certain; the others' postings are few each.
-    posts = rows.select("text").mapInArrow(_postings(common, counts), "tok long, cls long, head long, lvl short, known boolean")
+    posts = rows.select("text").mapInArrow(_postings(common, counts), "tok long, cls long, head long, pos int, known boolean")
     shared = saved(_shared(posts), "jaccard-postings")
 
     spread = shared.select(
-        "tok", "cls", F.shiftright("head", 20).alias("n"), (F.shiftright("head", 8) % 4096).alias("share"),
-        (F.col("head") % 256).cast("int").alias("l"), F.col("lvl").cast("int").alias("v"),
+        "tok", "cls", F.shiftright("head", 20).cast("int").alias("n"), (F.shiftright("head", 8) % 4096).cast("int").alias("share"),
+        (F.col("head") % 256).cast("int").alias("l"), "pos",
     )
     # Sizes of linked sets differ by a factor of 4/3 at most: two neighbouring size bands.
     spread = spread.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.34))).cast("int"))
     spread = spread.withColumn("at", F.explode(F.array(F.col("band"), F.col("band") + 1)))
 
-    hub = F.max(F.struct("share", "cls", "n", "l", "v", "band")).alias("hub")
+    hub = F.max(F.struct("share", *_SIDE)).alias("hub")
     hubs = spread.groupBy("tok", "at").agg(hub, F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
-    star = spread.join(hubs.select("tok", "at", "hub"), ["tok", "at"]).where(
-        "cls <> hub.cls AND at = greatest(band, hub.band)"
-    ).where(F.lit(DEN) * F.least("n", "hub.n") >= F.lit(NUM) * F.greatest("n", "hub.n"))
-    star_pairs = saved(
-        _counted(star.select(F.col("hub.cls").alias("a"), F.col("cls").alias("b"), F.col("hub.l").alias("la"), F.col("l").alias("lb"), F.col("hub.v").alias("va"), F.col("v").alias("vb"))),
-        "jaccard-hub-pairs",
-    )
-    # Every class of any candidate pair is in some group of two or more, so is in this.
-    wanted = spread.join(hubs.select("tok", "at"), ["tok", "at"]).select("cls").distinct()
-    chosen = saved(wanted.join(classes, "cls").select("cls", "n", "rep"), "jaccard-chosen")
-    bitmap = id_filter(chosen.select("rep"))
-    near = rows.where(maybe_in(bitmap, F.col("doc_id"))).select("text").mapInArrow(_with_class, "cls long, n long, text string")
-    texts = saved(near.join(chosen.select("cls", "n"), ["cls", "n"], "left_semi").dropDuplicates(["cls", "n"]), "jaccard-texts")
-
-    links = saved(_links(star_pairs, texts), "jaccard-hub-links")
+    hubs = hubs.select("tok", "at", *[F.col(f"hub.{c}").alias(c + "A") for c in _SIDE])
+    star = hubs.join(spread.select("tok", "at", *_side(spread, "B")), ["tok", "at"]).where(f"clsA <> clsB AND {_POSSIBLE}")
+    star_pairs = saved(_counted(star), "jaccard-hub-pairs")
+    links = saved(_links(star_pairs, _texts(rows, star_pairs, classes)), "jaccard-hub-links")
+    label = connected_components(links, "jaccard-hubs").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
     # The rest: classes that meet in a group and aren't known to be connected.
-    # Equal labels (the least of a class's hubs) mean connected.
-    label = links.select(F.col("b").alias("cls"), F.col("a").alias("comp")).union(links.select("a", "a")).groupBy("cls").agg(F.min("comp").alias("comp"))
     placed = spread.join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    open_groups = placed.groupBy("tok", "at").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    placed = saved(placed.join(open_groups.select("tok", "at"), ["tok", "at"]), "jaccard-open")
-    left, right = (placed.select("tok", "at", *[F.col(c).alias(c + side) for c in ("cls", "n", "l", "v", "band", "comp")]) for side in "ab")
-    rest = left.join(right, ["tok", "at"]).where(
-        f"clsa < clsb AND compa <> compb AND at = greatest(banda, bandb) AND {DEN} * least(na, nb) >= {NUM} * greatest(na, nb)"
-    )
-    rest_pairs = _counted(rest.select(F.col("clsa").alias("a"), F.col("clsb").alias("b"), "la", "lb", "va", "vb"))
+    several = placed.groupBy("tok", "at").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    placed = saved(placed.join(several.select("tok", "at"), ["tok", "at"]), "jaccard-open")
+    left, right = (placed.select("tok", "at", F.col("comp").alias("comp" + x), *_side(placed, x)) for x in "AB")
+    rest = left.join(right, ["tok", "at"]).where(f"clsA < clsB AND compA <> compB AND {_POSSIBLE}")
     tried = star_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest_pairs = saved(rest_pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-other-pairs")
-    more = _links(rest_pairs, texts)
+    rest_pairs = saved(_counted(rest).join(tried, ["a", "b"], "left_anti"), "jaccard-other-pairs")
+    more = _links(rest_pairs, _texts(rows, rest_pairs, classes))
 
     ids = classes.select("cls", "rep")
     every = links.union(more).join(ids.select(F.col("cls").alias("a"), F.col("rep").alias("x")), "a").join(ids.select(F.col("cls").alias("b"), F.col("rep").alias("y")), "b")
@@ -287,6 +296,6 @@ def _shared(posts: DataFrame) -> DataFrame:
 
     per_tok = Window.partitionBy("tok").orderBy("cls")
     rare = posts.where("NOT known").select(
-        "tok", "cls", "head", "lvl", F.lag("cls").over(per_tok).alias("p"), F.lead("cls").over(per_tok).alias("q")
-    ).where("(p IS NOT NULL AND p <> cls) OR (q IS NOT NULL AND q <> cls)").select("tok", "cls", "head", "lvl")
-    return rare.union(posts.where("known").select("tok", "cls", "head", "lvl")).distinct()
+        "tok", "cls", "head", "pos", F.lag("cls").over(per_tok).alias("p"), F.lead("cls").over(per_tok).alias("q")
+    ).where("(p IS NOT NULL AND p <> cls) OR (q IS NOT NULL AND q <> cls)").select("tok", "cls", "head", "pos")
+    return rare.union(posts.where("known").select("tok", "cls", "head", "pos")).distinct()

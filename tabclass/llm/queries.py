@@ -24,7 +24,7 @@ JACCARD_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
-         range(1, greatest(len(w) - 4, 1) + 1), i -> array_to_string(w[i : i + 4], ' '))) END AS s FROM w),
+         range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM w),
 n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles FROM s),
 e AS (SELECT doc_id, unnest(s) AS g FROM s),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
