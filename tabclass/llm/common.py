@@ -1,11 +1,8 @@
 """Small helpers that the operators share."""
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,25 +39,13 @@ def crc_bucket(id_col: Column, n: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(n))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``fn`` on each Arrow batch of ``df`` inside the tasks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None and out.num_rows:
-                yield out
-
-    return df.mapInArrow(run, schema)
-
-
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A fixed-size bitmap of hashes of the one column of ``ids``.  It only
-    saves shuffling rows that a later exact join would drop."""
-    at = f"shiftrightunsigned(xxhash64(`{ids.columns[0]}`), {64 - FILTER_BITS})"
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """A fixed-size bitmap of the top bits of the one column (64-bit hashes).
+    It only saves moving rows that a later exact join would drop."""
+    at = f"shiftrightunsigned(`{hashes.columns[0]}`, {64 - FILTER_BITS})"
     words = (
-        ids.selectExpr(f"{at} >> 5 AS word", f"shiftleft(1L, cast({at} & 31 AS int)) AS bit")
-        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
+        hashes.selectExpr(f"{at} >> 5 AS word", f"shiftleft(1L, cast({at} & 31 AS int)) AS bit")
+        .where("word IS NOT NULL").groupBy("word").agg(F.bit_or("bit").alias("bits"))
     )
     out = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
     found = words.toArrow()
@@ -69,13 +54,17 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def in_filter(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+    return (bitmap[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
+
+
 def maybe_in(bitmap: np.ndarray, id_col: Column) -> Column:
-    """True for every id in the bitmap, and for few others; sees ids only."""
+    """True for every id whose xxhash64 is in the bitmap, and for few others;
+    only the ids go to Python."""
 
     @F.pandas_udf("boolean")
     def hit(hashed: pd.Series) -> pd.Series:
-        at = hashed.to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-        word = (at >> np.uint64(5)).astype(np.int64)
-        return pd.Series((bitmap[word] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1)
+        return pd.Series(in_filter(bitmap, hashed.to_numpy()))
 
     return hit(F.xxhash64(id_col))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabclass.llm.common import id_filter, maybe_in, pick, saved
+from tabclass.llm.common import hash_filter, maybe_in, pick, saved
 from tabclass.llm.components import connected_components
 from tabclass.llm.shingles import text_chunks, text_shingles
 
@@ -219,7 +219,7 @@ def _texts(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """(cls, text) of the classes in ``pairs``, one text each."""
     chosen = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
     chosen = saved(chosen.select("cls", "n", "rep"), "jaccard-chosen")
-    bitmap = id_filter(chosen.select("rep"))
+    bitmap = hash_filter(chosen.select(F.xxhash64("rep")))
     near = rows.where(maybe_in(bitmap, F.col("doc_id"))).select("text").mapInArrow(_with_class, "cls long, n long, text string")
     return saved(near.join(chosen.select("cls", "n"), ["cls", "n"], "left_semi").dropDuplicates(["cls", "n"]), "jaccard-texts")
 

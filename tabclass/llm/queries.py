@@ -4,17 +4,89 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabclass.llm.common import table
+from tabclass.llm.common import crc_bucket, table
+from tabclass.llm.decontaminate import leaks
+from tabclass.llm.fingerprints import fingerprints
+from tabclass.llm.html_text import extract_pages
 from tabclass.llm.jaccard_join import jaccard_components
+from tabclass.llm.language_id import predicted, train
+from tabclass.llm.line_dedup import line_dedup
+from tabclass.llm.mix import mix
+from tabclass.llm.pii import KINDS as PII_KINDS
+from tabclass.llm.pii import find_pii, joined
+from tabclass.llm.quality import scored
+from tabclass.llm.quality import train as train_quality
+from tabclass.llm.secret_scan import secret_scan
+
+
+def _held_out(n: int, remainder: int):
+    return F.coalesce(crc_bucket(F.col("doc_id"), n) == remainder, F.lit(True))
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, ~_held_out(5, 0))
+    verdict = docs.select("doc_id", _held_out(5, 0).alias("held_out"), predicted(model, F.col("text")).alias("v"))
+    return verdict.select("doc_id", "held_out", F.col("v.lang").alias("lang_pred"), F.col("v.score").alias("score"), F.col("v.rejected").alias("rejected"))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    count = lambda i: F.size(F.filter("known", lambda s: s["kind"] == i)).cast("long")
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{PII_KINDS[i]}") for i in range(4)], F.sha2(joined(F.col("known")), 256).alias("base_sha256"),
+        joined(F.array_sort(F.concat("known", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"),
+    )
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_quality(docs, table(spark, sf_dir, "labels"), ~_held_out(4, 2))
+    out = docs.select("doc_id", _held_out(4, 2).alias("held_out"), scored(model, F.col("text")).alias("score"))
+    return out.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_language_id": op3_language_id,
+    "op4_source_mix": op4_source_mix,
+    "op5_pii": op5_pii,
+    "op6_html_text": op6_html_text,
+    "op7_line_dedup": op7_line_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_quality_knn": op9_quality_knn,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 #: Words with A-Z in lower case, as a list.
@@ -34,6 +106,24 @@ u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS v, doc_id AS m FROM n UNION SELECT u.b, r.m FROM r JOIN u ON u.a = r.v AND r.m < u.b)
 SELECT n.doc_id, n.n_shingles, min(r.m) AS component_id FROM n JOIN r ON r.v = n.doc_id GROUP BY ALL"""
 
+LINES_SQL = """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+           FROM documents WHERE text IS NOT NULL),
+c AS (SELECT *, len(regexp_extract_all(line, '[^ \\x09-\\x0D]+')) AS n FROM l),
+w AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM c),
+win AS (SELECT a.doc_id, a.i AS first, min(b.i) AS last FROM w a JOIN w b ON a.doc_id = b.doc_id AND b.i >= a.i
+        AND b.upto - a.upto + a.n >= 50 WHERE a.n > 0 GROUP BY ALL),
+body AS (SELECT win.doc_id, win.first, win.last, string_agg(w.line, chr(10) ORDER BY w.i) AS body
+         FROM win JOIN w ON w.doc_id = win.doc_id AND w.i BETWEEN win.first AND win.last GROUP BY ALL),
+nth AS (SELECT doc_id, first, last, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS k FROM body),
+gone AS (SELECT DISTINCT w.doc_id, w.i FROM w JOIN nth ON nth.doc_id = w.doc_id AND w.i BETWEEN nth.first AND nth.last WHERE nth.k > 1),
+cut AS (SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '') AS text,
+               CAST(count(*) AS BIGINT) AS n_lines, CAST(count(gone.i) AS BIGINT) AS n_removed
+        FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.i = l.i GROUP BY l.doc_id)
+SELECT d.doc_id, cut.text, coalesce(cut.n_lines, 0) AS n_lines, coalesce(cut.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN cut ON cut.doc_id = d.doc_id"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": LINES_SQL,
     "op8_jaccard_join": JACCARD_SQL,
 }
