@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabclass.llm.common import crc_bucket, saved, table
+from tabclass.llm.common import crc_bucket, saved, table, without
 from tabclass.llm.decontaminate import leaks
 from tabclass.llm.jaccard_join import jaccard_components
 from tabclass.llm.language_id import predicted, train
@@ -33,14 +33,14 @@ def without_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
     found = jaccard_components(docs)
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = saved(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
+    return without(docs, "doc_id", dropped)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
     found = leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, "doc_id", saved(found.select("doc_id").distinct(), "leaking"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``saved`` wrote, once nothing reads them any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def pick(docs: DataFrame, **columns: str) -> DataFrame:
@@ -51,6 +61,8 @@ def hash_filter(hashes: DataFrame) -> np.ndarray:
     found = words.toArrow()
     if found.num_rows:
         out[found["word"].to_numpy().astype(np.int64)] = found["bits"].to_numpy().astype(np.uint32)
+    del found
+    pa.default_memory_pool().release_unused()
     return out
 
 
@@ -68,3 +80,17 @@ def maybe_in(bitmap: np.ndarray, id_col: Column) -> Column:
         return pd.Series(in_filter(bitmap, hashed.to_numpy()))
 
     return hit(F.xxhash64(id_col))
+
+
+def parted(docs: DataFrame, key: Column, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` as (rows whose key is surely not in the one column of ``ids``,
+    all others), so that a join of whole texts moves only the others."""
+    bitmap = hash_filter(ids.select(F.xxhash64(ids.columns[0])))
+    hit = maybe_in(bitmap, key)
+    return docs.where(~hit), docs.where(hit)
+
+
+def without(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id isn't in the one column of ``ids``; null ids stay."""
+    clear, rest = parted(docs, F.col(f"`{id_col}`"), ids)
+    return clear.unionByName(rest.join(ids.withColumnRenamed(ids.columns[0], id_col).distinct(), id_col, "left_anti").select(*docs.columns))

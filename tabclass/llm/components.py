@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabclass.llm.common import saved
+from tabclass.llm.common import discard, saved
 
 
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -28,7 +28,8 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
         large = large.where("v <> u").distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").select(F.explode(F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e")).select("e.v", "e.u")
-        edges = saved(small.where("v <> u").distinct(), f"{name}-step")
+        old, edges = edges, saved(small.where("v <> u").distinct(), f"{name}-step")
+        discard(old)
         state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("v", "u")).alias("x")).first()
         if before == state:
             break

@@ -10,8 +10,8 @@ n - t + l shingles of both sets have at least l in common.  A class estimates
 what l = 1 would cost it (how often its frequent prefix shingles occur) and
 takes a longer prefix, with a larger l, the more candidates it would meet; two
 classes are compared only when they share min(l, l') shingles of the prefixes
-of that level, at positions that leave room for the similarity.  Order and l
-change the work, never the result.
+of that level, at positions and in numbers that leave room for the similarity.
+Order and l change the work, never the result.
 
 Candidates are verified on whole texts.  Within the postings of a shingle the
 class with the largest share of frequent shingles is the hub; hub pairs come
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabclass.llm.common import hash_filter, maybe_in, pick, saved
+from tabclass.llm.common import discard, hash_filter, maybe_in, pick, saved
 from tabclass.llm.components import connected_components
 from tabclass.llm.shingles import text_chunks, text_shingles
 
@@ -37,7 +37,7 @@ NUM, DEN = 75, 100
 #: A shingle is frequent if the classes of single tasks that hold it add up to this.
 FREQUENT = 3
 #: Frequent shingles kept for the global order (they only steer the cost).
-ORDER_SIZE = 1 << 20
+ORDER_SIZE = 1 << 19
 #: Estimated postings that a class may meet before its prefix is lengthened.
 FREE_COST = 32
 #: Shingles that one task holds before it counts them.
@@ -201,17 +201,26 @@ def _side(df: DataFrame, side: str) -> list:
     return [df[c].alias(c + side) for c in _SIDE]
 
 
+def _must(size: str) -> str:
+    """ceil of the least overlap of a set of that size, in SQL."""
+    return f"cast(ceil({size} * {NUM} / {DEN}) AS int)"
+
+
 def _counted(rows: DataFrame) -> DataFrame:
-    """Rows of two postings (sides A and B) of one shingle to the pairs (a, b)
-    that share as many prefix shingles as the lower of their levels asks."""
-    level = [F.expr(f"greatest(1, pos{x} + 1 - (n{x} - cast(ceil(n{x} * {NUM} / {DEN}) AS int)))") for x in "AB"]
+    """Rows of two postings (sides A and B) of one shingle to (a, b, shared,
+    missing): pairs that share as many prefix shingles as the lower of their
+    levels asks.  ``missing`` is how many prefix shingles they would have to
+    share besides: the set whose prefix ends first in the global order has
+    n - prefix shingles after it, and shares none else before it."""
+    level = [F.expr(f"greatest(1, pos{x} + 1 - (n{x} - {_must(f'n{x}')}))") for x in "AB"]
     need = F.least("lA", "lB")
+    after = F.expr(f"greatest({_must('nA')} - lA, {_must('nB')} - lB)")
+    least = F.expr(f"cast(ceil({NUM} * (nA + nB) / {NUM + DEN}) AS int)") - after
     return (
-        rows.where(F.greatest(*level) <= need)
-        .groupBy(F.col("clsA").alias("a"), F.col("clsB").alias("b"), need.alias("need"))
-        .agg(F.count("*").alias("shared"))
-        .where("shared >= need")
-        .select("a", "b")
+        rows.groupBy(F.col("clsA").alias("a"), F.col("clsB").alias("b"), need.alias("need"), least.alias("least"))
+        .agg(F.count("*").alias("shared"), F.count_if(F.greatest(*level) <= need).alias("matches"))
+        .where("matches >= need")
+        .select("a", "b", "shared", (F.col("least") - F.col("shared")).alias("missing"))
     )
 
 
@@ -221,7 +230,9 @@ def _texts(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     chosen = saved(chosen.select("cls", "n", "rep"), "jaccard-chosen")
     bitmap = hash_filter(chosen.select(F.xxhash64("rep")))
     near = rows.where(maybe_in(bitmap, F.col("doc_id"))).select("text").mapInArrow(_with_class, "cls long, n long, text string")
-    return saved(near.join(chosen.select("cls", "n"), ["cls", "n"], "left_semi").dropDuplicates(["cls", "n"]), "jaccard-texts")
+    out = saved(near.join(chosen.select("cls", "n"), ["cls", "n"], "left_semi").dropDuplicates(["cls", "n"]), "jaccard-texts")
+    discard(chosen)
+    return out
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -250,6 +261,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     common = order["cls"].to_numpy().view(np.uint64)
     sort = np.argsort(common)
     common, counts = common[sort], order["count"].to_numpy()[sort]
+    del order
+    pa.default_memory_pool().release_unused()
 
     posts = rows.select("text").mapInArrow(_postings(common, counts), "tok long, cls long, head long, pos int, known boolean")
     shared = saved(_shared(posts), "jaccard-postings")
@@ -266,8 +279,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hubs = spread.groupBy("tok", "at").agg(hub, F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
     hubs = hubs.select("tok", "at", *[F.col(f"hub.{c}").alias(c + "A") for c in _SIDE])
     star = hubs.join(spread.select("tok", "at", *_side(spread, "B")), ["tok", "at"]).where(f"clsA <> clsB AND {_POSSIBLE}")
-    star_pairs = saved(_counted(star), "jaccard-hub-pairs")
-    links = saved(_links(star_pairs, _texts(rows, star_pairs, classes)), "jaccard-hub-links")
+    # A class tries the hub with which it shares most.
+    star_pairs = saved(_counted(star).groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), "jaccard-hub-pairs")
+    texts = _texts(rows, star_pairs, classes)
+    links = saved(_links(star_pairs, texts), "jaccard-hub-links")
+    discard(texts)
     label = connected_components(links, "jaccard-hubs").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
     # The rest: classes that meet in a group and aren't known to be connected.
@@ -277,12 +293,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     left, right = (placed.select("tok", "at", F.col("comp").alias("comp" + x), *_side(placed, x)) for x in "AB")
     rest = left.join(right, ["tok", "at"]).where(f"clsA < clsB AND compA <> compB AND {_POSSIBLE}")
     tried = star_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest_pairs = saved(_counted(rest).join(tried, ["a", "b"], "left_anti"), "jaccard-other-pairs")
-    more = _links(rest_pairs, _texts(rows, rest_pairs, classes))
+    rest_pairs = _counted(rest).where("missing <= 0").select("a", "b")
+    rest_pairs = saved(rest_pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-other-pairs")
+    texts = _texts(rows, rest_pairs, classes)
+    more = saved(_links(rest_pairs, texts), "jaccard-other-links")
 
     ids = classes.select("cls", "rep")
     every = links.union(more).join(ids.select(F.col("cls").alias("a"), F.col("rep").alias("x")), "a").join(ids.select(F.col("cls").alias("b"), F.col("rep").alias("y")), "b")
     found = connected_components(every.select(F.col("x").alias("a"), F.col("y").alias("b")), "jaccard")
+    discard(shared, placed, star_pairs, rest_pairs, texts, links, more)
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("cls", "n", F.coalesce("component", "rep").alias("component_id"))
     out = members.join(named, ["cls", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

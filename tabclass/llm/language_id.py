@@ -19,8 +19,8 @@ from tabclass.llm.common import pick
 from tabclass.llm.shingles import text_chunks
 
 #: Labelled rows per language that the model is fitted on, and in all.
-ROWS_PER_LANG = 400
-MAX_ROWS = 4000
+ROWS_PER_LANG = 250
+MAX_ROWS = 2500
 BUCKET_BITS = 12
 DIM = 16
 EPOCHS = 60
