@@ -186,14 +186,26 @@ def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: What both sides of a posting join carry.
-_SIDE = ("cls", "n", "l", "pos", "band")
+_SIDE = ("cls", "n", "l", "pos", "band", "m")
 
-#: Of a shared shingle at positions i and j at most min(i, j) come before it in
-#: both orders, and at most min(n - i, n' - j) - 1 after it; and the sizes must allow the similarity.
+def _must(size: str) -> str:
+    """Least overlap of a set of that size, in SQL."""
+    return f"cast(ceil({size} * {NUM} / {DEN}) AS int)"
+
+
+#: Prefix shingles that both sides share at least: the set whose prefix ends
+#: first in the global order has n - prefix shingles after it, no more.
+_LEAST = f"cast(ceil({NUM} * (nA + nB) / {NUM + DEN}) AS int) - greatest({_must('nA')} - lA, {_must('nB')} - lB)"
+
+#: The sizes must allow the similarity.  Of a shared shingle at positions i and
+#: j at most min(i, j) come before it in both orders, and at most
+#: min(n - i, n' - j) - 1 after it.  And m, the number of a class's prefix
+#: shingles that any other class holds, limits what two classes share.
 _POSSIBLE = (
     "at = greatest(bandA, bandB)"
     f" AND {DEN} * least(nA, nB) >= {NUM} * greatest(nA, nB)"
     f" AND {DEN + NUM} * (least(posA, posB) + least(nA - posA, nB - posB)) >= {NUM} * (nA + nB)"
+    f" AND least(mA, mB) >= {_LEAST}"
 )
 
 
@@ -201,21 +213,13 @@ def _side(df: DataFrame, side: str) -> list:
     return [df[c].alias(c + side) for c in _SIDE]
 
 
-def _must(size: str) -> str:
-    """ceil of the least overlap of a set of that size, in SQL."""
-    return f"cast(ceil({size} * {NUM} / {DEN}) AS int)"
-
-
 def _counted(rows: DataFrame) -> DataFrame:
     """Rows of two postings (sides A and B) of one shingle to (a, b, shared,
     missing): pairs that share as many prefix shingles as the lower of their
-    levels asks.  ``missing`` is how many prefix shingles they would have to
-    share besides: the set whose prefix ends first in the global order has
-    n - prefix shingles after it, and shares none else before it."""
+    levels asks, and how many more they would have to share."""
     level = [F.expr(f"greatest(1, pos{x} + 1 - (n{x} - {_must(f'n{x}')}))") for x in "AB"]
     need = F.least("lA", "lB")
-    after = F.expr(f"greatest({_must('nA')} - lA, {_must('nB')} - lB)")
-    least = F.expr(f"cast(ceil({NUM} * (nA + nB) / {NUM + DEN}) AS int)") - after
+    least = F.expr(_LEAST)
     return (
         rows.groupBy(F.col("clsA").alias("a"), F.col("clsB").alias("b"), need.alias("need"), least.alias("least"))
         .agg(F.count("*").alias("shared"), F.count_if(F.greatest(*level) <= need).alias("matches"))
@@ -268,7 +272,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = saved(_shared(posts), "jaccard-postings")
 
     spread = shared.select(
-        "tok", "cls", F.shiftright("head", 20).cast("int").alias("n"), (F.shiftright("head", 8) % 4096).cast("int").alias("share"),
+        "tok", "cls", "m", F.shiftright("head", 20).cast("int").alias("n"), (F.shiftright("head", 8) % 4096).cast("int").alias("share"),
         (F.col("head") % 256).cast("int").alias("l"), "pos",
     )
     # Sizes of linked sets differ by a factor of 4/3 at most: two neighbouring size bands.
@@ -317,4 +321,6 @@ def _shared(posts: DataFrame) -> DataFrame:
     rare = posts.where("NOT known").select(
         "tok", "cls", "head", "pos", F.lag("cls").over(per_tok).alias("p"), F.lead("cls").over(per_tok).alias("q")
     ).where("(p IS NOT NULL AND p <> cls) OR (q IS NOT NULL AND q <> cls)").select("tok", "cls", "head", "pos")
-    return rare.union(posts.where("known").select("tok", "cls", "head", "pos")).distinct()
+    both = rare.union(posts.where("known").select("tok", "cls", "head", "pos"))
+    per_class = Window.partitionBy("cls", "head")  # a class's prefix at most, after copies from other tasks go
+    return both.dropDuplicates(["cls", "head", "tok"]).withColumn("m", F.count("*").over(per_class).cast("int"))
