@@ -22,7 +22,7 @@ from tabclass.plans import queries as Q  # noqa: E402
 from tabclass.plans import standins as S  # noqa: E402
 from tabclass.plans.experiments import RunConfig, run_experiments  # noqa: E402
 from tabclass.plans.models import ClassifierRegistry, default_classifiers, naive_bayes  # noqa: E402
-from tabclass.session import local_session  # noqa: E402
+from tools.local_spark import one_machine  # noqa: E402
 
 
 def _run_plan(df) -> None:
@@ -40,7 +40,7 @@ def _sf_value(sf_dir: str):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    spark = one_machine(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     spark.range(10).count()
     # The reference's sweep protocol: partitions = workers (its w8/p8 run).
     n = int(cpus) if cpus.isdigit() else 8

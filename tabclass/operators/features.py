@@ -5,8 +5,8 @@ but the vocabularies are NOT fitted with ``StringIndexer.fit``: that call
 builds a value -> count map for every column in each task and ships all of
 them to the driver without any bound.  Here the counts are one DataFrame
 aggregation (map-side combine, then a shuffle of distinct (column, value)
-pairs only), their number is checked against ``max_categories`` before
-anything reaches the driver, and the ordered labels are handed to
+pairs only), their number is checked against ``max_categories``, if given,
+before anything reaches the driver, and the ordered labels are handed to
 ``StringIndexerModel.from_arrays_of_labels``.  The ordering is
 ``StringIndexer``'s default: count descending, ties by value ascending.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tabclass.operators.columns import ColumnRoles, infer_column_roles
 
-DEFAULT_MAX_CATEGORIES = 100_000
+DEFAULT_MAX_CATEGORIES = None  # no limit; callers may set one
 LABEL_COL = "label"
 FEATURES_COL = "features"
 

@@ -70,3 +70,13 @@ def map_boolean_text(df: DataFrame, column: str, true: str = "1", false: str = "
         column,
         F.when(c == "true", F.lit(true)).when(c == "false", F.lit(false)).otherwise(F.col(column).cast("string")),
     )
+
+
+def invalid_rows(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """Rows that the assembler skips: any numeric column is NULL or NaN.  One
+    narrow filter; ``count()`` of it is the number of skipped rows."""
+    bad = F.lit(False)
+    for c in numeric:
+        value = F.col(c).cast("double")
+        bad = bad | value.isNull() | F.isnan(value)
+    return df.where(bad)

@@ -5,7 +5,7 @@
   different splits) and Spark sorts every partition on all columns before
   sampling, so it is kept for parity only.
 * ``hash_split``: a row goes to train when the first 32 bits of md5(key),
-  modulo 10000, fall below ``ratio * 10000``.  It is a narrow per-row
+  a number below 2**32, fall below ``ratio * 2**32``.  It is a narrow per-row
   expression: no shuffle, no sort, the same rows at any partitioning or
   cluster size, and it re-computes identically after an executor is lost.
 * ``stratified_split``: exactly ``round(ratio * n_c)`` rows of each class go to
@@ -18,7 +18,7 @@
   32-bit hash narrows it to one hash value); the distinct (hash, key) pairs of
   that range, counted map-side, give the exact threshold; and the final flag
   is a per-row comparison with the threshold of the row's class, brought in
-  by a broadcast join of a table with one row per class (size checked).  No
+  by a join with a table of one row per class.  No
   task ever sorts more than a bounded number of distinct keys, and a key
   repeated a billion times is one counted pair.
 """
@@ -32,25 +32,23 @@ from pyspark.sql import functions as F
 DEFAULT_SEED = 42
 DEFAULT_TRAIN_RATIO = 0.8
 SPLIT_COL = "split"
-HASH_MODULUS = 10_000
+HASH_RANGE = 1 << 32
 BUCKET_BITS = 16
-MAX_STRATA = 10_000
 # Distinct (hash, key) pairs one task may rank per class before a second level is used.
 RANK_LIMIT = 1_000_000
 
 
 def _check_ratio(ratio: float) -> None:
     if not 0.0 < ratio < 1.0:
-        raise ValueError(f"train_ratio must be in (0, 1), got {ratio}")
+        raise ValueError(f"the train share must lie between 0 and 1, not {ratio}")
 
 
 def random_split(
     df: DataFrame, ratio: float = DEFAULT_TRAIN_RATIO, seed: int = DEFAULT_SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Reference behaviour: ``randomSplit([ratio, 1 - ratio], seed)``."""
+    """Spark's own sampler; the sides change with the partitioning."""
     _check_ratio(ratio)
-    train, test = df.randomSplit([ratio, 1.0 - ratio], seed=seed)
-    return train, test
+    return tuple(df.randomSplit([ratio, 1.0 - ratio], seed))
 
 
 def key_text(keys: Sequence[str]) -> Column:
@@ -72,10 +70,7 @@ def key_hash32(keys: Sequence[str]) -> Column:
 
 def hash_split_flag(keys: Sequence[str], ratio: float = DEFAULT_TRAIN_RATIO) -> Column:
     _check_ratio(ratio)
-    threshold = int(round(ratio * HASH_MODULUS))
-    return F.when(
-        key_hash32(keys) % HASH_MODULUS < F.lit(threshold), F.lit("train")
-    ).otherwise(F.lit("test"))
+    return F.when(key_hash32(keys) < F.lit(round(ratio * HASH_RANGE)), F.lit("train")).otherwise(F.lit("test"))
 
 
 def hash_split(
@@ -86,29 +81,17 @@ def hash_split(
     return df.withColumn(column, hash_split_flag(keys, ratio))
 
 
-def _boundaries(counts: DataFrame) -> list:
+def _boundaries(counts: DataFrame) -> DataFrame:
     """Per class, the bucket holding the wanted rank.
 
     ``counts`` has (_s class, _b bucket, _n rows, _t wanted rank in the class);
     the window runs over the small count table (at most 65536 buckets per
-    class).  Returns rows (_s, _b, _r rank inside the bucket, _n).
+    class).  Returns (_s, _b, _r rank inside the bucket, _n), a row per class.
     """
     w = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = counts.withColumn("_cum", F.sum("_n").over(w))
-    rows = (
-        c.where((F.col("_cum") - F.col("_n") < F.col("_t")) & (F.col("_t") <= F.col("_cum")))
-        .select("_s", "_b", (F.col("_t") - (F.col("_cum") - F.col("_n"))).alias("_r"), "_n")
-        .limit(MAX_STRATA + 1)
-        .collect()
-    )
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata")
-    return rows
-
-
-def _small_table(spark, rows: list, schema: str) -> DataFrame:
-    """A per-class table of at most MAX_STRATA rows (checked by the caller), broadcast."""
-    return F.broadcast(spark.createDataFrame([tuple(r) for r in rows], schema))
+    hit = c.where((F.col("_cum") - F.col("_n") < F.col("_t")) & (F.col("_t") <= F.col("_cum")))
+    return hit.select("_s", "_b", (F.col("_t") - (F.col("_cum") - F.col("_n"))).alias("_r"), "_n")
 
 
 def stratified_split(
@@ -126,11 +109,8 @@ def stratified_split(
     """
     _check_ratio(ratio)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    spark = df.sparkSession
     order_key = key_text(keys) if len(keys) > 1 else F.col(keys[0])
     base = df.withColumn("_h", key_hash32(keys)).withColumn("_o", order_key).withColumn("_cs", F.col(stratum))
-    s_type = base.schema["_cs"].dataType.simpleString()
-    o_type = base.schema["_o"].dataType.simpleString()
 
     # Level 1: rows per (class, top 16 hash bits); partial aggregation, only
     # the counts shuffle.  The wanted rank per class is round(ratio * n_c).
@@ -139,39 +119,37 @@ def stratified_split(
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_t", F.round(F.sum("_n").over(Window.partitionBy("_s")) * F.lit(float(ratio))).cast("bigint"))
     )
-    level1 = _boundaries(counts)
-    if not level1:
-        return df.withColumn(column, F.lit("test"))
+    level1 = _boundaries(counts).persist()
+    biggest = level1.agg(F.max("_n")).first()[0]
     # Hash range [lo, hi] and rank r to look for, per class.
-    ranges = [(r["_s"], r["_b"] << BUCKET_BITS, (r["_b"] << BUCKET_BITS) | 0xFFFF, r["_r"]) for r in level1]
+    low = F.shiftleft("_b", BUCKET_BITS)
+    ranges = level1.select("_s", low.alias("_lo"), low.bitwiseOR(F.lit(0xFFFF)).alias("_hi"), "_r")
 
     # Level 2 (only for very large classes): rows per exact 32-bit hash inside
     # the boundary bucket.
-    if max(r["_n"] for r in level1) > RANK_LIMIT:
-        b1 = _small_table(spark, [(s_, lo, r) for s_, lo, _hi, r in ranges], f"_s {s_type}, _lo bigint, _t bigint")
+    if biggest is not None and biggest > RANK_LIMIT:
+        wanted = ranges.select("_s", "_lo", F.col("_r").alias("_t"))
         cand = base.join(
-            b1, F.col("_cs").eqNullSafe(F.col("_s")) & (F.col("_h").bitwiseAND(F.lit(~0xFFFF)) == F.col("_lo"))
+            wanted, F.col("_cs").eqNullSafe(F.col("_s")) & (F.col("_h").bitwiseAND(F.lit(~0xFFFF)) == F.col("_lo"))
         )
         counts2 = cand.groupBy("_s", F.col("_h").alias("_b"), "_t").agg(F.count(F.lit(1)).alias("_n"))
-        ranges = [(r["_s"], r["_b"], r["_b"], r["_r"]) for r in _boundaries(counts2)]
+        ranges = _boundaries(counts2).select("_s", F.col("_b").alias("_lo"), F.col("_b").alias("_hi"), "_r")
 
     # Threshold (hash, key) per class: distinct (hash, key) pairs with their
     # counts inside the range (duplicates collapse map-side), then the first
-    # pair whose running count reaches the rank.
-    sel = _small_table(spark, ranges, f"_s {s_type}, _lo bigint, _hi bigint, _r bigint")
+    # pair whose running count reaches the rank.  These tables have a row per
+    # class; Spark broadcasts them or shuffles, by their size.
     pairs = (
-        base.join(sel, F.col("_cs").eqNullSafe(F.col("_s")) & F.col("_h").between(F.col("_lo"), F.col("_hi")))
+        base.join(ranges, F.col("_cs").eqNullSafe(F.col("_s")) & F.col("_h").between(F.col("_lo"), F.col("_hi")))
         .groupBy("_s", "_h", "_o", "_r")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     w = Window.partitionBy("_s").orderBy("_h", "_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    thresholds = (
+    th = (
         pairs.withColumn("_cum", F.sum("_n").over(w))
         .where((F.col("_cum") - F.col("_n") < F.col("_r")) & (F.col("_r") <= F.col("_cum")))
         .select("_s", F.col("_h").alias("_th"), F.col("_o").alias("_to"))
-        .collect()
     )
-    th = _small_table(spark, thresholds, f"_s {s_type}, _th bigint, _to {o_type}")
 
     # Per-row flag: (hash, key) <= the class threshold.  Classes with k = 0
     # have no threshold and go wholly to test.

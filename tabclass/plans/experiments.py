@@ -88,14 +88,14 @@ class RunConfig:
     fit_scope: str = "all"
     materialize: str = "persist"
     eval_method: str = "confusion"
-    max_categories: int | None = 100_000
+    max_categories: int | None = None
     sink: MetricsSink | None = None
 
     def __post_init__(self) -> None:
         if self.partitions is not None and self.partitions < 1:
-            raise ValueError(f"partitions must be >= 1, got {self.partitions}")
+            raise ValueError(f"a run needs one partition or more, not {self.partitions}")
         if self.workers < 1:
-            raise ValueError(f"workers must be >= 1, got {self.workers}")
+            raise ValueError(f"a run needs one worker or more, not {self.workers}")
         if self.fit_scope not in ("all", "train"):
             raise ValueError(f"fit_scope must be 'all' or 'train', got {self.fit_scope!r}")
         if self.split_method not in ("hash", "random", "stratified"):
@@ -189,9 +189,11 @@ def run_experiments(
     registry = classifiers or default_classifiers()
     names = [d.name for d in datasets]
     if dataset_filter is not None and dataset_filter not in names:
-        raise ValueError(f"unknown dataset {dataset_filter!r}; available: {names}")
+        raise ValueError(f"no dataset is named {dataset_filter!r}; there are {names}")
     clf_names = registry.select(classifier_filter)
     rows: list[dict] = []
+    if cfg.sink is not None:
+        cfg.sink.start()
     for ds in datasets:
         if dataset_filter is not None and ds.name != dataset_filter:
             continue
@@ -215,7 +217,7 @@ def run_experiments(
 
 
 def _err(e: Exception) -> str:
-    return f"{type(e).__name__}: {e}".strip()[:2000] or traceback.format_exc(limit=1)
+    return f"{type(e).__name__}: {e}".strip() or traceback.format_exc(limit=1)
 
 
 def _emit(cfg: RunConfig, row: dict) -> dict:

@@ -42,21 +42,18 @@ def time_by_classifier(results: DataFrame) -> DataFrame:
 def sweep_speedup(results: DataFrame, base_workers: int = 1, base_partitions: int = 1) -> DataFrame:
     """Speed-up of each run against the serial base of the same (dataset, classifier).
 
-    speedup = base total_time_s / total_time_s; an equi-join on
-    (dataset, classifier), never a product.
+    speedup = base total_time_s / total_time_s.  Failed runs are left out; a
+    base that ran more than once counts with its mean; a run without a base, or
+    of no time, keeps its row with a NULL speed-up.
     """
-    base = results.where(
-        (F.col("workers") == base_workers) & (F.col("partitions") == base_partitions)
-    ).select(
-        "dataset", "classifier", F.col("total_time_s").alias("base_time_s"), F.col("accuracy").alias("base_accuracy")
+    ok = results.where(F.coalesce(F.col("status") == "ok", F.lit(True))) if "status" in results.columns else results
+    base = (
+        ok.where((F.col("workers") == base_workers) & (F.col("partitions") == base_partitions))
+        .groupBy("dataset", "classifier")
+        .agg(F.avg("total_time_s").alias("base_time_s"), F.avg("accuracy").alias("base_accuracy"))
     )
-    return results.join(base, ["dataset", "classifier"], "inner").select(
-        "dataset",
-        "classifier",
-        "workers",
-        "partitions",
-        "total_time_s",
-        "base_time_s",
-        (F.col("base_time_s") / F.col("total_time_s")).alias("speedup"),
+    return ok.join(base, ["dataset", "classifier"], "left").select(
+        "dataset", "classifier", "workers", "partitions", "total_time_s", "base_time_s",
+        F.try_divide("base_time_s", "total_time_s").alias("speedup"),
         (F.col("accuracy") - F.col("base_accuracy")).alias("accuracy_delta"),
     )

@@ -56,7 +56,7 @@ def smoke(
         except Exception as e:  # noqa: BLE001 - recorded, the next dataset still runs
             rows.append(
                 (spec.name, spec.size_category, spec.path, None, None, spec.target_column, None, "error",
-                 f"{type(e).__name__}: {e}"[:2000])
+                 f"{type(e).__name__}: {e}")
             )
     return SmokeReport(spark.createDataFrame(rows, PROFILE_SCHEMA), schemas, samples)
 

@@ -63,7 +63,6 @@ REFERENCE_DATASETS: list[DatasetSpec] = [
         "addiction_level",
         "medium",
         normalize=recipes.normalize_social,
-        multi_line=True,
     ),
     DatasetSpec(
         "fraud_detection",
@@ -71,7 +70,6 @@ REFERENCE_DATASETS: list[DatasetSpec] = [
         "is_fraud",
         "large",
         normalize=recipes.normalize_fraud,
-        multi_line=True,
     ),
     DatasetSpec(
         "lol_matches",
@@ -79,7 +77,6 @@ REFERENCE_DATASETS: list[DatasetSpec] = [
         "win",
         "large",
         normalize=lambda df: recipes.normalize_matches(df, recipes.lol_matches_columns()),
-        multi_line=True,
     ),
     DatasetSpec(
         "job_salary",
@@ -87,7 +84,6 @@ REFERENCE_DATASETS: list[DatasetSpec] = [
         "salary_category",
         "medium",
         normalize=recipes.normalize_salary,
-        multi_line=True,
     ),
 ]
 

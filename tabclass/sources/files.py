@@ -42,6 +42,7 @@ def read_csv(
         spark.read.option("header", str(header).lower())
         .option("multiLine", str(multi_line).lower())
         .option("escape", escape)
+        .option("enforceSchema", "false")  # a header that differs from the schema raises
     )
     if schema is not None:
         reader = reader.schema(schema)

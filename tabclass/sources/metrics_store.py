@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference: metrics row fields, in order.
 METRICS_FIELDS = (
@@ -33,6 +32,10 @@ class MetricsSink:
             raise ValueError(f"metrics sink format must be parquet or csv, got {fmt!r}")
         self.spark, self.path, self.fmt = spark, path, fmt
 
+    def start(self) -> None:
+        """Begin a run: rows of an earlier run of this folder go."""
+        metrics_frame(self.spark, []).write.mode("overwrite").option("header", "true").format(self.fmt).save(self.path)
+
     def append(self, row: dict) -> None:
         df = metrics_frame(self.spark, [row]).coalesce(1)
         w = df.write.mode("append")
@@ -59,16 +62,3 @@ def read_metrics(spark: SparkSession, paths: str | list[str], fmt: str = "parque
     if fmt == "csv":
         reader = reader.option("header", "true")
     return reader.format(fmt).load(paths if isinstance(paths, list) else [paths])
-
-
-def union_runs(frames: list[DataFrame]) -> DataFrame:
-    if not frames:
-        raise ValueError("nothing to union")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
-def with_total_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("total_time_s", F.col("train_time_s") + F.col("predict_time_s"))

@@ -13,7 +13,7 @@ from tabclass.operators.evaluate import confusion_matrix  # noqa: E402
 from tabclass.operators.features import _stacked_counts, build_features, with_feature_array  # noqa: E402
 from tabclass.operators.split import hash_split, stratified_split  # noqa: E402
 from tabclass.plans import standins as S  # noqa: E402
-from tabclass.session import local_session  # noqa: E402
+from tools.local_spark import one_machine  # noqa: E402
 
 
 def plans(spark, sf):
@@ -37,7 +37,7 @@ def plans(spark, sf):
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = local_session()
+    spark = one_machine()
     for name, build in plans(spark, sf).items():
         if only and name not in only:
             continue
