@@ -104,8 +104,8 @@ def _figures(start: Column, whole: Column) -> Column:
         alphabet = F.when(token.rlike(pattern), F.lit(letters)).otherwise(alphabet)
     encoding = F.when(token.rlike("^[0-9]+$"), F.lit(None).cast("string")).otherwise(encoding)
     symbols = F.split(token, "")
-    count = lambda c: n - F.length(F.replace(token, c, F.lit("")))
-    squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda a, c: a + (count(c) * count(c)).cast("double"))
+    count = lambda c: (n - F.length(F.replace(token, c, F.lit("")))).cast("double")
+    squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda a, c: a + count(c) * count(c))
     classes = F.translate(token, _DIGITS + _UPPER + _LOWER + "+/_-", "d" * 10 + "U" * 26 + "l" * 26 + "ssss")
     changes = F.length(F.regexp_replace(classes, r"(.)\1+", "$1")) - 1
     value = F.transform(symbols, lambda c: F.instr(alphabet, c).cast("double"))
