@@ -20,6 +20,8 @@ spans and figures, no texts.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,30 +96,49 @@ def _when(encoding: Column, values: dict[str, float]) -> Column:
     return out
 
 
-def _figures(start: Column, whole: Column) -> Column:
-    """Encoding and raw figures of a candidate."""
-    token = F.regexp_replace(whole, "=+$", "")
-    n = F.length(token)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _named(token: Column) -> Column:
+    """A token with its encoding and that encoding's alphabet."""
     encoding, alphabet = F.lit(None).cast("string"), F.lit("")
     for name, pattern, letters, _ in reversed(ENCODINGS):
         encoding = F.when(token.rlike(pattern), F.lit(name)).otherwise(encoding)
         alphabet = F.when(token.rlike(pattern), F.lit(letters)).otherwise(alphabet)
     encoding = F.when(token.rlike("^[0-9]+$"), F.lit(None).cast("string")).otherwise(encoding)
-    symbols = F.split(token, "")
-    count = lambda c: (n - F.length(F.replace(token, c, F.lit("")))).cast("double")
-    squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda a, c: a + count(c) * count(c))
-    classes = F.translate(token, _DIGITS + _UPPER + _LOWER + "+/_-", "d" * 10 + "U" * 26 + "l" * 26 + "ssss")
-    changes = F.length(F.regexp_replace(classes, r"(.)\1+", "$1")) - 1
-    value = F.transform(symbols, lambda c: F.instr(alphabet, c).cast("double"))
+    return F.struct(token.alias("token"), F.length(token).alias("n"), encoding.alias("enc"), alphabet.alias("alphabet"), F.split(token, "").alias("symbols"))
+
+
+def _dsum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _serial(value: Column, n: Column) -> Column:
+    """Lag-1 serial correlation of the symbols' places in the alphabet, cyclic."""
     turned = F.concat(F.slice(value, F.lit(2), n), F.slice(value, F.lit(1), F.lit(1)))
-    dsum = lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
-    total = dsum(value)
-    spread = n * dsum(F.transform(value, lambda x: x * x)) - total * total
-    serial = F.try_divide(n * dsum(F.zip_with(value, turned, lambda x, y: x * y)) - total * total, spread)
-    return F.struct(
-        start.alias("start"), (start + F.length(whole)).alias("end"), n.alias("n"), encoding.alias("enc"), squares.alias("squares"),
-        changes.alias("changes"), serial.alias("serial"), token.rlike("^[A-Za-z][a-z]+$").alias("word"),
-    )
+    total = _dsum(value)
+    spread = n * _dsum(F.transform(value, lambda x: x * x)) - total * total
+    return F.try_divide(n * _dsum(F.zip_with(value, turned, lambda x, y: x * y)) - total * total, spread)
+
+
+def _figures(start: Column, whole: Column) -> Column:
+    """Encoding and raw figures of a candidate."""
+
+    def of(s: Column) -> Column:
+        token, n = s["token"], s["n"]
+        count = lambda c: (n - F.length(F.replace(token, c, F.lit("")))).cast("double")
+        squares = F.aggregate(F.array_distinct(s["symbols"]), F.lit(0.0), lambda a, c: a + count(c) * count(c))
+        classes = F.translate(token, _DIGITS + _UPPER + _LOWER + "+/_-", "d" * 10 + "U" * 26 + "l" * 26 + "ssss")
+        changes = F.length(F.regexp_replace(classes, r"(.)\1+", "$1")) - 1
+        places = F.transform(s["symbols"], lambda c: F.instr(s["alphabet"], c).cast("double"))
+        return F.struct(
+            start.alias("start"), (start + F.length(whole)).alias("end"), n.alias("n"), s["enc"].alias("enc"), squares.alias("squares"),
+            changes.alias("changes"), _let(places, lambda v: _serial(v, n)).alias("serial"), token.rlike("^[A-Za-z][a-z]+$").alias("word"),
+        )
+
+    return _let(_let(F.regexp_replace(whole, "=+$", ""), _named), of)
 
 
 def _random(c: Column) -> Column:
