@@ -29,11 +29,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabclass.session import scratch_path
+
 DEFAULT_SEED = 42
 DEFAULT_TRAIN_RATIO = 0.8
 SPLIT_COL = "split"
 HASH_RANGE = 1 << 32
 BUCKET_BITS = 16
+BROADCAST_STRATA = 10_000
 # Distinct (hash, key) pairs one task may rank per class before a second level is used.
 RANK_LIMIT = 1_000_000
 
@@ -120,7 +123,9 @@ def stratified_split(
         .withColumn("_t", F.round(F.sum("_n").over(Window.partitionBy("_s")) * F.lit(float(ratio))).cast("bigint"))
     )
     level1 = _boundaries(counts).persist()
-    biggest = level1.agg(F.max("_n")).first()[0]
+    biggest, strata = level1.agg(F.max("_n"), F.count(F.lit(1))).first()
+    # Tables of a row per class: broadcast behind this check, else joined as Spark sees fit.
+    small = F.broadcast if strata <= BROADCAST_STRATA else lambda table: table
     # Hash range [lo, hi] and rank r to look for, per class.
     low = F.shiftleft("_b", BUCKET_BITS)
     ranges = level1.select("_s", low.alias("_lo"), low.bitwiseOR(F.lit(0xFFFF)).alias("_hi"), "_r")
@@ -137,10 +142,9 @@ def stratified_split(
 
     # Threshold (hash, key) per class: distinct (hash, key) pairs with their
     # counts inside the range (duplicates collapse map-side), then the first
-    # pair whose running count reaches the rank.  These tables have a row per
-    # class; Spark broadcasts them or shuffles, by their size.
+    # pair whose running count reaches the rank.
     pairs = (
-        base.join(ranges, F.col("_cs").eqNullSafe(F.col("_s")) & F.col("_h").between(F.col("_lo"), F.col("_hi")))
+        base.join(small(ranges), F.col("_cs").eqNullSafe(F.col("_s")) & F.col("_h").between(F.col("_lo"), F.col("_hi")))
         .groupBy("_s", "_h", "_o", "_r")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -150,10 +154,14 @@ def stratified_split(
         .where((F.col("_cum") - F.col("_n") < F.col("_r")) & (F.col("_r") <= F.col("_cum")))
         .select("_s", F.col("_h").alias("_th"), F.col("_o").alias("_to"))
     )
+    # Written and reread, so that the flag below is one scan and one join.
+    path = scratch_path(df.sparkSession, "strata")
+    th.write.parquet(path)
+    th = df.sparkSession.read.schema(th.schema).parquet(path)
 
     # Per-row flag: (hash, key) <= the class threshold.  Classes with k = 0
     # have no threshold and go wholly to test.
-    flagged = base.join(th, F.col("_cs").eqNullSafe(F.col("_s")), "left")
+    flagged = base.join(small(th), F.col("_cs").eqNullSafe(F.col("_s")), "left")
     # NULL keys sort first among equal hashes (the window's ascending order).
     tie_ok = (F.col("_o") <= F.col("_to")) | F.col("_o").isNull()
     in_train = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & tie_ok)
