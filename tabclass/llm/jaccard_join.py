@@ -8,9 +8,12 @@ frequent last.  A set of n shingles that reaches 75 % with some other shares at
 least t = ceil(0.75 n) shingles with it, so for any l <= t the first
 n - t + l shingles of both sets have at least l in common.  A class estimates
 what l = 1 would cost it (how often its frequent prefix shingles occur) and
-takes a longer prefix, with a larger l, the more candidates it would meet; two
-classes are compared only when they share min(l, l') shingles of the prefixes
-of that level, at positions and in numbers that leave room for the similarity.
+takes a longer prefix, with a larger l, the more candidates it would meet.  Two
+classes of n and n' shingles that link share o = ceil(0.75 (n + n') / 1.75) at
+least, so both have l of them among their first n - o + l and n' - o + l: two
+classes are compared only when they share min(l, l') shingles of those parts of
+their prefixes, at positions that leave room for the similarity.  The smaller
+class of a pair needs no more than its first n - ceil(1.5 n / 1.75) + l.
 Order and l change the work, never the result.
 
 Candidates are verified on whole texts.  Within the postings of a shingle the
@@ -38,8 +41,10 @@ NUM, DEN = 75, 100
 FREQUENT = 3
 #: Frequent shingles kept for the global order (they only steer the cost).
 ORDER_SIZE = 1 << 19
-#: Estimated postings that a class may meet before its prefix is lengthened.
-FREE_COST = 32
+#: Estimated postings that a class may meet before its prefix is lengthened,
+#: and how many times as many for each further shingle.  A shingle more in the
+#: prefix costs a row for each pair that meets in it, so it must save many.
+FREE_COST, COST_STEP = 256, 8
 #: Shingles that one task holds before it counts them.
 COUNT_BLOCK = 4_000_000
 
@@ -114,7 +119,8 @@ def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tuple[
             tokens, cost = (x[np.argsort(cost, kind="stable")] for x in (tokens, cost))
     must = -(-n * NUM // DEN)
     base = n - must
-    level = 1 + int(np.log2(1 + int(cost[: base + 1].sum()) / FREE_COST))
+    alike = n + (-2 * n * NUM) // (NUM + DEN)  # as far as a partner of the same size needs
+    level = 1 + int(np.log(1 + int(cost[: alike + 1].sum()) / FREE_COST) / np.log(COST_STEP))
     level = max(1, min(level, must))
     return tokens[: base + level], level, share
 
@@ -193,9 +199,16 @@ def _must(size: str) -> str:
     return f"cast(ceil({size} * {NUM} / {DEN}) AS int)"
 
 
+#: Shingles that two linked sets share at least.
+_BOTH = f"cast(ceil({NUM} * (nA + nB) / {NUM + DEN}) AS int)"
+
+#: The least l for which a shared shingle lies in the parts of both prefixes
+#: that must have l shingles in common.
+_LEVEL = f"greatest(1, posA + 1 + {_BOTH} - nA, posB + 1 + {_BOTH} - nB)"
+
 #: Prefix shingles that both sides share at least: the set whose prefix ends
 #: first in the global order has n - prefix shingles after it, no more.
-_LEAST = f"cast(ceil({NUM} * (nA + nB) / {NUM + DEN}) AS int) - greatest({_must('nA')} - lA, {_must('nB')} - lB)"
+_LEAST = f"{_BOTH} - greatest({_must('nA')} - lA, {_must('nB')} - lB)"
 
 #: The sizes must allow the similarity.  Of a shared shingle at positions i and
 #: j at most min(i, j) come before it in both orders, and at most
@@ -214,17 +227,15 @@ def _side(df: DataFrame, side: str) -> list:
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """Rows of two postings (sides A and B) of one shingle to (a, b, shared,
-    missing): pairs that share as many prefix shingles as the lower of their
-    levels asks, and how many more they would have to share."""
-    level = [F.expr(f"greatest(1, pos{x} + 1 - (n{x} - {_must(f'n{x}')}))") for x in "AB"]
+    """Rows of two postings (sides A and B) of one shingle to (a, b, shared):
+    pairs that share as many shingles as the lower of their levels asks, and
+    how many of the prefixes' shingles they share in these rows."""
     need = F.least("lA", "lB")
-    least = F.expr(_LEAST)
     return (
-        rows.groupBy(F.col("clsA").alias("a"), F.col("clsB").alias("b"), need.alias("need"), least.alias("least"))
-        .agg(F.count("*").alias("shared"), F.count_if(F.greatest(*level) <= need).alias("matches"))
+        rows.groupBy(F.col("clsA").alias("a"), F.col("clsB").alias("b"), need.alias("need"))
+        .agg(F.count("*").alias("shared"), F.count_if(F.expr(_LEVEL) <= need).alias("matches"))
         .where("matches >= need")
-        .select("a", "b", "shared", (F.col("least") - F.col("shared")).alias("missing"))
+        .select("a", "b", "shared")
     )
 
 
@@ -294,10 +305,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = spread.join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     several = placed.groupBy("tok", "at").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     placed = saved(placed.join(several.select("tok", "at"), ["tok", "at"]), "jaccard-open")
-    left, right = (placed.select("tok", "at", F.col("comp").alias("comp" + x), *_side(placed, x)) for x in "AB")
-    rest = left.join(right, ["tok", "at"]).where(f"clsA < clsB AND compA <> compB AND {_POSSIBLE}")
-    tried = star_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest_pairs = _counted(rest).where("missing <= 0").select("a", "b")
+    smaller, larger = (placed.select("tok", "at", F.col("comp").alias("comp" + x), *_side(placed, x)) for x in "AB")
+    smaller = smaller.where(f"posA < nA - cast(ceil({2 * NUM} * nA / {NUM + DEN}) AS int) + lA")
+    rest = smaller.join(larger, ["tok", "at"]).where(
+        f"(nA < nB OR nA = nB AND clsA < clsB) AND compA <> compB AND {_LEVEL} <= least(lA, lB) AND {_POSSIBLE}"
+    )
+    tried = star_pairs.select("a", "b").union(star_pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest_pairs = _counted(rest).select("a", "b")
     rest_pairs = saved(rest_pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-other-pairs")
     texts = _texts(rows, rest_pairs, classes)
     more = saved(_links(rest_pairs, texts), "jaccard-other-links")
