@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabclass.llm.common import discard, hash_filter, maybe_in, pick, saved
+from tabclass.llm.common import discard, hash_filter, in_filter, pick, saved
 from tabclass.llm.components import connected_components
 from tabclass.llm.shingles import text_chunks, text_shingles
 
@@ -184,11 +184,20 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
 
 
-def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, data, offsets in text_chunks(batch.column(0)):
-            _, start, cls = _row_sets(data, offsets)
-            yield pa.record_batch([pa.array(cls), pa.array(np.diff(start)), batch.column(0).slice(first, len(cls))], names=["cls", "n", "text"])
+def _with_class(bitmap: np.ndarray):
+    """Rows (hash of the id, text) -> (cls, n, text) of those whose id may be in
+    the bitmap.  Looked up here, not in a UDF before: a second Python step would
+    hold a second worker for each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = in_filter(bitmap, batch.column(0).to_numpy(zero_copy_only=False))
+            text = batch.column(1).filter(pa.array(hit))
+            for first, data, offsets in text_chunks(text):
+                _, start, cls = _row_sets(data, offsets)
+                yield pa.record_batch([pa.array(cls), pa.array(np.diff(start)), text.slice(first, len(cls))], names=["cls", "n", "text"])
+
+    return run
 
 
 #: What both sides of a posting join carry.
@@ -244,7 +253,7 @@ def _texts(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     chosen = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
     chosen = saved(chosen.select("cls", "n", "rep"), "jaccard-chosen")
     bitmap = hash_filter(chosen.select(F.xxhash64("rep")))
-    near = rows.where(maybe_in(bitmap, F.col("doc_id"))).select("text").mapInArrow(_with_class, "cls long, n long, text string")
+    near = rows.select(F.xxhash64("doc_id"), "text").mapInArrow(_with_class(bitmap), "cls long, n long, text string")
     out = saved(near.join(chosen.select("cls", "n"), ["cls", "n"], "left_semi").dropDuplicates(["cls", "n"]), "jaccard-texts")
     discard(chosen)
     return out
