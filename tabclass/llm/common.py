@@ -1,6 +1,9 @@
 """Small helpers that the operators share."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -11,18 +14,36 @@ from tabclass.session import scratch_path
 
 #: Bits of the fixed-size membership filter (2 MB, whatever the data's size).
 FILTER_BITS = 24
+#: Rows of an Arrow batch at most.  JVM and Python each hold a batch of whole
+#: texts for every task, so this bounds their memory; it changes no result.
+BATCH_ROWS = 1000
+
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ``BATCH_ROWS`` at most; the session's own setting comes back."""
+    before = spark.conf.get(_BATCH_KEY)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_KEY, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the cluster's shared checkpoint folder and reread it:
     lineage is cut and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
