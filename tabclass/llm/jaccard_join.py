@@ -75,8 +75,12 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def frequent() -> pa.RecordBatch:
-        value, count = np.unique(np.concatenate(held), return_counts=True)
-        value, count = value[count > 1], count[count > 1]
+        every = np.concatenate(held)
+        held.clear()
+        every.sort()
+        at = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        count = np.diff(at, append=len(every))
+        value, count = every[at[count > 1]], count[count > 1]
         none = pa.nulls(len(value), pa.int64())
         return pa.record_batch([none, pa.array(_signed(value)), none, pa.array(count.astype(np.int64))], names=["doc_id", "cls", "n", "count"])
 
@@ -98,7 +102,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(held[-1])
             if size > COUNT_BLOCK:
                 yield frequent()
-                held, size = [], 0
+                size = 0
     if size:
         yield frequent()
 

@@ -19,6 +19,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 #: Text that is hashed at once; its arrays take about 60 times as much.
 CHUNK_BYTES = 1 << 18
+#: Rows of a chunk at most: what is kept per row is bounded for short texts too.
+CHUNK_ROWS = 256
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -64,7 +66,9 @@ _powers = _Powers()
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) of consecutive rows of at most ``limit``
-    bytes together; a longer row comes alone and whole.  Nulls have no bytes."""
+    bytes together and at most CHUNK_ROWS; a longer row comes alone and whole.
+    Nulls have no bytes."""
+    pa.default_memory_pool().release_unused()  # of earlier batches; workers live on between stages
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -76,7 +80,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1)
-        last = min(last, len(column))
+        last = min(last, len(column), first + CHUNK_ROWS)
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 
