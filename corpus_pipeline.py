@@ -24,8 +24,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines cut; a text of which no word is left goes."""
-    cut = line_dedup(docs)
+    """Later repeated runs of lines cut to their ends; a text of which no word is
+    left goes."""
+    cut = line_dedup(docs, extend=True)
     kept = cut.where(r"n_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 

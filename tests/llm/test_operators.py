@@ -96,6 +96,29 @@ def test_line_dedup_equals_definition(spark):
     assert got == want
 
 
+def test_extended_line_dedup_cuts_whole_runs(spark):
+    rng = random.Random(12)
+    pool = [prose(i, rng.randrange(0, 30)) for i in range(25)]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9)))) for i in range(60)]
+    head, tail, other = prose(500, 60), prose(501, 40), prose(502, 10)
+    rows += [(100, f"{head}\n{tail}\n{other}"), (101, f"x\n{head}\n{tail}\ny")]  # 60 and 40 shared words
+    rows += [(102, f"{prose(503, 60)}\nz"), (103, f"{prose(503, 60)}\n{tail}"), (104, f"{prose(503, 60)}\n{tail}")]  # 104 shares more with 103 than with 102
+    earlier, want = set(), {}
+    for d, t in rows:
+        lines = t.split("\n")
+        runs = [(a, b) for b in range(len(lines)) for a in range(b + 1) if lines[a].split() and lines[b].split() and len(" ".join(lines[a : b + 1]).split()) >= 50]
+        runs.sort()
+        gone = set()
+        for a, b in runs:  # by first line: an equal run that starts above is an earlier place
+            body = tuple(lines[a : b + 1])
+            gone |= set(range(a, b + 1)) if body in earlier else set()
+            earlier.add(body)
+        want[d] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+    assert want[101] == ("x\ny", 4, 2) and want[104] == ("", 2, 2)
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup(docs(spark, rows), extend=True).collect()}
+    assert got == want
+
+
 def test_leaks_exact_and_with_other_values(spark):
     question = "if Anna buys 12 apples at 3 dollars and sells them for 5 dollars how much does Anna earn in total after all"
     asked = question.replace("Anna", "Peter").replace("12", "40").replace("3 d", "7 d")
