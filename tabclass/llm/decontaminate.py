@@ -2,13 +2,18 @@
 
 Words lose their outer punctuation and case; numbers become a NUM placeholder,
 capitalised words inside a sentence a NAME, units of measure after a number a
-UNIT.  Windows of ``window`` template words of every document are hash-joined
-with those of the benchmark items.  Windows on the same diagonal (document
-position minus item position) form one aligned passage.  Its slots must be
-consistent: a value of the item always stands for the same value of the
-document, as in a question asked again with other parameters; else the
-diagonal doesn't count.  A document leaks an item if a consistent passage
-covers ``min_run`` template words of it, or the whole item if that is shorter.
+UNIT.  Windows of ``window`` words of every document are hash-joined with those
+of the benchmark items, by two routes:
+
+- template words.  Windows on the same diagonal (document position minus item
+  position) that touch or overlap form one run.  Its slots must be consistent: a
+  value of the item always stands for the same value of the document, as in a
+  question asked again with other parameters; else the run doesn't count.
+- literal words, whatever they are: a verbatim window always counts.
+
+An item shorter than a window is one window, looked for at every position of the
+documents.  A document leaks an item if the windows that count on one diagonal
+cover ``min_run`` words of it, or the whole item if that is shorter.
 """
 from __future__ import annotations
 
@@ -16,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabclass.llm.common import hash_filter, in_filter, pick, saved
@@ -25,7 +30,7 @@ from tabclass.llm.shingles import STEP, _LOWER, _SPACE, mix64, text_chunks, word
 #: Template words of a window, and of a passage that counts.
 WINDOW = 8
 MIN_RUN = 13
-#: Literal words that a window has at least; with fewer it says nothing.
+#: Literal words that a template window has at least; with fewer it says nothing.
 MIN_LITERALS = 4
 
 # Units of measure and currency words, lower case.
@@ -51,6 +56,8 @@ def _one(word: str) -> np.uint64:
     return word_hashes(data, np.array([0]), np.array([len(data)]))[0]
 
 
+#: Keeps the hashes of literal windows apart from those of template windows.
+_LITERAL = 1 << 32
 _UNIT_HASHES = np.sort(np.array([_one(u) for u in UNITS], dtype=np.uint64))
 
 
@@ -89,63 +96,66 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return code, value, row
 
 
-def template_windows(code: np.ndarray, value: np.ndarray, row: np.ndarray, n_rows: int, window: int) -> tuple[np.ndarray, ...]:
-    """(row, position, hash, first word) of the windows; a row with fewer words
-    is one window.  Windows with too few literal words are left out."""
+def word_windows(code: np.ndarray, value: np.ndarray, row: np.ndarray, begin: np.ndarray, size: int, literal: bool) -> tuple[np.ndarray, ...]:
+    """(row, position, hash, first word) of the windows of ``size`` words within a
+    row, of literal or of template words.  Template windows with too few literal
+    words are left out."""
     n = len(code)
-    count = np.bincount(row, minlength=n_rows) if n else np.zeros(n_rows, np.int64)
-    begin = np.concatenate([[0], np.cumsum(count)])
-    literal = np.concatenate([[0], np.cumsum(code == value)])
-    parts = []
-    if n >= window:
-        h = np.zeros(n - window + 1, dtype=np.uint64)
-        for j in range(window):
-            h = h * STEP + code[j : n - window + 1 + j]
-        at = np.flatnonzero((row[: n - window + 1] == row[window - 1 :]) & (literal[window:] - literal[:-window] >= min(MIN_LITERALS, window)))
-        parts.append((row[at], at - begin[row[at]], mix64(h[at] + np.uint64(window)), at))
-    for r in np.flatnonzero((count > 0) & (count < window)):
-        a, b = begin[r], begin[r + 1]
-        if literal[b] - literal[a] >= min(MIN_LITERALS, b - a):
-            h = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for j in range(a, b):
-                    h = h * STEP + code[j]
-                h = mix64(np.array([h + np.uint64(b - a)], dtype=np.uint64))
-            parts.append((np.array([r]), np.array([0]), h, np.array([a])))
-    if not parts:
+    if n < size:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty.astype(np.uint64), empty
-    return tuple(np.concatenate([p[i] for p in parts]) for i in range(4))
-
-
-def _lists(code: np.ndarray, value: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
+    word = value if literal else code
+    h = np.zeros(n - size + 1, dtype=np.uint64)
+    for j in range(size):
+        h = h * STEP + word[j : n - size + 1 + j]
+    good = row[: n - size + 1] == row[size - 1 :]
+    if not literal:
+        same = np.concatenate([[0], np.cumsum(code == value)])
+        good &= same[size:] - same[:-size] >= min(MIN_LITERALS, size)
+    at = np.flatnonzero(good)
+    return row[at], at - begin[row[at]], mix64(h[at] + np.uint64(size + (_LITERAL if literal else 0))), at
+
+
+def _lists(code: np.ndarray, value: np.ndarray, first: np.ndarray, size: int) -> pa.Array:
     """Values of the slots of each window (0 at literal words)."""
-    flat = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    flat = (first[:, None] + np.arange(size)).ravel()
     slots = np.where(code[flat] == value[flat], np.uint64(0), value[flat])
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(slots.view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array((np.arange(len(first) + 1) * size).astype(np.int32)), pa.array(slots.view(np.int64)))
 
 
-def _emit(window: int, bitmap: np.ndarray | None):
+def _emit(window: int, bitmap: np.ndarray | None, short: tuple[int, ...] = ()):
+    """Windows of both routes: of items (no bitmap), one window for an item
+    shorter than ``window``; of documents, also windows of the ``short`` lengths."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, data, offsets in text_chunks(batch.column(1)):
                 code, value, row = template(data, offsets)
                 n_rows = len(offsets) - 1
                 count = np.bincount(row, minlength=n_rows) if len(row) else np.zeros(n_rows, np.int64)
-                where, pos, hashes, first = template_windows(code, value, row, n_rows, window)
-                if bitmap is not None and len(hashes):
-                    hit = in_filter(bitmap, hashes)
-                    where, pos, hashes, first = where[hit], pos[hit], hashes[hit], first[hit]
-                size = np.minimum(count[where], window) if len(where) else np.zeros(0, np.int64)
-                yield pa.record_batch(
-                    [batch.column(0).take(pa.array(where + at)), pa.array(count[where]), pa.array(pos), pa.array(hashes.view(np.int64)), _lists(code, value, first, size)],
-                    names=["id", "n", "pos", "hash", "slots"],
-                )
+                begin = np.concatenate([[0], np.cumsum(count)])
+                sizes = sorted({window, *short}) if bitmap is not None else sorted({window, *count[(count > 0) & (count < window)].tolist()})
+                for size in sizes:
+                    for literal in (False, True):
+                        where, pos, hashes, first = word_windows(code, value, row, begin, size, literal)
+                        if bitmap is None and size < window:
+                            hit = count[where] == size
+                        elif bitmap is not None and len(hashes):
+                            hit = in_filter(bitmap, hashes)
+                        else:
+                            hit = np.ones(len(hashes), dtype=bool)
+                        where, pos, hashes, first = where[hit], pos[hit], hashes[hit], first[hit]
+                        slots = _lists(code, value, first, 0 if literal else size)
+                        yield pa.record_batch(
+                            [batch.column(0).take(pa.array(where + at)), pa.array(count[where]), pa.array(pos), pa.array(hashes.view(np.int64)), slots,
+                             pa.array(np.full(len(where), literal))],
+                            names=["id", "n", "pos", "hash", "slots", "literal"],
+                        )
 
     return run
 
 
-_SCHEMA = "id long, n long, pos long, hash long, slots array<long>"
+_SCHEMA = "id long, n long, pos long, hash long, slots array<long>, literal boolean"
 
 
 def leaks(
@@ -153,7 +163,7 @@ def leaks(
     item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, min_run: int = MIN_RUN,
 ) -> DataFrame:
     """(doc_id, item_id, n_words): one row for each document and item that leaks
-    into it, with the template words of the longest consistent passage.
+    into it, with the words that count of the best aligned passage.
 
     Null and empty texts leak nothing.  Rows that repeat a document id count as
     one document, likewise items; ids that are null are left out.  Other columns
@@ -162,18 +172,26 @@ def leaks(
     items = pick(benchmark, id=item_id, text=item_text).select(F.col("id").cast("long").alias("id"), "text").where("id IS NOT NULL")
     items = saved(items.mapInArrow(_emit(window, None), _SCHEMA), "leak-items")
     bitmap = hash_filter(items.select("hash"))
+    short = tuple(r["n"] for r in items.where(F.col("n") < window).select("n").distinct().collect())  # fewer than window
     rows = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), "text").where("id IS NOT NULL")
-    hits = rows.mapInArrow(_emit(window, bitmap), _SCHEMA).select(F.col("id").alias("doc_id"), F.col("pos").alias("dpos"), "hash", F.col("slots").alias("dslots"))
-    items = items.select(F.col("id").alias("item_id"), "n", F.col("pos").alias("ipos"), "hash", F.col("slots").alias("islots"))
-    both = saved(hits.join(items, "hash").withColumn("diagonal", F.col("dpos") - F.col("ipos")), "leak-hits")
+    hits = rows.mapInArrow(_emit(window, bitmap, short), _SCHEMA)
+    hits = hits.select(F.col("id").alias("doc_id"), F.col("pos").alias("dpos"), "hash", "literal", F.col("slots").alias("dslots"))
+    items = items.select(F.col("id").alias("item_id"), "n", F.col("pos").alias("ipos"), "hash", "literal", F.col("slots").alias("islots"))
+    both = hits.join(items, ["hash", "literal"]).withColumn("diagonal", F.col("dpos") - F.col("ipos"))
+    # Runs: windows of an item that touch or overlap, at most the item's length in a group.
+    along = Window.partitionBy("doc_id", "item_id", "diagonal", "literal").orderBy("ipos")
+    gap = F.when(F.col("ipos") > F.lag("ipos").over(along) + window, 1).otherwise(0)
+    both = saved(both.withColumn("gap", gap).withColumn("run", F.sum("gap").over(along)).drop("gap"), "leak-hits")
 
     passage = ["doc_id", "item_id", "diagonal"]
-    slots = both.select(*passage, F.explode(F.arrays_zip("islots", "dslots")).alias("s")).where("s.islots <> 0")
-    bound = slots.groupBy(*passage, "s.islots").agg(F.min("s.dslots").alias("low"), F.max("s.dslots").alias("high"))
-    broken = bound.where("low <> high").select(*passage).distinct()
-    sound = both.join(broken, passage, "left_anti")
-
-    # Words of the item that the passage's windows cover.
+    run = [*passage, "run"]
+    templates = both.where("NOT literal")
+    slots = templates.select(*run, F.explode(F.arrays_zip("islots", "dslots")).alias("s")).where("s.islots <> 0")
+    bound = slots.groupBy(*run, "s.islots").agg(F.min("s.dslots").alias("low"), F.max("s.dslots").alias("high"))
+    broken = bound.where("low <> high").select(*run).distinct()
+    sound = templates.join(broken, run, "left_anti").select(*passage, "n", "ipos").unionByName(both.where("literal").select(*passage, "n", "ipos"))
+
+    # Words of the item that the windows cover.
     covered = sound.select(*passage, "n", F.explode(F.sequence(F.col("ipos"), F.col("ipos") + F.least(F.lit(window), F.col("n")) - 1)).alias("at")).distinct()
     size = covered.groupBy(*passage, "n").agg(F.count("*").alias("n_words"))
     long_enough = size.where(F.col("n_words") >= F.least(F.lit(min_run), F.col("n")))

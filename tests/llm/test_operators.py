@@ -129,6 +129,18 @@ def test_leaks_exact_and_with_other_values(spark):
     assert leaks(docs(spark, rows), other.limit(0)).count() == 0
 
 
+def test_leaks_of_verbatim_passages(spark):
+    twice = prose(41, 4) + " and Anna " + prose(42, 20) + " of Anna " + prose(43, 20)  # one of two equal names edited
+    short, numbers, word = "the five last words match", "11 22 33 44 55 66 77 88 99 10 21 32 43 54 65", "zyzzyva"
+    far = prose(44, 8) + " by Karl " + prose(45, 8)  # each run is consistent, two runs
+    other = spark.createDataFrame([(1, twice), (2, short), (3, numbers), (4, word), (5, far)], "item_id long, text string")
+    rows = [(1, prose(51, 30) + " " + twice.replace("of Anna", "of Maria") + " " + prose(52, 9)), (2, prose(53, 20) + " " + short + " " + prose(54, 20)),
+            (3, prose(55, 20) + " x " + numbers + " " + prose(56, 20)), (4, prose(57, 3) + " (Zyzzyva) " + prose(58, 12)), (5, "x " + far.replace("Karl", "Emil")),
+            (6, prose(59, 20) + " the five last words differ"), (7, "y " + numbers.replace("88", "89")), *ODD]
+    found = {(r.doc_id, r.item_id): r.n_words for r in leaks(docs(spark, rows), other).collect()}
+    assert found == {(1, 1): len(twice.split()) - 1, (2, 2): 5, (3, 3): 15, (4, 4): 1, (5, 5): 18}
+
+
 def test_mix_meets_targets(spark):
     rng = random.Random(3)
     rows = [(i, "w " * rng.randrange(0, 60), rng.choice(["a", "b", "c", "d", None])) for i in range(400)]
