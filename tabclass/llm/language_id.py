@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 from tabclass.llm.common import pick
 from tabclass.llm.shingles import text_chunks
 
-#: Labelled rows per language that the model is fitted on, and in all.
+#: Distinct labelled texts per language that the model is fitted on.
 ROWS_PER_LANG = 250
-MAX_ROWS = 2500
 BUCKET_BITS = 12
 DIM = 16
 EPOCHS = 60
@@ -121,26 +120,45 @@ def fit(x: np.ndarray, langs: list[str], seed: int = 7) -> Model:
     return Model(names, (table * scale).astype(np.float32), (bias * scale).astype(np.float32), bar)
 
 
+def _smallest_hashes(rows: DataFrame, n: dict[str, int]) -> dict[str, int]:
+    """For each language of ``rows(lang, h)`` its ROWS_PER_LANG-th smallest
+    distinct hash, or the largest if there are fewer.  ``n`` estimates the distinct
+    hashes: twice as many as needed are drawn, and again if that was too few."""
+    rates = {lang: min(1.0, 2 * ROWS_PER_LANG / max(1, c)) for lang, c in n.items()}
+    bars: dict[str, int] = {}
+    while rates:
+        upto = {lang: min((1 << 63) - 1, int(rate * (1 << 64)) - (1 << 63)) for lang, rate in rates.items()}
+        limit = F.create_map(*[F.lit(v) for pair in upto.items() for v in pair])
+        found: dict[str, list[int]] = {lang: [] for lang in rates}
+        for r in rows.where(F.col("h") <= limit[F.col("lang")]).select("lang", "h").distinct().collect():
+            found[r["lang"]].append(r["h"])
+        for lang, hashes in found.items():
+            if len(hashes) >= ROWS_PER_LANG or rates[lang] == 1:
+                bars[lang] = sorted(hashes)[:ROWS_PER_LANG][-1]
+        rates = {lang: min(1.0, 4 * rate) for lang, rate in rates.items() if lang not in bars}
+    return bars
+
+
 def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Fit on a sample of the rows of ``docs`` where ``learn`` holds: about
-    ROWS_PER_LANG of each language by a hash of the text, MAX_ROWS at most, each
-    text whole.  None if no row has a label.  The number of languages is taken
-    to be small; it is the number of classes of the model."""
+    """Fit on a sample of the rows of ``docs`` where ``learn`` holds: of each
+    language the ROWS_PER_LANG distinct texts with the smallest hashes, or all if
+    there are fewer, each text whole.  The sample depends on the set of labelled
+    texts alone, not on their order or copies.  None if no row has a label.  The
+    number of languages is taken to be small; it is the number of classes."""
     rows = docs.where(learn).select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text", F.lit("language")))
+    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not n:
         return None
-    rate = F.create_map(*[F.lit(v) for lang, c in n.items() for v in (lang, min(1.0, ROWS_PER_LANG / c))])
-    drawn = F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20)
+    bars = _smallest_hashes(rows, n)
+    bar = F.create_map(*[F.lit(v) for pair in bars.items() for v in pair])
 
     @F.arrow_udf("binary")
     def features(text: pa.Array) -> pa.Array:
         return pa.array([r.tobytes() for _, d, o in text_chunks(text) for r in averaged(gram_counts(d, o))], pa.binary())
 
-    sample = rows.where(drawn).limit(MAX_ROWS).select("lang", features("text").alias("x"), F.xxhash64("text").alias("h")).toArrow()
-    if sample.num_rows == 0:
-        return None
+    drawn = rows.where(F.col("h") <= bar[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    sample = drawn.select("lang", features("text").alias("x"), F.xxhash64("text").alias("h")).toArrow()
     sample = sample.sort_by([("h", "ascending"), ("lang", "ascending")])
     x = np.frombuffer(b"".join(sample["x"].to_pylist()), dtype=np.float32).reshape(sample.num_rows, -1)
     return fit(x, sample["lang"].to_pylist())

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabclass.llm import html_text, pii
+from tabclass.llm import language_id as language_id_module
 from tabclass.llm.decontaminate import leaks
 from tabclass.llm.fingerprints import fingerprints, near_pairs
 from tabclass.llm.jaccard_join import jaccard_components
@@ -179,6 +180,19 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id(df, F.lit(False)).collect()} == {"und"}
 
 
+def test_language_sample_keeps_every_language(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language_id_module, "fit", lambda x, langs: taken.append((langs, x)) or "model")
+    rows = [(f"l{k:02d}", f"{w} text {i} in language {k}") for k, w in enumerate(WORDS[:12]) for i in range(300 if k < 11 else 40)]
+    copies = rows + [("l00", "one text, many copies")] * 3000
+    for part in (rows, copies, copies[::-1]):
+        df = spark.createDataFrame(part, "lang string, text string").coalesce(1)
+        assert language_id_module.train(df, F.lit(True)) == "model"
+    for langs, _ in taken:
+        assert {k: langs.count(k) for k in langs} == {f"l{k:02d}": 250 if k < 11 else 40 for k in range(12)}
+    assert taken[1][0] == taken[2][0] and (taken[1][1] == taken[2][1]).all()
+
+
 def test_quality(spark):
     good = [(i, prose(i, 40), 1) for i in range(60)]
     bad = [(100 + i, " ".join(w.upper() + "!!" for w in prose(i, 40).split()), 0) for i in range(60)]
