@@ -27,11 +27,17 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 UNSEEN = frozenset("script style noscript template svg math head iframe object canvas audio video select textarea button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noscript template svg".split())
+#: What may stand in a head; any other tag, or text, ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title script style noscript template noframes".split())
+#: Tags that end svg and math that were left open, and the elements of these that may hold HTML.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+HOLDS_HTML = frozenset("mi mo mn ms mtext annotation-xml".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?][^>]*>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'>]*/$")  # the slash belongs to an attribute's value
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
@@ -51,8 +57,15 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 out.append((tuple(w for _, ws in stack for w in ws), text, min(1.0, linked / len(text))))
             parts, linked = [], 0
 
+    def cut(i: int) -> None:
+        nonlocal hidden
+        hidden -= sum(x in UNSEEN for x, _ in stack[i:])
+        del stack[i:]
+
     def add(piece: str) -> None:
         nonlocal linked
+        if stack and stack[-1][0] == "head" and piece.strip(" \t\n\r\f\v"):
+            cut(len(stack) - 1)
         if piece and not hidden:
             parts.append(piece)
             if links:
@@ -68,6 +81,13 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if not name:
             continue
         name = name.lower()
+        if not closing and hidden:  # a head, or foreign content, that ends without its own tag
+            if stack[-1][0] == "head" and name not in IN_HEAD:
+                cut(len(stack) - 1)
+            elif name in BREAKOUT:
+                foreign = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("math", "svg")), None)
+                if foreign is not None and not any(x in HOLDS_HTML for x, _ in stack[foreign:]):
+                    cut(foreign)
         if name == "a":
             links = 0 if closing else 1
         if name in INLINE:
@@ -78,8 +98,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    hidden -= sum(x in UNSEEN for x, _ in stack[i:])
-                    del stack[i:]
+                    cut(i)
                     break
             continue
         links = 0
@@ -88,14 +107,20 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if name in ("p", "li", "dd", "dt", "tr", "td", "th", "option"):  # a new one ends an open one
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
+                    cut(i)
                     break
-                if stack[i][0] in ("div", "ul", "ol", "table", "article", "section", "dl"):
+                if stack[i][0] in ("div", "ul", "ol", "table", "article", "section", "dl", "object"):
                     break
         named = [w.lower() for x in NAMES.findall(attributes or "") for y in x for w in NAME_WORD.findall(y)]
+        if name in ("html", "head") and any(x == "head" for x, _ in stack):
+            continue
+        if name in ("svg", "math") and attributes.endswith("/") and not UNQUOTED_END.search(attributes):
+            continue
         if name in RAW:  # its content is no markup
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if name == "title" or name in UNSEEN:
+            if name == "svg" and not end:  # hidden until a tag that ends it
+                pass
+            elif name == "title" or name in UNSEEN:
                 at = end.end() if end else len(page)
                 continue
         stack.append((name, (name, *(f".{w}" for w in named))))

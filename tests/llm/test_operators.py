@@ -293,6 +293,28 @@ def test_html_main_text(spark):
     assert out[2] == out[3] == out[4] == ""
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>T</title><meta charset=x><body><p>one<p>two</body></html>", ["one", "two"]),
+    ("<head><title>T</title><link rel=x><style>s</style><p>one</p><p>two", ["one", "two"]),
+    ("<head><title>T</title><a href=x>one</a> two<p>three", ["one two", "three"]),
+    ("<head><title>T</title>\n one <b>two</b><p>three", ["one two", "three"]),
+    ("<head><title>T</title><noscript>n</noscript></head><p>one", ["one"]),
+    ("<head><html><title>T</title><body><p>one", ["one"]),
+    ("<body><p>a<video><p>one</p></video></p><p>two</p><div>three</div>", ["a", "one", "two", "three"]),
+    ("<ul><li>a<button>go<li>one<li>two</ul><p>three", ["a", "one", "two", "three"]),
+    ("<p>a<object><p>hid</p></object></p><p>one", ["a", "one"]),
+    ("<p>a <svg width='1'/> one</p><p>two", ["a", "one", "two"]),
+    ("<p>a</p><svg class=x /><p>one</p><svg><text>hid</text></svg><p>two", ["a", "one", "two"]),
+    ("<p>a</p><svg width=5/><text>hid</text></svg><p>one", ["a", "one"]),
+    ("<p>a</p><svg><path d=x /><text>hid<p>one</p><p>two", ["a", "one", "two"]),
+    ("<p>a</p><math/><p>one</p><math><mi>hid</mi><p>two", ["a", "one", "two"]),
+    ("<p>a</p><math><mtext><b>hid</b></mtext></math><p>one", ["a", "one"]),
+    ("<p>a</p><script/>hid</script><p>one", ["a", "one"]),
+])
+def test_html_text_after_errors_and_omissions(page, want):
+    assert [t for _, t, _ in html_text.blocks(page)] == want
+
+
 def test_fingerprints_of_edited_texts(spark):
     rows = [(3, prose(3, 50)), (1, prose(1, 30)), (2, prose(1, 30)), (5, "é𝒳 short"), (7, ""), (8, None)]
     out = {r.doc_id: r for r in fingerprints(docs(spark, [*rows, (None, "lost one")])).collect()}
