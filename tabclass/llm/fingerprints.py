@@ -3,8 +3,8 @@
 Each of PERMUTATIONS universal hash functions (odd multiplier and offset modulo
 2**64) keeps its minimum over the shingles of a whole text; the fingerprint is
 the list of minima, and the share of equal minima estimates the Jaccard
-similarity of two texts' shingle sets.  ``near_pairs`` joins bands of the
-signature in Spark and verifies the Jaccard similarity of what meets.
+similarity of two texts' shingle sets.  ``near_pairs`` and ``near_classes`` join
+bands of the signature in Spark and verify the Jaccard similarity of what meets.
 """
 from __future__ import annotations
 
@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabclass.llm.common import pick, saved
+from tabclass.llm.common import discard, pick, saved
+from tabclass.llm.components import connected_components
 from tabclass.llm.shingles import distinct_by_row, text_chunks, text_shingles
 
 WORDS = 5
@@ -123,26 +124,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(a, b, jaccard): documents whose signatures agree in a whole band with
-    the band's smallest id, and whose shingle sets really are ``similar``.
-
-    Equal texts are joined once, by their smallest id, and every band is a star
-    around its smallest id, so a group of n near-copies gives n pairs a band and
-    not n squared.  Null ids and texts without words pair with nothing.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text, h) of the rows with an id and with words, and (h, rep, sig)
+    of each of their texts, by its hash, with the smallest id."""
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    rows = rows.where(F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    signed = saved(rows.select("doc_id", signature(F.col("text")).alias("sig"), F.xxhash64("text").alias("h")), "near-signatures")
-    classes = signed.groupBy("h", "sig").agg(F.min("doc_id").alias("rep"))
-    width = 4 * PERMUTATIONS // BANDS
-    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.substring("sig", i * width + 1, width)).alias("key")) for i in range(BANDS)])
-    posted = classes.select("rep", F.explode(bands).alias("b")).select("rep", "b.band", "b.key")
-    least = posted.groupBy("band", "key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1")
-    pairs = saved(posted.join(least, ["band", "key"]).where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "near-candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = saved(rows.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "near-texts")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
+    rows = rows.where(F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).withColumn("h", F.xxhash64("text"))
+    signed = rows.select("doc_id", "h", signature(F.col("text")).alias("sig"))
+    return rows, saved(signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "near-classes")
+
+
+def _similar(pairs: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
+    """(x, y, jaccard) of those ``pairs(x, y)`` of text hashes whose shingle sets
+    are ``similar``."""
+    chosen = pairs.select(F.explode(F.array("x", "y")).alias("h")).distinct()
+    texts = saved(rows.join(chosen, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text")), "near-texts")
+    both = pairs.join(texts.select(F.col("h").alias("x"), F.col("text").alias("xt")), "x").join(texts.select(F.col("h").alias("y"), F.col("text").alias("yt")), "y")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,6 +150,69 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             same = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*found)], dtype=float)
             jaccard = same / np.maximum(1, np.array([len(x) + len(y) for x, y in zip(*found)]) - same)
             good = pa.array(jaccard >= similar)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(jaccard)], names=["a", "b", "jaccard"]).filter(good)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(jaccard)], names=["x", "y", "jaccard"]).filter(good)
+
+    out = saved(both.select("x", "y", "xt", "yt").mapInArrow(verify, "x long, y long, jaccard double"), "near-links")
+    discard(texts)
+    return out
+
 
-    return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, jaccard double")
+def _links(classes: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
+    """(x, y, jaccard) of verified pairs of text hashes, with the same connected
+    components as all pairs that agree in a whole band and are ``similar``.
+
+    Every bucket of a band is first a star around its hubs, so a group of n
+    near-copies gives about 2 n pairs a band and not n squared.  Members that this
+    leaves in different components are then compared with one another.
+    """
+    width = 4 * PERMUTATIONS // BANDS
+    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.substring("sig", i * width + 1, width)).alias("key")) for i in range(BANDS)])
+    posted = classes.select("h", "rep", F.explode(bands).alias("b")).select("h", "rep", "b.band", "b.key")
+    hubs = posted.groupBy("band", "key").agg(F.array(F.min(F.struct("rep", "h"))["h"], F.min("h")).alias("hubs"), F.count("*").alias("n")).where("n > 1").drop("n")
+    posted = saved(posted.join(hubs, ["band", "key"]), "near-buckets")
+    star = posted.select("h", F.explode("hubs").alias("hub")).where("h <> hub")
+    pair = [F.least("h", "hub").alias("x"), F.greatest("h", "hub").alias("y")]
+    compared = saved(star.select(*pair).distinct(), "near-candidates")
+    links = _similar(compared, rows, similar)
+
+    parts = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-parts").withColumnRenamed("node", "h")
+    member = posted.join(parts, "h", "left").select("band", "key", "h", F.coalesce("component", "h").alias("part"))
+    member = saved(member, "near-members")
+    split = member.groupBy("band", "key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band", "key")
+    member = member.join(split, ["band", "key"], "left_semi")
+    part = member.select("band", "key", "part").distinct()
+    # Parts are paired before their members, so members of one part never meet.
+    apart = part.withColumnRenamed("part", "p").join(part.withColumnRenamed("part", "q"), ["band", "key"]).where("p < q")
+    left, right = (member.select("band", "key", F.col("part").alias(c), F.col("h").alias(n)) for c, n in (("p", "h"), ("q", "hub")))
+    rest = apart.join(left, ["band", "key", "p"]).join(right, ["band", "key", "q"]).select(*pair).distinct()
+    more = _similar(saved(rest.join(compared, ["x", "y"], "left_anti"), "near-candidates"), rows, similar)
+    return links.unionByName(more)
+
+
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """(a, b, jaccard): pairs of documents whose signatures agree in a whole band
+    and whose shingle sets really are ``similar``; not all of them, but enough to
+    connect all that such pairs connect.
+
+    Equal texts are joined once, by their smallest id.  Null ids and texts without
+    words pair with nothing.
+    """
+    rows, classes = _classes(docs, id_col, text_col)
+    links = _links(classes, rows, similar)
+    rep = classes.select("h", "rep")
+    found = links.join(rep.toDF("x", "i"), "x").join(rep.toDF("y", "j"), "y")
+    return found.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "jaccard").distinct()
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """(doc_id, near_class) of every document id: the smallest id that near
+    pairs and equal texts connect it with, itself if there is none.  An id with
+    several texts has the smallest of their classes."""
+    rows, classes = _classes(docs, id_col, text_col)
+    links = _links(classes, rows, similar)
+    parts = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-classes").withColumnRenamed("node", "h")
+    member = classes.select("h", "rep").join(parts, "h", "left").select("h", "rep", F.coalesce("component", "h").alias("part"))
+    least = member.groupBy("part").agg(F.min("rep").alias("near_class"))
+    named = member.join(least, "part").select("h", "near_class")
+    found = rows.select("doc_id", "h").distinct().join(named, "h", "left").groupBy("doc_id").agg(F.min("near_class").alias("near_class"))
+    return saved(found, "near-found")

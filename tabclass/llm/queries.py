@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabclass.llm.common import crc_bucket, table
 from tabclass.llm.decontaminate import leaks
-from tabclass.llm.fingerprints import fingerprints
+from tabclass.llm.fingerprints import fingerprints, near_classes
 from tabclass.llm.html_text import extract_pages
 from tabclass.llm.jaccard_join import jaccard_components
 from tabclass.llm.language_id import predicted, train
@@ -30,7 +30,9 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = fingerprints(docs).join(near_classes(docs), "doc_id", "left")
+    return found.withColumn("near_class", F.coalesce("near_class", F.col("doc_id").cast("long")))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

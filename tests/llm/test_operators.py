@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tabclass.llm import html_text, pii
 from tabclass.llm import language_id as language_id_module
 from tabclass.llm.decontaminate import leaks
-from tabclass.llm.fingerprints import fingerprints, near_pairs
+from tabclass.llm.fingerprints import fingerprints, near_classes, near_pairs
 from tabclass.llm.jaccard_join import jaccard_components
 from tabclass.llm.language_id import language_id
 from tabclass.llm.line_dedup import line_dedup
@@ -338,6 +338,20 @@ def test_near_pairs_are_verified(spark):
     assert pairs[0].jaccard == pytest.approx(len(a & b) / len(a | b))
 
 
+def test_false_hubs_hide_no_near_pair(spark):
+    rng = random.Random(5)
+    parts = [prose(700 + i, 30) for i in range(20)]
+    core = " ".join(parts)
+    hubs = [(i, " ".join(x for j, x in enumerate(parts) if j in set(keep))) for i in range(1, 101) for keep in [rng.sample(range(20), 15)]]
+    rows = [*hubs, (1000, core + " " + prose(801, 60)), (1001, core + " " + prose(802, 60)), (1002, core + " " + prose(802, 60))]
+    sets = {i: shingles(t) for i, t in rows}
+    pairs = {(r.a, r.b) for r in near_pairs(docs(spark, rows)).collect()}
+    assert all(len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b]) for a, b in pairs)
+    assert (1000, 1001) in pairs
+    found = {r.doc_id: r.near_class for r in near_classes(docs(spark, rows + ODD)).collect()}
+    assert found[1000] == found[1001] == found[1002] and found[903] == 903 and None not in found
+
+
 def test_empty_tables(spark):
     none = docs(spark, [])
     assert [f(none).count() for f in (jaccard_components, line_dedup, mix, secret_scan, pii.find_pii, fingerprints)] == [0] * 6
