@@ -110,6 +110,12 @@ def fit(x: np.ndarray, labels: np.ndarray, seed: int = 5) -> Model:
     return model
 
 
+def hash_bar(n: int) -> int:
+    """The 64-bit hash up to which about 0.9 * SAMPLE_ROWS of ``n`` rows lie."""
+    rate = min(1.0, 0.9 * SAMPLE_ROWS / n)
+    return min((1 << 63) - 1, int(rate * (1 << 64)) - (1 << 63))
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on a sample of the rows of ``labels(id, label)`` where ``learn``
     holds, SAMPLE_ROWS at most, chosen by a hash of the id; their texts are
@@ -118,8 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     n = known.count()
     if n == 0:
         return None
-    rate = min(1.0, 0.9 * SAMPLE_ROWS / n)
-    drawn = known.where(F.pmod(F.xxhash64(F.col("id"), F.lit("quality")), F.lit(1 << 20)) < int(rate * (1 << 20))).dropDuplicates(["id"]).limit(SAMPLE_ROWS)
+    drawn = known.where(F.xxhash64(F.col("id"), F.lit("quality")) <= hash_bar(n)).dropDuplicates(["id"]).limit(SAMPLE_ROWS)
 
     @F.arrow_udf("binary")
     def bag(text: pa.Array) -> pa.Array:

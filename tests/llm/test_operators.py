@@ -18,7 +18,7 @@ from tabclass.llm.jaccard_join import jaccard_components
 from tabclass.llm.language_id import language_id
 from tabclass.llm.line_dedup import line_dedup
 from tabclass.llm.mix import fill, mix
-from tabclass.llm.quality import features, scored
+from tabclass.llm.quality import features, hash_bar, scored
 from tabclass.llm.quality import train as train_quality
 from tabclass.llm.secret_scan import discoveries, secret_scan
 
@@ -293,6 +293,12 @@ def test_html_main_text(spark):
     assert out[2] == out[3] == out[4] == ""
 
 
+def test_quality_sample_of_any_size():
+    for n in (1, 2700, 10**6, 3 * 10**9, 10**13):
+        drawn = n * (hash_bar(n) + (1 << 63)) / (1 << 64)
+        assert drawn == pytest.approx(min(n, 2700), rel=1e-3)
+
+
 @pytest.mark.parametrize("page, want", [
     ("<html><head><title>T</title><meta charset=x><body><p>one<p>two</body></html>", ["one", "two"]),
     ("<head><title>T</title><link rel=x><style>s</style><p>one</p><p>two", ["one", "two"]),
