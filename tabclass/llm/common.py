@@ -26,11 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of ``BATCH_ROWS`` at most; the session's own setting comes back."""
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of ``rows`` at most; the session's own setting comes back."""
     before = spark.conf.get(_BATCH_KEY)
-    if not 0 < int(before) <= BATCH_ROWS:
-        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(_BATCH_KEY, rows)
     try:
         yield
     finally:
