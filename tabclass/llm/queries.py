@@ -21,6 +21,7 @@ from tabclass.llm.pii import find_pii, joined
 from tabclass.llm.quality import scored
 from tabclass.llm.quality import train as train_quality
 from tabclass.llm.secret_scan import secret_scan
+from tabclass.llm.toxicity import toxicity
 
 
 def _held_out(n: int, remainder: int):
@@ -92,6 +93,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits(damaged, F.col("dropped")).drop("starts_system")
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~_held_out(3, 1))
+    return found.select(
+        "doc_id", _held_out(3, 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        F.array_join("evidence", ", ").alias("evidence"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -105,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_lexical_search": op11_lexical_search,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_toxicity": op13_toxicity,
 }
 
 #: Words with A-Z in lower case, as a list.
