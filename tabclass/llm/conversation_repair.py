@@ -13,11 +13,12 @@ longest common prefix over those hashes; where hashes agree, the prefixes are
 compared letter by letter up to their shared node, and a collision falls back to
 the strings.  Two equally cheap audits of the same rows are never prefixes of one
 another (the longer one would hold more inserts and cost more), so the order of
-prefixes is the order of all their completions.  Prefixes that all four states
-share are settled and leave the tree, so a long conversation costs a letter a row.
+prefixes is the order of all their completions.  States that can't win any more are
+dropped, and what the others' audits share is settled and leaves the tree: a letter
+a row, or a few nodes a row where two ways stay equally cheap to the end.
 
 Spark shuffles and sorts the rows by conversation (spilling as needed); a task
-reads them as a stream and holds one batch, four hash states and the tree.  The
+reads them as a stream and holds one batch, four hash states and the tree (of no texts).  The
 text hash of a conversation is sequential by definition, so one conversation's
 rows pass through one task, but are never held there.
 
@@ -211,6 +212,11 @@ class Conversation:
             role_, to = WANTED[state]
             self._offer(after, to, cost + REROLE + extra, source, "R", f"{role_}:{text}", state)
         self._inserts(after)
+        # From ``a`` every way on from ``s`` is open at the same cost, and every way on
+        # from the start at DELETE more (its leading s): what costs more than that goes.
+        for state, more in ((START, DELETE), (SYSTEM, 0)):
+            if after[state] and after[ASSISTANT] and after[state][0] > after[ASSISTANT][0] + more:
+                after[state] = None
         self.best = after
         if len(self.tree.letter) > self.clean_at:
             there = [i for i, b in enumerate(after) if b is not None]
@@ -220,7 +226,7 @@ class Conversation:
 
     def result(self) -> dict:
         low, high, n = self.turns or (0, -1, 0)
-        ends = [b for b in (self.best[START], self.best[ASSISTANT]) if b is not None]
+        ends = [b for b in (self.best[START], self.best[ASSISTANT]) if b is not None]  # never both dropped
         best = ends[0]
         for other in ends[1:]:
             if other[0] < best[0] or other[0] == best[0] and self.tree.less(other[1], best[1]):
