@@ -19,6 +19,7 @@ FILTER_BITS = 24
 BATCH_ROWS = 1000
 
 _BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +38,24 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]
         spark.conf.set(_BATCH_KEY, before)
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The jobs' shuffle files go as soon as the job is done: what it wrote cuts the lineage."""
+    before = spark.conf.get(_CLEANUP_KEY, "false")
+    spark.conf.set(_CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP_KEY, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the cluster's shared checkpoint folder and reread it:
-    lineage is cut and a lost executor costs no recomputation."""
+    lineage is cut, a lost executor costs no recomputation, and the shuffle files
+    of the job are removed at its end."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with small_batches(spark):
+    with small_batches(spark), _shuffles_dropped(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
