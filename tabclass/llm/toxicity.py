@@ -40,13 +40,16 @@ from tabclass.llm.shingles import _LOWER, text_chunks, word_hashes
 
 #: Distinct labelled texts of each label that the model is fitted on, at most.
 EXAMPLES = 3000
-#: Marked terms at most, and the least chi-squared and toxic texts of one.
-MAX_TERMS, CHI_SQUARED, LEAST_TEXTS = 4096, 15.0, 3
+#: Marked terms at most, and the least chi-squared (chance passes it for one in some
+#: ten million terms) and toxic texts of one.
+MAX_TERMS, CHI_SQUARED, LEAST_TEXTS = 4096, 30.0, 3
 STEMS = (4, 5, 6, 7, 8)
 ORDINARY = 4.0
 NEIGHBOURS, SHARPNESS = 15, 4
 BLOCK = 64
 EVIDENCE = 5
+#: Bags whose verdict a task remembers: many texts have the same one or two terms.
+REMEMBERED = 4096
 #: A bound counts as below the bar by this much, so that rounding loses no neighbour.
 SLACK = 1e-9
 
@@ -330,13 +333,16 @@ def scored(model: Model | None, text: Column) -> Column:
 
     @F.arrow_udf(VERDICT)
     def score(column: pa.Array) -> pa.Array:
-        out = []
+        out, known = [], {}
         for _, data, offsets in text_chunks(column):
             bags, (row, term, start, end) = model.vocabulary.bags(data, offsets)
             order = np.argsort(row, kind="stable")
             cut = np.searchsorted(row[order], np.arange(len(offsets)))
             for i, (terms, tf) in enumerate(bags):
-                vote, near, cosine = model.vote(*model.vector(terms, tf)) if len(terms) else plain
+                key = terms.tobytes() + tf.tobytes()
+                if key not in known and len(known) < REMEMBERED:
+                    known[key] = model.vote(*model.vector(terms, tf)) if len(terms) else plain
+                vote, near, cosine = known[key] if key in known else model.vote(*model.vector(terms, tf))
                 evidence = []
                 if len(terms):
                     hits = order[cut[i] : cut[i + 1]]
