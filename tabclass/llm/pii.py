@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -64,11 +66,17 @@ def _emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _octets(text: str) -> bool:
+    """Whether every dotted part is at most 255; leading zeros, however many, don't count."""
+    parts = [p.lstrip("0") or "0" for p in text.split(".")]
+    return all(len(p) <= 3 and int(p) <= 255 for p in parts)
+
+
 def known_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the known forms of a text."""
     out = [(a, 0, b) for a, b in _emails(text)]
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if _octets(m.group()):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = _only_digits(m.group()) if m.end() - m.start() >= 12 else ""
@@ -297,7 +305,7 @@ def _fits(kind: int, text: str) -> bool:
     if kind == 0:
         return "@" in text or bool(re.search(r"[\[(](?:at|dot)[\])]", text))
     if kind == 1:
-        return bool(IP.fullmatch(text)) and all(int(p) <= 255 for p in text.split("."))
+        return bool(IP.fullmatch(text)) and _octets(text)
     if kind == 2:
         return 12 <= len(digits) <= 19 and luhn(digits)
     if kind == 3:
@@ -330,6 +338,7 @@ def scan(column: pa.Array, emit: np.ndarray, move: np.ndarray) -> tuple[list[lis
     added: list[list] = []
     for _, data, offsets in text_chunks(column):
         hot = np.concatenate([[0], np.cumsum(np.isin(data, np.frombuffer(b"0123456789@", dtype=np.uint8)))])
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         n = len(offsets) - 1
         texts: dict[int, str] = {}
 
@@ -340,13 +349,17 @@ def scan(column: pa.Array, emit: np.ndarray, move: np.ndarray) -> tuple[list[lis
 
         base = [known_spans(text_of(i)) if hot[offsets[i + 1]] > hot[offsets[i]] else [] for i in range(n)]
         more: list[list] = [[] for _ in range(n)]
+        reach: dict[int, tuple[list[int], list[int]]] = {}
         for i, kind, a, b in tagged_spans(data, offsets, emit, move):
             piece = data[a:b].tobytes().decode(errors="ignore")
             core = piece.strip(".,;:!?|*$%&#\"'")
             if not core or not _fits(kind, core):
                 continue
-            at = len(data[offsets[i] : a].tobytes().decode()) + piece.index(core)
-            if all(at + len(core) <= s or e <= at for s, _, e in base[i]):
+            at = int(points[a] - points[offsets[i]]) + piece.index(core)
+            if i not in reach:  # starts of the known spans, and how far those up to each reach
+                reach[i] = [s for s, _, _ in base[i]], list(accumulate((e for _, _, e in base[i]), max))
+            before = bisect_left(reach[i][0], at + len(core))
+            if not before or reach[i][1][before - 1] <= at:
                 more[i].append((at, kind, at + len(core)))
         known += base
         added += more
