@@ -118,20 +118,25 @@ def hash_bar(n: int) -> int:
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on a sample of the rows of ``labels(id, label)`` where ``learn``
-    holds, SAMPLE_ROWS at most, chosen by a hash of the id; their texts are
-    looked up whole.  None if there is no labelled row with a text."""
+    holds: the ids with the smallest hashes, SAMPLE_ROWS at most, with the smallest
+    (by hash) of each id's texts, whole.  An id labelled more than once counts as 1
+    if at least half of its labels are 1.  So the sample depends neither on the rows'
+    order nor on copies of labels or documents.  None if no labelled row has a text."""
     known = labels.where(learn).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
+    known = known.groupBy("id").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
     n = known.count()
     if n == 0:
         return None
-    drawn = known.where(F.xxhash64(F.col("id"), F.lit("quality")) <= hash_bar(n)).dropDuplicates(["id"]).limit(SAMPLE_ROWS)
+    h = F.xxhash64(F.col("id"), F.lit("quality"))
+    drawn = known.where(h <= hash_bar(n)).orderBy(h, "id").limit(SAMPLE_ROWS)
 
     @F.arrow_udf("binary")
     def bag(text: pa.Array) -> pa.Array:
         return pa.array([r.tobytes() for _, d, o in text_chunks(text) for r in features(d, o)], pa.binary())
 
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sample = texts.join(F.broadcast(drawn), "id").limit(SAMPLE_ROWS).select("id", "y", bag("text").alias("x")).toArrow().sort_by("id")
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    one = texts.join(F.broadcast(drawn), "id").groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    sample = one.select("id", "y", bag("t.text").alias("x")).toArrow().sort_by("id")
     if sample.num_rows == 0:
         return None
     x = np.frombuffer(b"".join(sample["x"].to_pylist()), dtype=np.float32).reshape(sample.num_rows, WIDTH)
