@@ -63,7 +63,7 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), extend=True)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,13 +134,17 @@ u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS v, doc_id AS m FROM n UNION SELECT u.b, r.m FROM r JOIN u ON u.a = r.v AND r.m < u.b)
 SELECT n.doc_id, n.n_shingles, min(r.m) AS component_id FROM n JOIN r ON r.v = n.doc_id GROUP BY ALL"""
 
+#: A line goes if it lies in a run of 50 words or more that occurred earlier: every line of
+#: such a run lies in a least window of it that starts, or one that ends, at a line with words.
 LINES_SQL = """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
            FROM documents WHERE text IS NOT NULL),
 c AS (SELECT *, len(regexp_extract_all(line, '[^ \\x09-\\x0D]+')) AS n FROM l),
 w AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM c),
 win AS (SELECT a.doc_id, a.i AS first, min(b.i) AS last FROM w a JOIN w b ON a.doc_id = b.doc_id AND b.i >= a.i
-        AND b.upto - a.upto + a.n >= 50 WHERE a.n > 0 GROUP BY ALL),
+        AND b.upto - a.upto + a.n >= 50 WHERE a.n > 0 GROUP BY ALL
+        UNION SELECT b.doc_id, max(a.i) AS first, b.i AS last FROM w a JOIN w b ON a.doc_id = b.doc_id AND b.i >= a.i
+        AND b.upto - a.upto + a.n >= 50 WHERE b.n > 0 GROUP BY ALL),
 body AS (SELECT win.doc_id, win.first, win.last, string_agg(w.line, chr(10) ORDER BY w.i) AS body
          FROM win JOIN w ON w.doc_id = win.doc_id AND w.i BETWEEN win.first AND win.last GROUP BY ALL),
 nth AS (SELECT doc_id, first, last, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS k FROM body),

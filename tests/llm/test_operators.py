@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -373,3 +374,30 @@ def test_pipeline_stages_keep_clean_documents(spark, tmp_dir):
     got = {r.doc_id for r in corpus_pipeline.run(spark, tmp_dir).collect()}
     assert got == set(range(60))
     assert zlib.crc32(b"1") % 5 == spark.range(1, 2).select(F.crc32(F.col("id").cast("string").cast("binary")) % 5).first()[0]
+
+
+def test_pii_of_very_long_number_parts():
+    text = "1.2.3." + "0" * 5000 + "1 and 1.2.3." + "9" * 5000
+    known, _ = pii.scan(pa.array([text]), *pii.trained())
+    assert known == [[(0, 1, 5007)]]
+
+
+def test_pii_cost_is_linear_in_the_spans_of_a_text():
+    emit, move = pii.trained()
+    one = "Mail é to ann@example.org or call (555) 010-9999 now, jo (at) example (dot) org.\n"
+    small, large = (pii.scan(pa.array([one * n]), emit, move) for n in (3, 8000))
+    period = len(one)
+    for few, many in zip(small, large):
+        assert many[0] == [(a + period * k, kind, b + period * k) for k in range(8000) for a, kind, b in few[0] if b <= period]
+
+
+def test_quality_sample_ignores_order_and_copies(spark):
+    rows = [(i, prose(i, 30 + i % 7)) for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)] + [(3, 0), (3, 1), (4, 1), (4, 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    many = spark.createDataFrame(rows[::-1] + [rows[7]] * 500, d.schema)
+    a = train_quality(d, spark.createDataFrame(labels, "doc_id long, quality int"), F.lit(True))
+    b = train_quality(many, spark.createDataFrame(labels[::-1], "doc_id long, quality int"), F.lit(True))
+    assert a.labels.tolist() == b.labels.tolist() and a.prior == b.prior and len(a.labels) == 60
+    assert a.labels[3] == 1.0 and a.labels[4] == 1.0 and a.labels[6] == 0.0
+    assert np.allclose(a.vectors, b.vectors)
