@@ -178,6 +178,21 @@ SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey, l_suppkey, CAST(l_li
 FROM lineitem"""
 
 
+def _accounting_sql() -> str:
+    parts = []
+    for name, raw, recipe, numeric in (
+        ("orders_social", SOCIAL_RAW, RECIPE_SOCIAL, EXPERIMENTS["orders_social"][3]),
+        ("lineitem_matches", MATCHES_RAW, RECIPE_MATCHES, EXPERIMENTS["lineitem_matches"][3]),
+    ):
+        good = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in numeric)
+        steps = (("read", f"({raw})", "TRUE"), ("kept", f"({recipe})", "TRUE"), ("usable", f"({recipe})", good))
+        parts += [
+            f"SELECT '{name}' AS dataset, '{step}' AS step, CAST({i} AS INTEGER) AS position, (SELECT count(*) FROM {rows} WHERE {where}) AS rows"
+            for i, (step, rows, where) in enumerate(steps)
+        ]
+    return f"SELECT *, lag(rows) OVER (PARTITION BY dataset ORDER BY position) - rows AS dropped FROM ({' UNION ALL '.join(parts)})"
+
+
 def _recipe_matches(extra_key: bool = False) -> str:
     row = (
         ", concat_ws('|', CAST(l_orderkey AS VARCHAR), l_partkey, CAST(l_suppkey AS VARCHAR), l_linenumber, "
@@ -409,7 +424,7 @@ runs AS (
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     # ---------------------------------------------------------------- sources
-    o["scan_csv"] = "SELECT * FROM documents"
+    o["scan_csv"] = o["scan_csv_records"] = "SELECT * FROM documents"
     o["dataset_catalog"] = """
 SELECT CAST(position AS INTEGER) AS position, name, source_table, target_column, size_category, source_rows FROM (
   SELECT 0 AS position, 'orders_social' AS name, 'orders' AS source_table, 'o_orderstatus' AS target_column, 'medium' AS size_category, (SELECT count(*) FROM orders) AS source_rows
@@ -543,6 +558,15 @@ FROM ({' UNION ALL '.join(theta_rows)}) t JOIN cls ON cls.label = t.class CROSS
     o["recipe_salary"] = RECIPE_SALARY
     # ------------------------------------------- invariants and metrics rows
     o["quantiles_approx"] = "SELECT * FROM (VALUES (CAST(0.333333 AS DOUBLE), TRUE), (CAST(0.666667 AS DOUBLE), TRUE)) t(p, within_error)"
+    o["category_index_large"] = """
+WITH o AS (SELECT l_orderkey AS k, row_number() OVER (ORDER BY count(*) DESC, CAST(l_orderkey AS VARCHAR)) - 1 AS idx FROM lineitem GROUP BY 1),
+p AS (SELECT l_partkey AS k, row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS idx FROM lineitem GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(o.idx AS DOUBLE) AS l_orderkey_idx, CAST(p.idx AS DOUBLE) AS l_partkey_idx
+FROM lineitem JOIN o ON o.k = l_orderkey JOIN p ON p.k = l_partkey"""
+    o["quantiles_sketch"] = """
+SELECT l_returnflag, l_linestatus, count(*) AS n, p, TRUE AS within_error
+FROM lineitem, (VALUES (CAST(0.333333 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(0.666667 AS DOUBLE))) t(p) GROUP BY l_returnflag, l_linestatus, p"""
+    o["row_accounting"] = _accounting_sql()
     o["random_split"] = "SELECT p_partkey, count(*) AS sides, TRUE AS share_ok FROM part GROUP BY p_partkey"
     for key in ("train_random_forest", "train_decision_tree", "train_any_estimator"):
         o[key] = SALARY_NB + "\nSELECT k AS p_partkey, label, TRUE AS in_classes, TRUE AS beats_majority FROM pred"

@@ -6,7 +6,6 @@ dataset has, and Catalyst can prune the untouched input columns at the scan.
 """
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -39,7 +38,7 @@ def _converter(kind: str, df: DataFrame, name: str) -> Column:
     if kind == "long":
         return safe_long(name, src)
     if kind == "double":
-        return safe_double(name)
+        return safe_double(name, src)
     if kind == "string":
         return trimmed_string(name)
     raise ValueError(f"unknown cast kind {kind!r}")
@@ -104,6 +103,8 @@ def select_contract(df: DataFrame, contract: StructType | Sequence[tuple[str, st
             cols.append(safe_int(f.name, src).alias(f.name))
         elif isinstance(f.dataType, LongType):
             cols.append(safe_long(f.name, src).alias(f.name))
+        elif isinstance(f.dataType, DoubleType):
+            cols.append(safe_double(f.name, src).alias(f.name))
         else:
             cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
     return df.select(*cols)
@@ -181,8 +182,3 @@ def roles_frame(spark, roles: ColumnRoles) -> DataFrame:
     )
 
 
-_SAFE_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
-
-
-def is_plain_name(name: str) -> bool:
-    return bool(_SAFE_NAME.match(name))

@@ -15,7 +15,8 @@ Semantics kept from the reference:
 * the label indexer uses ``handleInvalid="keep"``: the label metadata gets an
   extra ``__unknown`` class, and a NULL target becomes class K;
 * a NULL or unseen category maps to index n and to an all-zero one-hot; the
-  one-hot of a column with n categories has n slots;
+  one-hot of a column with n categories has n slots (columns of very many
+  categories are indexed by ``tabclass.operators.vocabulary`` instead);
 * a NULL or NaN numeric drops the row (``VectorAssembler`` ``skip``);
 * numerics come first in the feature vector (schema order), then one-hots.
 """
@@ -27,10 +28,11 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabclass.operators.columns import ColumnRoles, infer_column_roles
+from tabclass.operators.vocabulary import fit_vocabulary_table, value_counts
 
 DEFAULT_MAX_CATEGORIES = None  # no limit; callers may set one
 LABEL_COL = "label"
@@ -41,34 +43,10 @@ class TooManyCategories(ValueError):
     pass
 
 
-def _stacked_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n) for every non-null value of every column, one pass."""
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                for c in columns
-            ]
-        )
-    ).alias("p")
-    return (
-        df.select(pairs)
-        .select("p.column", "p.value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Frequency ranking per column: (column, value, n, idx), StringIndexer order.
-
-    The window partitions by column over the already-aggregated vocabulary,
-    whose size is what ``max_categories`` bounds; the input rows are never
-    sorted.
-    """
-    w = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc())
-    return _stacked_counts(df, columns).withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
+    A leased table of any size; no task ranks a whole column."""
+    return fit_vocabulary_table(df, columns)
 
 
 def fit_vocabularies(
@@ -78,7 +56,7 @@ def fit_vocabularies(
     columns = list(columns)
     if not columns:
         return {}
-    counts = _stacked_counts(df, columns)
+    counts = value_counts(df, columns)
     cap = None if max_categories is None else max_categories * len(columns)
     rows = (counts if cap is None else counts.limit(cap + 1)).collect()
     per_col: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}

@@ -6,11 +6,13 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from tabclass.sources.leases import leased_checkpoint, leased_table
+
 
 def repartition_rows(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
-    """``repartition(n)`` (round robin) or by keys; n must be >= 1."""
+    """``repartition(n)`` (round robin) or by keys, into one partition or more."""
     if partitions < 1:
-        raise ValueError(f"partitions must be >= 1, got {partitions}")
+        raise ValueError(f"can't spread rows over {partitions} partitions")
     return df.repartition(partitions, *keys) if keys else df.repartition(partitions)
 
 
@@ -35,7 +37,7 @@ def balance_partitions(df: DataFrame, min_partitions: int | None = None) -> Data
 
 def set_shuffle_partitions(spark: SparkSession, partitions: int) -> None:
     if partitions < 1:
-        raise ValueError(f"shuffle partitions must be >= 1, got {partitions}")
+        raise ValueError(f"a shuffle needs one partition or more, not {partitions}")
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
 
 
@@ -66,6 +68,8 @@ def materialize(df: DataFrame, how: str = "persist", eager: bool = True) -> Data
     * ``parquet``: a Parquet table in a fresh folder under the same shared
       checkpoint folder, read back; later reads get column pruning and filter
       pushdown, and the lineage is cut.
+
+    ``release`` frees the copy; durable ones hold a lease until then.
     """
     if how == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -73,12 +77,7 @@ def materialize(df: DataFrame, how: str = "persist", eager: bool = True) -> Data
             out.count()
         return out
     if how == "checkpoint":
-        return df.checkpoint(eager=True)
+        return leased_checkpoint(df)
     if how == "parquet":
-        from tabclass.session import scratch_path
-
-        spark = df.sparkSession
-        path = scratch_path(spark, "table")
-        df.write.mode("error").parquet(path)
-        return spark.read.parquet(path)
+        return leased_table(df, "table")
     raise ValueError(f"unknown materialisation {how!r}")

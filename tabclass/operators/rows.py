@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -72,11 +72,16 @@ def map_boolean_text(df: DataFrame, column: str, true: str = "1", false: str = "
     )
 
 
+def valid(numeric: Sequence[str]) -> Column:
+    """Whether the assembler takes a row: no numeric column is NULL or NaN."""
+    good = F.lit(True)
+    for c in numeric:
+        value = F.col(c).cast("double")
+        good = good & value.isNotNull() & ~F.isnan(value)
+    return good
+
+
 def invalid_rows(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """Rows that the assembler skips: any numeric column is NULL or NaN.  One
     narrow filter; ``count()`` of it is the number of skipped rows."""
-    bad = F.lit(False)
-    for c in numeric:
-        value = F.col(c).cast("double")
-        bad = bad | value.isNull() | F.isnan(value)
-    return df.where(bad)
+    return df.where(~valid(numeric))

@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabclass.session import scratch_path
+from tabclass.sources.leases import leased_table
 
 DEFAULT_SEED = 42
 DEFAULT_TRAIN_RATIO = 0.8
@@ -154,10 +154,9 @@ def stratified_split(
         .where((F.col("_cum") - F.col("_n") < F.col("_r")) & (F.col("_r") <= F.col("_cum")))
         .select("_s", F.col("_h").alias("_th"), F.col("_o").alias("_to"))
     )
-    # Written and reread, so that the flag below is one scan and one join.
-    path = scratch_path(df.sparkSession, "strata")
-    th.write.parquet(path)
-    th = df.sparkSession.read.schema(th.schema).parquet(path)
+    # Written and reread, so that the flag below is one scan and one join; the
+    # result holds its lease.
+    th = leased_table(th, "strata")
 
     # Per-row flag: (hash, key) <= the class threshold.  Classes with k = 0
     # have no threshold and go wholly to test.
@@ -165,9 +164,11 @@ def stratified_split(
     # NULL keys sort first among equal hashes (the window's ascending order).
     tie_ok = (F.col("_o") <= F.col("_to")) | F.col("_o").isNull()
     in_train = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & tie_ok)
-    return flagged.withColumn(
+    out = flagged.withColumn(
         column, F.when(F.coalesce(in_train, F.lit(False)), F.lit("train")).otherwise(F.lit("test"))
     ).drop("_h", "_o", "_cs", "_s", "_th", "_to")
+    out._lease = th._lease
+    return out
 
 
 def split_frames(df: DataFrame, column: str = SPLIT_COL) -> tuple[DataFrame, DataFrame]:

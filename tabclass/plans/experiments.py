@@ -7,7 +7,7 @@ job over the whole dataset.
 
 Differences from the reference, each switchable:
 
-* the cached feature table holds only (keys, label, features, split) and is
+* the cached feature table holds only (label, features, split) and is
   filled before the first fit, so no classifier's train time pays for
   loading and featurising (``materialize``: ``persist`` or ``checkpoint``,
   the latter written to the shared checkpoint folder);
@@ -17,7 +17,8 @@ Differences from the reference, each switchable:
   reference's ``randomSplit``;
 * ``fit_scope="train"`` fits vocabularies on training rows only;
 * an unknown dataset or classifier name raises; a failing pair becomes a row
-  with ``status="error"`` and the run goes on.
+  with ``status="error"`` and the run goes on; with ``resume`` a run that was
+  stopped goes on after the last pair it published.
 """
 from __future__ import annotations
 
@@ -44,7 +45,8 @@ from tabclass.operators.split import (
 )
 from tabclass.plans.models import ClassifierRegistry, default_classifiers
 from tabclass.plans.training import train_and_evaluate
-from tabclass.sources.metrics_store import MetricsSink, metrics_frame
+from tabclass.sources.leases import leases_released, release
+from tabclass.sources.metrics_store import MetricsSink, pair_key
 
 
 @dataclass
@@ -108,7 +110,8 @@ def experiment_grid(datasets: Sequence[str], classifiers: Sequence[str]) -> list
 
 
 def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple[DataFrame, object]:
-    """Normalised rows -> (materialised (keys, label, features, split), feature model).
+    """Normalised rows -> (materialised (label, features, split), feature model); the
+    caller releases the table.
 
     The normalised rows are materialised once, pruned to the columns the
     model uses, so the vocabulary fit and the feature transform read that
@@ -140,7 +143,7 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
             feats, model = build_features(
                 rows, ds.target, roles.numeric, roles.categorical, exclude=keys, max_categories=cfg.max_categories
             )
-            train, test = random_split(feats.select(*keys, LABEL_COL, FEATURES_COL), cfg.train_ratio, cfg.seed)
+            train, test = random_split(feats.select(LABEL_COL, FEATURES_COL), cfg.train_ratio, cfg.seed)
             table = train.withColumn(SPLIT_COL, F.lit("train")).unionByName(
                 test.withColumn(SPLIT_COL, F.lit("test"))
             )
@@ -154,10 +157,10 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
                 flagged, ds.target, roles.numeric, roles.categorical,
                 exclude=[*keys, SPLIT_COL], fit_df=fit_df, max_categories=cfg.max_categories,
             )
-            table = feats.select(*keys, LABEL_COL, FEATURES_COL, SPLIT_COL)
+            table = feats.select(LABEL_COL, FEATURES_COL, SPLIT_COL)
         out = materialize(table, cfg.materialize)
     finally:
-        rows.unpersist()
+        release(rows)
     return out, model
 
 
@@ -183,36 +186,55 @@ def run_experiments(
     dataset_filter: str | None = None,
     classifier_filter: str | None = None,
     config: RunConfig | None = None,
+    resume: bool = False,
 ) -> list[dict]:
-    """Run the grid and return metrics rows (also appended to ``config.sink``)."""
+    """Run the grid and return metrics rows (also appended to ``config.sink``).
+
+    With ``resume``, pairs whose successful row the sink holds are not run again:
+    their rows are returned as they were stored (without confusion cells).  Durable
+    tables that a dataset took are deleted when it is done, also if it fails.
+    """
     cfg = config or RunConfig()
     registry = classifiers or default_classifiers()
     names = [d.name for d in datasets]
     if dataset_filter is not None and dataset_filter not in names:
         raise ValueError(f"no dataset is named {dataset_filter!r}; there are {names}")
     clf_names = registry.select(classifier_filter)
+    if resume and cfg.sink is None:
+        raise ValueError("only a run with a sink can be resumed")
     rows: list[dict] = []
+    stored: dict[str, dict] = {}
     if cfg.sink is not None:
-        cfg.sink.start()
+        cfg.sink.start(resume)
+        stored = {pair_key(r): r for r in cfg.sink.finished()} if resume else {}
     for ds in datasets:
         if dataset_filter is not None and ds.name != dataset_filter:
             continue
-        try:
-            table, _model = prepare(spark, ds, cfg)
-        except Exception as e:  # skip-and-continue, recorded in the results
-            for clf in clf_names:
+        done = {clf: stored.get(pair_key(_row(ds.name, clf, cfg, None, None))) for clf in clf_names}
+        rows += [r for r in done.values() if r]
+        todo = [clf for clf in clf_names if not done[clf]]
+        if todo:
+            with leases_released():
+                rows += _run_dataset(spark, ds, registry, todo, cfg)
+    return rows
+
+
+def _run_dataset(spark: SparkSession, ds: ExperimentDataset, registry: ClassifierRegistry, clf_names: list[str], cfg: RunConfig) -> list[dict]:
+    try:
+        table, _model = prepare(spark, ds, cfg)
+    except Exception as e:  # skip-and-continue, recorded in the results
+        return [_emit(cfg, _row(ds.name, clf, cfg, None, _err(e))) for clf in clf_names]
+    rows = []
+    try:
+        train, test = split_frames(table)
+        for clf in clf_names:
+            try:
+                res = train_and_evaluate(train, test, registry.create(clf), cfg.eval_method)
+                rows.append(_emit(cfg, _row(ds.name, clf, cfg, res.as_metrics(), None)))
+            except Exception as e:
                 rows.append(_emit(cfg, _row(ds.name, clf, cfg, None, _err(e))))
-            continue
-        try:
-            train, test = split_frames(table)
-            for clf in clf_names:
-                try:
-                    res = train_and_evaluate(train, test, registry.create(clf), cfg.eval_method)
-                    rows.append(_emit(cfg, _row(ds.name, clf, cfg, res.as_metrics(), None)))
-                except Exception as e:
-                    rows.append(_emit(cfg, _row(ds.name, clf, cfg, None, _err(e))))
-        finally:
-            table.unpersist()
+    finally:
+        release(table)
     return rows
 
 
@@ -224,7 +246,3 @@ def _emit(cfg: RunConfig, row: dict) -> dict:
     if cfg.sink is not None:
         cfg.sink.append(row)
     return row
-
-
-def results_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    return metrics_frame(spark, rows)

@@ -8,6 +8,8 @@ itself never rounds.
 """
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,15 +26,19 @@ from tabclass.operators.evaluate import confusion_matrix, evaluate, per_class_me
 from tabclass.operators.features import (
     FEATURES_COL,
     build_features,
-    category_indexers,
     fit_vocabularies,
     label_indexer,
     with_feature_array,
 )
+from tabclass.operators.accounting import RowAccount, account_frame
 from tabclass.operators.partitioning import repartition_rows
 from tabclass.operators.profile import profile_table, sample_rows, schema_frame
 from tabclass.operators.quantiles import TERCILE_LABELS, approx_quantiles, bin_by_cut_points, exact_quantiles
+from tabclass.operators.quantile_sketch import merge_sketches, quantile_sketches, sketch_quantiles
 from tabclass.operators.split import hash_split, random_split, split_frames, stratified_split
+from tabclass.operators.rows import valid
+from tabclass.operators.vocabulary import fit_vocabulary_table, index_columns
+from tabclass.plans import recipes as R_
 from tabclass.plans import standins as S
 from tabclass.plans.experiments import RunConfig, run_experiments
 from tabclass.plans.models import (
@@ -46,7 +52,9 @@ from tabclass.plans.models import (
 from tabclass.plans.results import sweep_speedup, time_by_classifier, total_time
 from tabclass.session import scratch_path
 from tabclass.sources.catalog import DatasetSpec, catalog_frame
+from tabclass.sources.csv_records import read_csv_records
 from tabclass.sources.files import read_csv, write_csv
+from tabclass.sources.leases import leased_table, release
 from tabclass.sources.metrics_store import MetricsSink, metrics_frame, read_metrics, run_folder
 
 DIGITS = 6
@@ -65,6 +73,14 @@ def q_scan_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, schema=docs.schema, multi_line=True)
 
 
+def q_scan_csv_records(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, newlines and all, written to one CSV file and read by many tasks."""
+    docs = S.table(spark, sf, "documents")
+    path = scratch_path(spark, "scan_csv_records")
+    write_csv(docs.coalesce(1), path)
+    return read_csv_records(spark, path, docs.schema)
+
+
 STANDIN_SPECS = [
     DatasetSpec("orders_social", "orders", S.SOCIAL.target, "medium"),
     DatasetSpec("events_fraud", "events", "is_fraud", "large"),
@@ -245,6 +261,37 @@ def q_quantiles_approx(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def q_quantiles_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles of groups from stored sketches of four parts of ``lineitem``, merged:
+    is each one's rank within the error that was asked for?"""
+    li, by, error = S.table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], 0.01
+    parts = [quantile_sketches(li.where(F.col("l_orderkey") % 4 == i), "l_extendedprice", by, error) for i in range(4)]
+    stored = leased_table(functools.reduce(DataFrame.unionByName, parts), "sketches")
+    found = sketch_quantiles(merge_sketches(stored, by), [1 / 3, 0.5, 2 / 3])
+    found = found.select(*by, "n", F.posexplode("quantiles").alias("i", "v"))
+    p = F.element_at(F.array(F.lit(1 / 3), F.lit(0.5), F.lit(2 / 3)), F.col("i") + 1)
+    ranks = li.select(*by, "l_extendedprice").join(F.broadcast(found), by).groupBy(*by, "i", "n", "v").agg(
+        F.avg((F.col("l_extendedprice") < F.col("v")).cast("int")).alias("below"), F.avg((F.col("l_extendedprice") <= F.col("v")).cast("int")).alias("upto")
+    )
+    # The stated error holds with 99 % confidence for one rank, twice of it for all.
+    return ranks.select(*by, "n", F.round(p, DIGITS).alias("p"), ((F.col("below") <= p + 2 * error) & (F.col("upto") >= p - 2 * error)).alias("within_error"))
+
+
+def q_row_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows read, kept by the normalisation and usable for the assembler, for each
+    recipe, counted while its rows are written."""
+    accounts = []
+    for name, raw, normalize, numeric in (
+        ("orders_social", S.social_raw, lambda df: R_.normalize_social(df, S.SOCIAL, keep=(S.SOCIAL_KEY,)), ["o_custkey", "o_totalprice"]),
+        ("lineitem_matches", S.matches_raw, lambda df: R_.normalize_matches(df, S.MATCHES, keep=(S.MATCHES_KEY,)), [*S.MATCHES.longs, *S.MATCHES.ints, *S.MATCHES.doubles]),
+    ):
+        account = RowAccount(name)
+        rows = account.mark(normalize(account.mark(raw(spark, sf), "read")), "kept")
+        release(leased_table(account.mark(rows, "usable", valid(numeric)), "accounted"))
+        accounts.append(account)
+    return account_frame(spark, accounts)
+
+
 def q_tercile_target(spark: SparkSession, sf: str) -> DataFrame:
     """Exact cut points and the rows per bin (bins from the raw column: no join)."""
     raw = R.dropna_subset(C.cast_double(S.salary_raw(spark, sf), ["salary"]), ["salary"])
@@ -295,13 +342,18 @@ def q_label_index(spark: SparkSession, sf: str) -> DataFrame:
 def q_category_index(spark: SparkSession, sf: str) -> DataFrame:
     rec = S.recipe_salary(spark, sf)
     cats = list(S.SALARY.categorical)
-    vocab = fit_vocabularies(rec, cats)
-    out = rec
-    for m in category_indexers(vocab, cats):
-        out = m.transform(out)
+    out = index_columns(rec, fit_vocabulary_table(rec, cats), cats)
     return out.select(S.SALARY_KEY, *[f"{c}_idx" for c in cats])
 
 
+def q_category_index_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of very many categories: every order and part of ``lineitem``."""
+    li = S.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    cats = ["l_orderkey", "l_partkey"]
+    out = index_columns(li, fit_vocabulary_table(li, cats), cats)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_orderkey_idx", "l_partkey_idx")
+
+
 def _salary_features(spark: SparkSession, sf: str):
     rec = hash_split(S.recipe_salary(spark, sf), [S.SALARY_KEY])
     return build_features(rec, S.SALARY.target, exclude=[S.SALARY_KEY, "split"])
@@ -550,6 +602,7 @@ def q_recipe_salary(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     # sources / sinks / partitioning
     "scan_csv": q_scan_csv,
+    "scan_csv_records": q_scan_csv_records,
     "dataset_catalog": q_dataset_catalog,
     "repartition_rows": q_repartition_rows,
     "metrics_sink": q_metrics_sink,
@@ -584,6 +637,9 @@ QUERIES = {
     # features
     "label_index": q_label_index,
     "category_index": q_category_index,
+    "category_index_large": q_category_index_large,
+    "quantiles_sketch": q_quantiles_sketch,
+    "row_accounting": q_row_accounting,
     "one_hot": q_one_hot,
     "assemble_features": q_assemble_features,
     "build_features": q_build_features,

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from tabclass.operators.partitioning import balance_partitions
 from tabclass.plans import recipes
+from tabclass.sources.csv_records import read_csv_records
 from tabclass.sources.files import header_text_schema, read_csv
 
 SIZE_CATEGORIES = ("small", "medium", "large")
@@ -29,7 +30,7 @@ class DatasetSpec:
     size_category: str
     normalize: Callable[[DataFrame], DataFrame] = field(default=lambda df: df, compare=False)
     schema: StructType | None = field(default=None, compare=False)
-    multi_line: bool = False
+    multi_line: bool = True
     infer_types: bool = False
     loader: Callable[[SparkSession, "DatasetSpec"], DataFrame] | None = field(default=None, compare=False)
 
@@ -38,15 +39,17 @@ class DatasetSpec:
             raise ValueError(f"size_category must be one of {SIZE_CATEGORIES}, got {self.size_category!r}")
 
     def load(self, spark: SparkSession, root: str | None = None) -> DataFrame:
-        if self.loader is not None:
-            return self.loader(spark, self)
+        """The raw rows.  A custom loader gets this spec with the path below ``root``."""
         path = self.path if root is None or os.path.isabs(self.path) else os.path.join(root, self.path)
-        schema = self.schema
-        if schema is None and not self.infer_types:
+        if self.loader is not None:
+            return self.loader(spark, replace(self, path=path))
+        if not self.infer_types:
             # The recipes cast every column from text: no inference pass needed.
-            schema = header_text_schema(spark, path)
-        df = read_csv(spark, path, schema=schema, multi_line=self.multi_line)
-        # A multi-line CSV is one task per file however large: spread it
+            if self.multi_line:
+                return read_csv_records(spark, path, self.schema)
+            return read_csv(spark, path, schema=self.schema or header_text_schema(spark, path))
+        df = read_csv(spark, path, schema=self.schema, multi_line=self.multi_line)
+        # Spark's own multi-line reader is one task per file however large: spread it
         # before normalising (no-op when there are already enough splits).
         return balance_partitions(df) if self.multi_line else df
 

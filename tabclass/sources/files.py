@@ -2,23 +2,37 @@
 from __future__ import annotations
 
 import csv
+import io
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+#: Lines a header may span.
+HEADER_LINES = 100
+
+
+def header_names(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names of the header record, which may span lines."""
+    taken = ""
+    for row in spark.read.text(path, lineSep="\n").head(HEADER_LINES):
+        taken += ("\n" if taken else "") + row[0]
+        if taken.count('"') % 2 == 0:
+            return next(csv.reader(io.StringIO(taken.removeprefix("﻿").removesuffix("\r"), newline="")))
+    raise ValueError(f"no header record in the first {HEADER_LINES} lines of {path!r}")
+
+
+def text_schema(names: list[str]) -> StructType:
+    return StructType([StructField(n, StringType(), True) for n in names])
+
+
 def header_text_schema(spark: SparkSession, path: str | list[str]) -> StructType:
-    """All-text schema named by the CSV header, read from ONE line.
+    """All-text schema named by the CSV header, read from its first lines alone.
 
-    ``spark.read.text(path).first()`` scans only the first partition, so
-    this replaces ``inferSchema`` (a full extra parse of every file) when the
+    It replaces ``inferSchema`` (a full extra parse of every file) when the
     normalisation casts every column from text anyway.
     """
-    first = spark.read.text(path).first()
-    if first is None:
-        raise ValueError(f"no header line in {path!r}")
-    names = next(csv.reader([first[0]]))
-    return StructType([StructField(n, StringType(), True) for n in names])
+    return text_schema(header_names(spark, path))
 
 
 def read_csv(
@@ -34,8 +48,7 @@ def read_csv(
     ``path`` may be a file, a folder, a glob or a list of them.  Pass a
     ``schema`` in production: inference is an extra full read of the input.
     ``multi_line`` allows newlines inside quoted fields, but makes each file
-    one unsplittable task, so keep it off unless the data has them and write
-    many files rather than one big one.  An empty field reads as NULL; the
+    one unsplittable task; ``read_csv_records`` reads such files in parallel.  An empty field reads as NULL; the
     text ``NULL`` stays text (normalisation handles it).
     """
     reader = (
@@ -62,14 +75,3 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
-
-
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    df.write.mode(mode).format(fmt).save(path)
