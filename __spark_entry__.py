@@ -566,6 +566,13 @@ FROM lineitem JOIN o ON o.k = l_orderkey JOIN p ON p.k = l_partkey"""
     o["quantiles_sketch"] = """
 SELECT l_returnflag, l_linestatus, count(*) AS n, p, TRUE AS within_error
 FROM lineitem, (VALUES (CAST(0.333333 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(0.666667 AS DOUBLE))) t(p) GROUP BY l_returnflag, l_linestatus, p"""
+    o["eval_many_classes"] = f"""
+WITH p AS (SELECT l_partkey AS y, CASE WHEN l_linenumber < 3 THEN l_partkey ELSE l_suppkey * 7 END AS p FROM lineitem),
+s AS (SELECT y, count(*) AS support, count(*) FILTER (y = p) AS tp FROM p GROUP BY y),
+q AS (SELECT p, count(*) AS predicted FROM p GROUP BY p)
+SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), {D}) AS accuracy,
+       round(sum(2.0::DOUBLE * tp / (support + coalesce(predicted, 0)) * support) / sum(support), {D}) AS weighted_f1,
+       CAST(sum(support) AS BIGINT) AS n, count(*) AS classes FROM s LEFT JOIN q ON q.p = s.y"""
     o["row_accounting"] = _accounting_sql()
     o["random_split"] = "SELECT p_partkey, count(*) AS sides, TRUE AS share_ok FROM part GROUP BY p_partkey"
     for key in ("train_random_forest", "train_decision_tree", "train_any_estimator"):

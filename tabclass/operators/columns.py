@@ -74,7 +74,7 @@ def trim_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return cast_columns(df, {c: "string" for c in columns})
 
 
-_TYPE_NAMES: dict[str, DataType] = {
+CONTRACT_TYPES: dict[str, DataType] = {
     "int": IntegerType(),
     "long": LongType(),
     "double": DoubleType(),
@@ -90,7 +90,7 @@ def select_contract(df: DataFrame, contract: StructType | Sequence[tuple[str, st
     types ``int long double string boolean``.  Casts are safe (bad -> NULL).
     """
     if not isinstance(contract, StructType):
-        contract = StructType([StructField(n, _TYPE_NAMES[t], True) for n, t in contract])
+        contract = StructType([StructField(n, CONTRACT_TYPES[t], True) for n, t in contract])
     missing = [f.name for f in contract.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"output contract needs missing columns: {missing}")

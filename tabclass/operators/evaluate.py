@@ -9,6 +9,11 @@ whatever the row count.  The formulas are MLlib's ``MulticlassMetrics``:
 * weighted F1 = sum over true classes c of (n_c / N) * F1_c, with
   F1_c = 2 P R / (P + R), P = tp / predicted_c, R = tp / n_c, and 0 when
   P + R = 0.  Classes that only occur as predictions add nothing.
+
+With very many classes the cells are as many as the rows.  ``class_counts`` counts
+support, predictions and hits per class in one pass without cells, and
+``class_scores`` reduces them inside Spark to one row; ``evaluate`` turns to it when
+there are more than MAX_CELLS cells.
 """
 from __future__ import annotations
 
@@ -28,6 +33,44 @@ def confusion_matrix(
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Confusion cells that are brought to the driver, at most.
+MAX_CELLS = 250_000
+
+
+def class_counts(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(class, support, predicted, tp) of every class that occurs, one pass: a row
+    counts for its label and for its prediction, before the only shuffle."""
+    y, p = F.col(f"`{label}`").cast("double"), F.col(f"`{prediction}`").cast("double")
+    part = lambda c, s, q, t: F.struct(c.alias("class"), F.lit(s).alias("s"), F.lit(q).alias("q"), F.lit(t).alias("t"))
+    parts = F.when(y.eqNullSafe(p), F.array(part(y, 1, 1, 1))).otherwise(F.array(part(y, 1, 0, 0), part(p, 0, 1, 0)))
+    return (
+        preds.select(F.explode(parts).alias("c")).groupBy(F.col("c.class").alias("class"))
+        .agg(F.sum("c.s").alias("support"), F.sum("c.q").alias("predicted"), F.sum("c.t").alias("tp"))
+    )
+
+
+def class_scores(counts: DataFrame) -> DataFrame:
+    """One row (accuracy, weighted_f1, n, classes) of ``class_counts``; NULL scores
+    without rows.  F1 is 2 tp / (support + predicted)."""
+    f1 = F.lit(2.0) * F.col("tp") / (F.col("support") + F.col("predicted"))
+    return counts.agg(
+        F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        F.try_divide(F.sum(f1 * F.col("support")), F.sum("support")).alias("weighted_f1"),
+        F.coalesce(F.sum("support"), F.lit(0)).alias("n"),
+        F.count_if(F.col("support") > 0).alias("classes"),
+    )
+
+
+def collected_scores(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> Scores:
+    """Scores by the confusion cells, or by class if there are more than MAX_CELLS."""
+    found = confusion_matrix(preds, label, prediction).limit(MAX_CELLS + 1).collect()
+    if len(found) <= MAX_CELLS:
+        return scores_from_confusion([(r["label"], r["prediction"], r["n"]) for r in found])
+    del found
+    r = class_scores(class_counts(preds, label, prediction)).first()
+    return Scores(r["accuracy"], r["weighted_f1"], r["n"])
+
+
 def per_class_metrics(confusion: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(class, support, predicted, tp, precision, recall, f1) from a confusion table.
 
@@ -85,12 +128,14 @@ def scores_from_confusion(cells: list[tuple[float, float, int]]) -> Scores:
 def evaluate(
     preds: DataFrame, label: str = "label", prediction: str = "prediction", method: str = "confusion"
 ) -> Scores:
-    """Accuracy and weighted F1; ``confusion`` = one job, ``mllib`` = the reference's two."""
+    """Accuracy and weighted F1; ``confusion`` = one job, with the cells; ``classes`` = one
+    job and one row, for any number of classes; ``mllib`` = the reference's two."""
     if method == "confusion":
-        cells = [
-            (r["label"], r["prediction"], r["n"]) for r in confusion_matrix(preds, label, prediction).collect()
-        ]
-        return scores_from_confusion(cells)
+        return collected_scores(preds, label, prediction)
+    if method == "classes":
+        r = class_scores(class_counts(preds, label, prediction)).first()
+        none = float("nan")
+        return Scores(none if r["n"] == 0 else r["accuracy"], none if r["n"] == 0 else r["weighted_f1"], r["n"])
     if method == "mllib":
         ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction)
         acc = ev.setMetricName("accuracy").evaluate(preds)

@@ -214,6 +214,15 @@ def exact_quantiles(
     return [r.value for r in ranks]
 
 
+def lazy_cut_points(df: DataFrame, column: str, probabilities: Sequence[float], relative_error: float = 0.01) -> list[Column]:
+    """Approximate quantiles as columns: elements of a one-row subquery of ``df``."""
+    x = F.col(column).cast("double")
+    accuracy = F.lit(math.ceil(1 / max(relative_error, 1e-6)))
+    asked = F.array(*[F.lit(float(p)) for p in probabilities])
+    found = df.where(x.isNotNull() & ~F.isnan(x)).agg(F.percentile_approx(x, asked, accuracy).alias("cuts")).scalar()
+    return [F.get(found, F.lit(i)) for i in range(len(probabilities))]
+
+
 def quantile_cut_points(
     df: DataFrame,
     column: str,
@@ -239,7 +248,8 @@ def bin_by_cut_points(column: str, cut_points: Sequence, labels: Sequence[str])
     c = F.col(column)
     expr = None
     for cut, label in zip(cut_points, labels):
-        expr = F.when(c <= F.lit(cut), F.lit(label)) if expr is None else expr.when(c <= F.lit(cut), F.lit(label))
+        cut = cut if isinstance(cut, Column) else F.lit(cut)
+        expr = F.when(c <= cut, F.lit(label)) if expr is None else expr.when(c <= cut, F.lit(label))
     return expr.otherwise(F.lit(labels[-1]))
 
 
@@ -261,7 +271,16 @@ def tercile_target(
     Cut points come from ``fit_df`` when given (e.g. training rows only), else
     from ``df`` itself, which is the reference's behaviour.  The source column
     is dropped by default, since it would leak the target.
+
+    ``method="lazy"`` starts no job: the cut points are a scalar subquery of the plan
+    (the same approximate quantiles), computed once by whatever job needs the target,
+    and by none that doesn't.  The returned cut points are then columns, and without
+    any value the target is the last label.
     """
+    if method == "lazy":
+        cuts = lazy_cut_points(fit_df if fit_df is not None else df, source, [1 / 3, 2 / 3], relative_error)
+        out = df.withColumn(target, bin_by_cut_points(source, cuts, TERCILE_LABELS))
+        return (out.drop(source) if drop_source else out), cuts
     cuts = quantile_cut_points(
         fit_df if fit_df is not None else df, source, [1 / 3, 2 / 3], method, relative_error
     )

@@ -22,7 +22,7 @@ from tabclass.functions import (
 )
 from tabclass.operators import columns as C
 from tabclass.operators import rows as R
-from tabclass.operators.evaluate import confusion_matrix, evaluate, per_class_metrics
+from tabclass.operators.evaluate import class_counts, class_scores, confusion_matrix, evaluate, per_class_metrics
 from tabclass.operators.features import (
     FEATURES_COL,
     build_features,
@@ -468,6 +468,17 @@ def q_eval_weighted_f1(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(round(s.weighted_f1, DIGITS),)], "weighted_f1 double")
 
 
+def q_eval_many_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores over a class for every part: the rows of ``lineitem`` predict their part,
+    wrongly where the line number is 3 or more."""
+    li = S.table(spark, sf, "lineitem")
+    preds = li.select(
+        F.col("l_partkey").cast("double").alias("label"),
+        F.when(F.col("l_linenumber") < 3, F.col("l_partkey")).otherwise(F.col("l_suppkey") * 7).cast("double").alias("prediction"),
+    )
+    return class_scores(class_counts(preds)).select(_r("accuracy"), _r("weighted_f1"), "n", "classes")
+
+
 def q_train_and_evaluate(spark: SparkSession, sf: str) -> DataFrame:
     from tabclass.plans.training import train_and_evaluate
 
@@ -656,6 +667,7 @@ QUERIES = {
     "confusion_matrix": q_confusion_matrix,
     "per_class_metrics": q_per_class_metrics,
     "eval_accuracy": q_eval_accuracy,
+    "eval_many_classes": q_eval_many_classes,
     "eval_weighted_f1": q_eval_weighted_f1,
     "train_and_evaluate": q_train_and_evaluate,
     # experiments and results

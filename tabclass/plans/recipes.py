@@ -12,10 +12,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tabclass.functions.calendar import day_of_week, hour_of_day, parse_timestamp, year_diff
 from tabclass.functions.geo import haversine_km
 from tabclass.operators.columns import (
+    CONTRACT_TYPES,
     cast_columns,
     drop_columns,
     rename_snake_case,
@@ -113,16 +115,11 @@ def normalize_fraud(df: DataFrame, cols: FraudColumns = FraudColumns(), keep: Se
     }
     df = df.withColumns(derived)
     contract = list(FRAUD_CONTRACT)
-    df = select_contract(df.select(*keep, *[c for c, _ in contract]), [(k, _keep_type(df, k)) for k in keep] + contract)
+    fields = [df.schema[k] for k in keep] + [StructField(n, CONTRACT_TYPES[t], True) for n, t in contract]
+    df = select_contract(df.select(*[f.name for f in fields]), StructType(fields))  # keys keep their types
     return dropna_any(rename_snake_case(df))
 
 
-def _keep_type(df: DataFrame, name: str) -> str:
-    return {"bigint": "long", "int": "int", "double": "double", "string": "string"}.get(
-        df.schema[name].dataType.simpleString(), "string"
-    )
-
-
 # -------------------------------------------------------------------- matches
 @dataclass(frozen=True)
 class MatchesColumns:
@@ -200,7 +197,7 @@ class SalaryColumns:
     source: str = "salary"
     target: str = "salary_category"
     allowed: tuple[str, ...] = ("Low", "Medium", "High")
-    quantile_method: str = "approx"
+    quantile_method: str = "lazy"
     relative_error: float = 0.01
 
 
@@ -213,9 +210,10 @@ def normalize_salary(
 ) -> DataFrame:
     """double salary, drop NULL salary, tercile target, int casts, trimmed strings, contract.
 
-    The cut points are computed eagerly (one quantile job); with ``fit_df``
-    (raw rows) or ``fit_filter`` (a condition on the raw rows, e.g. "is a
-    training row") they come from those rows only.
+    The cut points are part of the plan (``quantile_method="lazy"``), or computed by a
+    job of their own (``approx``, ``exact``); with ``fit_df`` (raw rows) or
+    ``fit_filter`` (a condition on the raw rows, e.g. "is a training row") they come
+    from those rows only.  The target is one of the labels by construction.
     """
     if fit_filter is not None and fit_df is None:
         fit_df = df.where(fit_filter)
@@ -226,7 +224,5 @@ def normalize_salary(
     df, _cuts = tercile_target(
         df, cols.source, cols.target, cols.quantile_method, cols.relative_error, fit_df=fit_df, drop_source=False
     )
-    df = cast_columns(df, _casts(int=cols.numeric_int, string=[*cols.categorical, cols.target]))
-    df = dropna_subset(df, [cols.target])
-    df = filter_allowed(df, cols.target, cols.allowed)
+    df = cast_columns(df, _casts(int=cols.numeric_int, string=cols.categorical))
     return df.select(*keep, *cols.numeric_int, *cols.categorical, cols.target)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tabclass.operators.evaluate import Scores, confusion_matrix, evaluate, scores_from_confusion
+from tabclass.operators.evaluate import Scores, collected_scores, evaluate
 
 
 @dataclass
@@ -55,9 +55,9 @@ def train_and_evaluate(
     preds = model.transform(test_df).select("label", "prediction")
     if eval_method == "confusion" and not keep_predictions:
         t0 = time.perf_counter()
-        cells = [(r["label"], r["prediction"], r["n"]) for r in confusion_matrix(preds).collect()]
+        scores = collected_scores(preds)
         predict_time = time.perf_counter() - t0
-        return TrainResult(model, scores_from_confusion(cells), train_time, predict_time)
+        return TrainResult(model, scores, train_time, predict_time)
 
     t0 = time.perf_counter()
     preds.persist(StorageLevel.MEMORY_AND_DISK)

@@ -156,3 +156,59 @@ def test_accounts_of_no_rows_and_repeated_steps(spark):
         account.mark(df, "read")
     df.write.format("noop").mode("overwrite").save()
     assert account.counts() == {"read": 0}
+
+
+# ------------------------------------------------- many classes, lazy cuts
+def test_scores_by_class_equal_those_by_cell(spark, monkeypatch):
+    from tabclass.operators.evaluate import class_counts, class_scores, confusion_matrix, evaluate, per_class_metrics
+
+    rng = random.Random(6)
+    preds = spark.createDataFrame([(float(rng.randrange(30)), float(rng.choice([1, 2, rng.randrange(40)]))) for _ in range(2000)], "label double, prediction double")
+    want = evaluate(preds)
+    for got in (evaluate(preds, method="classes"), evaluate(preds, method="mllib")):
+        assert abs(got.accuracy - want.accuracy) < 1e-12 and abs(got.weighted_f1 - want.weighted_f1) < 1e-12
+    cells = {r["class"]: (r.support, r.predicted, r.tp) for r in per_class_metrics(confusion_matrix(preds)).collect()}
+    assert cells == {r["class"]: (r.support, r.predicted, r.tp) for r in class_counts(preds).collect()}
+    assert class_scores(class_counts(preds)).first().classes == 30
+    monkeypatch.setattr("tabclass.operators.evaluate.MAX_CELLS", 10)
+    few = evaluate(preds)  # too many cells: by class
+    assert few.cells == () and abs(few.weighted_f1 - want.weighted_f1) < 1e-12 and few.rows == 2000
+
+
+def test_scores_of_a_hundred_thousand_classes_and_of_none(spark):
+    from tabclass.operators.evaluate import class_counts, class_scores, evaluate
+
+    preds = spark.range(300_000).select((F.col("id") % 100_000).cast("double").alias("label"), F.when(F.col("id") < 100_000, F.col("id")).otherwise(-1).cast("double").alias("prediction"))
+    r = class_scores(class_counts(preds)).collect()
+    assert len(r) == 1 and (r[0].n, r[0].classes) == (300_000, 100_000)
+    assert abs(r[0].accuracy - 1 / 3) < 1e-12 and abs(r[0].weighted_f1 - 2 / 4) < 1e-12
+    none = evaluate(preds.limit(0), method="classes")
+    assert none.rows == 0 and none.accuracy != none.accuracy
+
+
+def test_lazy_cut_points_start_no_job_and_cut_alike(spark):
+    from tabclass.operators.quantiles import tercile_target
+
+    df = spark.range(3000).select("id", ((F.col("id") * 7919) % 3000).cast("double").alias("x"))
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy", "lazy")
+    out, _ = tercile_target(df, "x", "t", "lazy")
+    assert out.schema["t"].dataType.simpleString() == "string" and out.drop("t").count() == 3000
+    plan = out.drop("t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile_approx" not in plan  # nothing that doesn't need the target computes it
+    shares = {r.t: r["count"] for r in out.groupBy("t").count().collect()}
+    assert set(shares) == {"Low", "Medium", "High"} and all(abs(n - 1000) <= 60 for n in shares.values())
+    fit, _ = tercile_target(df, "x", "t", "lazy", fit_df=df.where("x < 300"))
+    assert fit.where("t = 'High'").count() > 2700
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_fraud_keys_keep_their_types(spark):
+    from tabclass.plans import standins as S
+    from tabclass.plans.recipes import normalize_fraud
+
+    from conftest import SF001
+
+    raw = S.fraud_raw(spark, SF001).withColumn("key", F.col(S.FRAUD_KEY).cast("decimal(20,2)")).withColumn("day", F.lit("2020-01-02").cast("date"))
+    out = normalize_fraud(raw, keep=("key", "day"))
+    assert [out.schema[c].dataType.simpleString() for c in ("key", "day")] == ["decimal(20,2)", "date"] and out.count() > 0
