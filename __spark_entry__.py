@@ -580,6 +580,9 @@ SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), {D}) AS accuracy,
     o["run_experiments"] = """
 SELECT 'part_salary' AS dataset, c AS classifier, CAST(1 AS INTEGER) AS workers, CAST(-1 AS INTEGER) AS partitions, 'ok' AS status,
        TRUE AS accuracy_ok, TRUE AS f1_ok, TRUE AS times_ok FROM (VALUES ('random_forest'), ('decision_tree'), ('naive_bayes')) t(c)"""
+    o["run_experiments_together"] = """
+SELECT 'part_salary' AS dataset, c AS classifier, CAST(1 AS INTEGER) AS workers, CAST(-1 AS INTEGER) AS partitions, 'ok' AS status,
+       TRUE AS as_serial FROM (VALUES ('naive_bayes'), ('decision_tree'), ('naive_bayes_again')) t(c)"""
     o["results_table"] = EVENT_RUNS + f"\nSELECT dataset, classifier, workers, partitions, status, accuracy, round(train + predict, {D}) AS total_time_s FROM runs"
     o["metrics_total_time"] = EVENT_RUNS + f"\nSELECT dataset, classifier, partitions, status, round(train + predict, {D}) AS total_time_s FROM runs"
     o["time_by_classifier"] = EVENT_RUNS + f"""

@@ -25,6 +25,7 @@ from __future__ import annotations
 import itertools
 import traceback
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,8 +93,14 @@ class RunConfig:
     eval_method: str = "confusion"
     max_categories: int | None = None
     sink: MetricsSink | None = None
+    # Fits of one dataset that run at the same time, on its one feature table.  Each has
+    # a scheduler pool of its own, which a session with spark.scheduler.mode=FAIR serves
+    # in turn; its times then hold what the others took from the cluster.
+    side_by_side: int = 1
 
     def __post_init__(self) -> None:
+        if self.side_by_side < 1:
+            raise ValueError(f"a run needs one fit at a time or more, not {self.side_by_side}")
         if self.partitions is not None and self.partitions < 1:
             raise ValueError(f"a run needs one partition or more, not {self.partitions}")
         if self.workers < 1:
@@ -224,18 +231,27 @@ def _run_dataset(spark: SparkSession, ds: ExperimentDataset, registry: Classifie
         table, _model = prepare(spark, ds, cfg)
     except Exception as e:  # skip-and-continue, recorded in the results
         return [_emit(cfg, _row(ds.name, clf, cfg, None, _err(e))) for clf in clf_names]
-    rows = []
+
+    def run(clf: str) -> dict:
+        try:
+            res = train_and_evaluate(train, test, registry.create(clf), cfg.eval_method)
+            row = _row(ds.name, clf, cfg, res.as_metrics(), None)
+        except Exception as e:
+            row = _row(ds.name, clf, cfg, None, _err(e))
+        return _emit(cfg, row)
+
+    def run_in_pool(clf: str) -> dict:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{clf}")  # of this thread
+        return run(clf)
+
     try:
         train, test = split_frames(table)
-        for clf in clf_names:
-            try:
-                res = train_and_evaluate(train, test, registry.create(clf), cfg.eval_method)
-                rows.append(_emit(cfg, _row(ds.name, clf, cfg, res.as_metrics(), None)))
-            except Exception as e:
-                rows.append(_emit(cfg, _row(ds.name, clf, cfg, None, _err(e))))
+        if cfg.side_by_side == 1 or len(clf_names) == 1:
+            return [run(clf) for clf in clf_names]
+        with ThreadPoolExecutor(min(cfg.side_by_side, len(clf_names))) as pool:
+            return list(pool.map(run_in_pool, clf_names))  # in the serial order; the block waits for all
     finally:
         release(table)
-    return rows
 
 
 def _err(e: Exception) -> str:

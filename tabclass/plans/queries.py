@@ -518,6 +518,16 @@ def q_run_experiments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_run_experiments_together(spark: SparkSession, sf: str) -> DataFrame:
+    """Fits of one dataset side by side: the same rows as one after the other."""
+    registry = ClassifierRegistry({"naive_bayes": naive_bayes, "decision_tree": decision_tree, "naive_bayes_again": naive_bayes})
+    together = run_experiments(spark, [S.salary_experiment(sf)], registry, config=RunConfig(side_by_side=3))
+    serial = run_experiments(spark, [S.salary_experiment(sf)], registry, config=RunConfig())
+    keys = ["dataset", "classifier", "workers", "partitions"]
+    both = metrics_frame(spark, together).join(metrics_frame(spark, serial).select(*keys, F.col("accuracy").alias("a"), F.col("f1").alias("f")), keys)
+    return both.select(*keys, "status", ((F.abs(F.col("accuracy") - F.col("a")) < 1e-9) & (F.abs(F.col("f1") - F.col("f")) < 1e-9)).alias("as_serial"))
+
+
 def q_experiment_grid(spark: SparkSession, sf: str) -> DataFrame:
     from tabclass.plans.experiments import experiment_grid
 
@@ -673,6 +683,7 @@ QUERIES = {
     # experiments and results
     "experiment_grid": q_experiment_grid,
     "run_experiments": q_run_experiments,
+    "run_experiments_together": q_run_experiments_together,
     "run_experiments_nb": q_run_experiments_nb,
     "results_table": q_results_table,
     "metrics_total_time": q_metrics_total_time,

@@ -227,3 +227,44 @@ def test_rows_aside_are_not_read(spark):
 def test_resume_needs_a_sink(spark):
     with pytest.raises(ValueError, match="sink"):
         run_experiments(spark, [S.salary_experiment(SF001)], config=RunConfig(), resume=True)
+
+
+# ------------------------------------------------------------ side by side
+def test_fits_side_by_side_give_the_serial_rows(spark):
+    import threading
+    import time
+
+    from tabclass.plans.models import decision_tree
+
+    at_once, most, lock = 0, 0, threading.Lock()
+
+    class Slow:
+        """Naive Bayes that is seen to run beside another."""
+
+        def fit(self, df):
+            nonlocal at_once, most
+            with lock:
+                at_once += 1
+                most = max(most, at_once)
+            time.sleep(0.5)
+            model = naive_bayes().fit(df)
+            with lock:
+                at_once -= 1
+            return model
+
+    def broken():
+        raise RuntimeError("fails")
+
+    reg = ClassifierRegistry({"a": Slow, "tree": decision_tree, "b": Slow, "broken": broken, "c": Slow})
+    sink = MetricsSink(spark, scratch_path(spark, "together"))
+    pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+    together = run_experiments(spark, [S.salary_experiment(SF001)], reg, config=RunConfig(side_by_side=2, sink=sink))
+    assert most == 2  # no more than were asked for
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == pool  # the caller's thread keeps its own
+    serial = run_experiments(spark, [S.salary_experiment(SF001)], reg, config=RunConfig())
+    strip = lambda rows: [{k: v for k, v in r.items() if not k.endswith("_s")} for r in rows]
+    cells = lambda rows: [dict(r, confusion=sorted(r.get("confusion") or [])) for r in strip(rows)]
+    assert cells(together) == cells(serial) and sink.read().count() == 5
+    assert [r["status"] for r in together] == ["ok", "ok", "ok", "error", "ok"]
+    with pytest.raises(ValueError, match="at a time"):
+        RunConfig(side_by_side=0)
