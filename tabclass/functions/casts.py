@@ -8,9 +8,11 @@ the same result without touching the global setting by using ``try_cast``:
   as the old cast did; out-of-range and NaN give NULL;
 * text -> bigint is tried directly first, so values above 2**53 keep every
   digit, and only falls back to the double route for text like ``'3.9'``;
-* anything -> double is a plain ``try_cast``;
-* the texts ``true`` and ``false``, in any case, are 1 and 0, as in a column read
-  with inferred types and then cast.
+* anything -> double is a plain ``try_cast``.
+
+A text column that holds only true and false is made boolean when it is loaded
+(``tabclass.sources.catalog``), so that its casts give 1 and 0; among other texts,
+``True`` is a bad number and becomes NULL.
 """
 from __future__ import annotations
 
@@ -25,32 +27,22 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _flag(col: Column) -> Column:
-    """1 or 0 of a text that says true or false, else NULL."""
-    said = F.lower(F.trim(col))
-    return F.when(said == "true", 1).when(said == "false", 0)
-
-
-def safe_double(c: ColumnOrName, source_type: DataType | None = None) -> Column:
-    col = _col(c)
-    number = col.try_cast("double")
-    return F.coalesce(number, _flag(col).cast("double")) if isinstance(source_type, StringType) else number
+def safe_double(c: ColumnOrName) -> Column:
+    return _col(c).try_cast("double")
 
 
 def safe_int(c: ColumnOrName, source_type: DataType | None = None) -> Column:
     col = _col(c)
     if source_type is not None and not isinstance(source_type, StringType):
         return col.try_cast("int")
-    number = col.try_cast("double").try_cast("int")
-    return F.coalesce(number, _flag(col)) if isinstance(source_type, StringType) else number
+    return col.try_cast("double").try_cast("int")
 
 
 def safe_long(c: ColumnOrName, source_type: DataType | None = None) -> Column:
     col = _col(c)
     if source_type is not None and not isinstance(source_type, StringType):
         return col.try_cast("bigint")
-    number = F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
-    return F.coalesce(number, _flag(col).cast("bigint")) if isinstance(source_type, StringType) else number
+    return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
 
 
 def trimmed_string(c: ColumnOrName) -> Column:

@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabclass.operators.columns import ColumnRoles, infer_column_roles
-from tabclass.operators.vocabulary import fit_vocabulary_table, value_counts
+from tabclass.operators.vocabulary import fit_vocabulary_table
+from tabclass.operators.vocabulary import value_counts as _stacked_counts
 
 DEFAULT_MAX_CATEGORIES = None  # no limit; callers may set one
 LABEL_COL = "label"
@@ -56,7 +57,7 @@ def fit_vocabularies(
     columns = list(columns)
     if not columns:
         return {}
-    counts = value_counts(df, columns)
+    counts = _stacked_counts(df, columns)
     cap = None if max_categories is None else max_categories * len(columns)
     rows = (counts if cap is None else counts.limit(cap + 1)).collect()
     per_col: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}

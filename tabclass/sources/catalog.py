@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tabclass.operators.partitioning import balance_partitions
@@ -19,9 +20,35 @@ from tabclass.plans import recipes
 from tabclass.sources.csv_records import read_csv_records
 from tabclass.sources.files import header_text_schema, read_csv
 
+#: Rows that rule out most columns before a full pass looks at the rest.
+BOOLEAN_HEAD = 1000
+
 SIZE_CATEGORIES = ("small", "medium", "large")
 
 
+def boolean_text_columns(df: DataFrame) -> list[str]:
+    """Text columns whose values are all ``true`` or ``false`` in any case, as type
+    inference decides.  The first rows rule out nearly all columns; only those left,
+    usually none, cost a pass, over themselves alone."""
+    names = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    for rows in (df.limit(BOOLEAN_HEAD), df):
+        if not names:
+            return []
+        said = [F.bool_and(F.lower(F.col(f"`{c}`")).isin("true", "false")) for c in names]
+        found = rows.agg(*said).first()
+        # All null so far: a candidate, but no boolean column if it stays so.
+        names = [c for c, yes in zip(names, found) if yes or (yes is None and rows is not df)]
+    return names
+
+
+def with_booleans(df: DataFrame) -> DataFrame:
+    """``df`` with the columns that hold only true and false as booleans, so that a cast
+    to a number gives 1 and 0."""
+    flags = set(boolean_text_columns(df))
+    made = lambda c: (F.lower(F.col(f"`{c}`")) == "true").alias(c) if c in flags else F.col(f"`{c}`")
+    return df.select(*[made(c) for c in df.columns]) if flags else df
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     name: str
@@ -44,10 +71,12 @@ class DatasetSpec:
         if self.loader is not None:
             return self.loader(spark, replace(self, path=path))
         if not self.infer_types:
-            # The recipes cast every column from text: no inference pass needed.
+            # The recipes cast every column from text: no inference of types needed.
             if self.multi_line:
-                return read_csv_records(spark, path, self.schema)
-            return read_csv(spark, path, schema=self.schema or header_text_schema(spark, path))
+                df = read_csv_records(spark, path, self.schema)
+            else:
+                df = read_csv(spark, path, schema=self.schema or header_text_schema(spark, path))
+            return df if self.schema is not None else with_booleans(df)
         df = read_csv(spark, path, schema=self.schema, multi_line=self.multi_line)
         # Spark's own multi-line reader is one task per file however large: spread it
         # before normalising (no-op when there are already enough splits).

@@ -95,10 +95,13 @@ def test_catalog_reads_quoted_newlines_and_booleans(spark, tmp_dir):
     from tabclass.operators.columns import cast_columns
 
     with open(f"{tmp_dir}/d.csv", "w") as f:
-        f.write('flag,note,y\nTrue,"a\nb",1\nfalse,c,0\nmaybe,d,1\n')
-    spec = DatasetSpec("d", "d.csv", "y", "small", normalize=lambda df: cast_columns(df, {"flag": "int", "y": "double"}))
+        f.write('flag,mixed,none,note,y\nTrue,True,,"a\nb",1\nfalse,1,,c,0\n,x,,d,1\n')
+    casts = {"flag": "int", "mixed": "long", "none": "double", "y": "double"}
+    spec = DatasetSpec("d", "d.csv", "y", "small", normalize=lambda df: cast_columns(df, casts))
     got = sorted(map(tuple, spec.run(spark, tmp_dir).collect()), key=str)
-    assert got == sorted([(1, "a\nb", 1.0), (0, "c", 0.0), (None, "d", 1.0)], key=str)
+    assert got == sorted([(1, None, None, "a\nb", 1.0), (0, 1, None, "c", 0.0), (None, None, None, "d", 1.0)], key=str)
+    inferred = DatasetSpec("d", "d.csv", "y", "small", infer_types=True, normalize=spec.normalize)
+    assert sorted(map(tuple, inferred.run(spark, tmp_dir).collect()), key=str) == got
     seen = []
     custom = DatasetSpec("e", "d.csv", "y", "small", loader=lambda s, sp: seen.append(sp.path) or s.range(1))
     custom.load(spark, tmp_dir)
