@@ -68,13 +68,15 @@ def likeness(a: Column, b: Column) -> Column:
     return share(a, b)
 
 
-def with_next(rows: DataFrame) -> DataFrame:
+def with_next(rows: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """``rows(doc_id, text, sig)`` with ``next_text, next_sig`` of the document
-    with the next id, the last one's being the first.  Ties of an id are ordered
-    by text; a row without id has no next (null).
+    with the next id, the last one's being the first.  Ties of an id are
+    ordered by text; a row without id has no next (null).  ``marks(doc_id, mark)``,
+    one row an id at most, travel with the texts: column ``mark``, null without one.
 
     Ids are cut into stretches at quantiles, and each stretch also gets the first
-    document of the one after it, so every stretch is one independent task.
+    document of the one after it, so every stretch is one independent task.  This
+    is the one shuffle of whole texts: marks come along, so no join follows it.
     """
     n = min(STRETCHES, max(1, rows.count() // STRETCH))
     edges = np.array(rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10 * n + 1000)).first()[0] or [], dtype=np.int64)
@@ -84,25 +86,34 @@ def with_next(rows: DataFrame) -> DataFrame:
     def stretch(ids: pa.Array) -> pa.Array:
         return pa.array(np.searchsorted(edges, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right").astype(np.int32))
 
-    placed = rows.withColumn("at", F.when(F.col("doc_id").isNotNull(), stretch("doc_id")))
-    firsts = placed.where("doc_id IS NOT NULL").groupBy("at").agg(F.min("doc_id").alias("doc_id")).orderBy("at").collect()
+    if marks is None:
+        marks = rows.sparkSession.createDataFrame([], "doc_id long, mark long")
+    no_mark = F.lit(None).cast(marks.schema["mark"].dataType)
+    nothing = [F.lit(None).cast("string").alias("next_text"), F.lit(None).cast("binary").alias("next_sig"), no_mark.alias("mark")]
+    rest = rows.where("doc_id IS NULL").select("doc_id", "text", "sig", *nothing)
+    known = rows.where("doc_id IS NOT NULL").withColumn("at", stretch("doc_id"))
+    firsts = known.groupBy("at").agg(F.min("doc_id").alias("doc_id")).orderBy("at").collect()
     if not firsts:
-        return rows.withColumn("next_text", F.lit(None).cast("string")).withColumn("next_sig", F.lit(None).cast("binary"))
+        return rest
     goes_to = [(r["doc_id"], firsts[i - 1]["at"]) for i, r in enumerate(firsts)]  # the first of all goes to the last
     copies = rows.sparkSession.createDataFrame(goes_to, "doc_id long, at int")  # one row for each stretch
     heads = rows.join(F.broadcast(copies), "doc_id").groupBy("doc_id", "at").agg(F.min(F.struct("text", "sig")).alias("x"))
-    heads = heads.select("doc_id", F.col("x.text").alias("text"), F.col("x.sig").alias("sig"), "at", F.lit(True).alias("head"))
-    known = placed.where("doc_id IS NOT NULL").withColumn("head", F.lit(False)).select("doc_id", "text", "sig", "at", "head")
+    heads = heads.select("doc_id", "x.text", "x.sig", "at")
+    marks = marks.select("doc_id", "mark", stretch("doc_id").alias("at"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("binary").alias("sig"), F.lit(False).alias("head"))
+    both = known.withColumn("head", F.lit(False)).unionByName(heads.withColumn("head", F.lit(True))).withColumn("mark", no_mark).unionByName(marks)
+    # A mark has no text, so it comes just before its document and is no one's next.
     order = Window.partitionBy("at").orderBy("head", "doc_id", "text")
-    both = known.unionByName(heads)
-    out = both.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sig", F.lead("sig").over(order)).where("NOT head")
-    rest = rows.where("doc_id IS NULL").withColumn("next_text", F.lit(None).cast("string")).withColumn("next_sig", F.lit(None).cast("binary"))
-    return out.drop("at", "head").unionByName(rest)
+    so_far = F.last(F.when(F.col("text").isNull(), F.struct("doc_id", "mark")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    following = [F.expr(f"lead({c}) IGNORE NULLS OVER (PARTITION BY at ORDER BY head, doc_id, text)").alias(f"next_{c}") for c in ("text", "sig")]
+    out = both.select("*", *following, so_far.alias("last_mark")).where("text IS NOT NULL AND NOT head")
+    mark = F.when(F.col("last_mark.doc_id") == F.col("doc_id"), F.col("last_mark.mark"))
+    return out.select("doc_id", "text", "sig", "next_text", "next_sig", mark.alias("mark")).unionByName(rest)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next) of every row of ``docs``.
+    near_edited, near_next) of every row of ``docs``, and near_class of its id
+    if ``classes`` (from ``near_classes``) are given; an id without class has its own.
 
     The edited text is the text with its last floor(n_chars/2) code points
     replaced by the first as many, or all, of the next document.  Null texts
@@ -110,27 +121,49 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     no next document: nothing replaces the end, and near_next is 0.
     """
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    linked = with_next(rows.withColumn("sig", signature(F.col("text"))))
+    rows = rows.withColumn("sig", signature(F.col("text")))
+    linked = with_next(rows, None if classes is None else classes.select("doc_id", F.col("near_class").alias("mark")))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
-    linked = linked.select("doc_id", n.cast("long").alias("n_chars"), "sig", "next_sig", edited.alias("edited"))
-    linked = linked.select("doc_id", "n_chars", "sig", "next_sig", F.sha2(F.col("edited"), 256).alias("edited_sha256"), signature(F.col("edited")).alias("esig"))
+    linked = linked.select("doc_id", n.cast("long").alias("n_chars"), "sig", "next_sig", "mark", edited.alias("edited"))
+    linked = linked.select("doc_id", "n_chars", "sig", "next_sig", "mark", F.sha2(F.col("edited"), 256).alias("edited_sha256"), signature(F.col("edited")).alias("esig"))
     none = F.lit(bytes(4 * PERMUTATIONS))
-    return linked.select(
+    found = linked.select(
         "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("sig")).alias("fingerprint"), F.lower(F.hex("esig")).alias("edited_fingerprint"),
         likeness(F.col("sig"), F.col("esig")).alias("near_edited"),
         F.when(F.col("next_sig").isNull(), 0.0).otherwise(likeness(F.col("sig"), F.coalesce("next_sig", none))).alias("near_next"),
+        F.coalesce("mark", "doc_id").alias("near_class"),
     )
+    return found.drop("near_class") if classes is None else found
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text, h) of the rows with an id and with words, and (h, rep, sig)
-    of each of their texts, by its hash, with the smallest id."""
+    """(doc_id, text, h) of the rows with an id and with words, and (h, rep, sig,
+    size) of each of their texts, by its hash, with the smallest id and the number
+    of distinct shingles."""
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     rows = rows.where(F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).withColumn("h", F.xxhash64("text"))
-    signed = rows.select("doc_id", "h", signature(F.col("text")).alias("sig"))
-    return rows, saved(signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "near-classes")
+
+    @F.arrow_udf("struct<sig: binary, size: int>")
+    def measure(column: pa.Array) -> pa.Array:
+        sigs, sizes = [], []
+        for _, data, offsets in text_chunks(column):
+            sigs += [r.tobytes() for r in signatures(data, offsets)]
+            sizes.append(np.bincount(distinct_by_row(*text_shingles(data, offsets, WORDS))[1], minlength=len(offsets) - 1))
+        return pa.StructArray.from_arrays([pa.array(sigs, pa.binary()), pa.array(np.concatenate([*sizes, []]).astype(np.int32))], ["sig", "size"])
+
+    signed = rows.select("doc_id", "h", measure("text").alias("m"))
+    signed = signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.min("m.sig").alias("sig"), F.min("m.size").alias("size"))
+    return rows, saved(signed, "near-classes")
+
+
+def _alike_in_size(pairs: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
+    """Those ``pairs(x, y)`` whose numbers of shingles allow them to be ``similar``;
+    no similar pair is lost."""
+    size = classes.select(F.col("h").alias("x"), F.col("size").alias("m"))
+    both = pairs.join(size, "x").join(size.toDF("y", "n"), "y")
+    return both.where(F.least("m", "n") / F.greatest("m", "n") >= similar).select("x", "y")
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
@@ -157,9 +190,10 @@ def _similar(pairs: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
     return out
 
 
-def _links(classes: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
+def _links(classes: DataFrame, rows: DataFrame, similar: float) -> tuple[DataFrame, list[DataFrame]]:
     """(x, y, jaccard) of verified pairs of text hashes, with the same connected
-    components as all pairs that agree in a whole band and are ``similar``.
+    components as all pairs that agree in a whole band and are ``similar``; and
+    the written tables that hold them.
 
     Every bucket of a band is first a star around its hubs, so a group of n
     near-copies gives about 2 n pairs a band and not n squared.  Members that this
@@ -172,12 +206,14 @@ def _links(classes: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
     posted = saved(posted.join(hubs, ["band", "key"]), "near-buckets")
     star = posted.select("h", F.explode("hubs").alias("hub")).where("h <> hub")
     pair = [F.least("h", "hub").alias("x"), F.greatest("h", "hub").alias("y")]
-    compared = saved(star.select(*pair).distinct(), "near-candidates")
+    compared = saved(_alike_in_size(star.select(*pair).distinct(), classes, similar), "near-candidates")
     links = _similar(compared, rows, similar)
 
     parts = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-parts").withColumnRenamed("node", "h")
     member = posted.join(parts, "h", "left").select("band", "key", "h", F.coalesce("component", "h").alias("part"))
-    member = saved(member, "near-members")
+    whole = saved(member, "near-members")
+    discard(posted)
+    member = whole
     split = member.groupBy("band", "key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band", "key")
     member = member.join(split, ["band", "key"], "left_semi")
     part = member.select("band", "key", "part").distinct()
@@ -185,8 +221,10 @@ def _links(classes: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
     apart = part.withColumnRenamed("part", "p").join(part.withColumnRenamed("part", "q"), ["band", "key"]).where("p < q")
     left, right = (member.select("band", "key", F.col("part").alias(c), F.col("h").alias(n)) for c, n in (("p", "h"), ("q", "hub")))
     rest = apart.join(left, ["band", "key", "p"]).join(right, ["band", "key", "q"]).select(*pair).distinct()
-    more = _similar(saved(rest.join(compared, ["x", "y"], "left_anti"), "near-candidates"), rows, similar)
-    return links.unionByName(more)
+    rest = saved(_alike_in_size(rest, classes, similar).join(compared, ["x", "y"], "left_anti"), "near-candidates")
+    more = _similar(rest, rows, similar)
+    discard(compared, whole, rest)
+    return links.unionByName(more), [links, more]
 
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
@@ -198,7 +236,7 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words pair with nothing.
     """
     rows, classes = _classes(docs, id_col, text_col)
-    links = _links(classes, rows, similar)
+    links, _ = _links(classes, rows, similar)
     rep = classes.select("h", "rep")
     found = links.join(rep.toDF("x", "i"), "x").join(rep.toDF("y", "j"), "y")
     return found.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "jaccard").distinct()
@@ -209,10 +247,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pairs and equal texts connect it with, itself if there is none.  An id with
     several texts has the smallest of their classes."""
     rows, classes = _classes(docs, id_col, text_col)
-    links = _links(classes, rows, similar)
+    links, made = _links(classes, rows, similar)
     parts = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-classes").withColumnRenamed("node", "h")
     member = classes.select("h", "rep").join(parts, "h", "left").select("h", "rep", F.coalesce("component", "h").alias("part"))
     least = member.groupBy("part").agg(F.min("rep").alias("near_class"))
     named = member.join(least, "part").select("h", "near_class")
     found = rows.select("doc_id", "h").distinct().join(named, "h", "left").groupBy("doc_id").agg(F.min("near_class").alias("near_class"))
-    return saved(found, "near-found")
+    out = saved(found, "near-found")
+    discard(classes, *made)
+    return out

@@ -34,8 +34,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = fingerprints(docs).join(near_classes(docs), "doc_id", "left")
-    return found.withColumn("near_class", F.coalesce("near_class", F.col("doc_id").cast("long")))
+    return fingerprints(docs, classes=near_classes(docs))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
