@@ -373,6 +373,27 @@ def _profile_sql() -> str:
     return "\nUNION ALL\n".join(blocks)
 
 
+def _profile_wide_sql() -> str:
+    tables = {
+        "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+        "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+        "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    }
+    empty = {"l_returnflag": "nullif(l_returnflag, 'N')", "o_orderstatus": "nullif(o_orderstatus, 'P')", "p_size": "nullif(p_size, 7)"}
+    blocks = []
+    for t, columns in tables.items():
+        for c in columns.split():
+            # + 0: the least value may come from a file's statistics, which write zero as -0.0
+            v = f"({c} + 0)" if c in ("l_discount", "l_tax") else empty.get(c, c)
+            blocks.append(
+                f"""SELECT '{t}' AS dataset, '{c}' AS "column", count(*) AS rows, count(*) - count({v}) AS nulls,
+       CAST(min({v}) AS VARCHAR) AS min_value, CAST(max({v}) AS VARCHAR) AS max_value, TRUE AS distinct_within_error,
+       coalesce((SELECT string_agg(w || ':' || n, ',' ORDER BY n DESC, w) FROM (SELECT CAST({v} AS VARCHAR) AS w, count(*) AS n FROM {t}
+        WHERE {v} IS NOT NULL GROUP BY 1) WHERE n >= 0.01 * (SELECT count(*) FROM {t})), '') AS heavy FROM {t}"""
+            )
+    return "\nUNION ALL\n".join(blocks)
+
+
 _NUMERIC_DUCK = "('TINYINT','SMALLINT','INTEGER','BIGINT','HUGEINT','FLOAT','DOUBLE','REAL','UTINYINT','USMALLINT','UINTEGER','UBIGINT')"
 
 
@@ -574,6 +595,7 @@ SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), {D}) AS accuracy,
        round(sum(2.0::DOUBLE * tp / (support + coalesce(predicted, 0)) * support) / sum(support), {D}) AS weighted_f1,
        CAST(sum(support) AS BIGINT) AS n, count(*) AS classes FROM s LEFT JOIN q ON q.p = s.y"""
     o["row_accounting"] = _accounting_sql()
+    o["profile_wide"] = _profile_wide_sql()
     o["random_split"] = "SELECT p_partkey, count(*) AS sides, TRUE AS share_ok FROM part GROUP BY p_partkey"
     for key in ("train_random_forest", "train_decision_tree", "train_any_estimator"):
         o[key] = SALARY_NB + "\nSELECT k AS p_partkey, label, TRUE AS in_classes, TRUE AS beats_majority FROM pred"

@@ -37,6 +37,7 @@ from tabclass.operators.quantiles import TERCILE_LABELS, approx_quantiles, bin_b
 from tabclass.operators.quantile_sketch import merge_sketches, quantile_sketches, sketch_quantiles
 from tabclass.operators.split import hash_split, random_split, split_frames, stratified_split
 from tabclass.operators.rows import valid
+from tabclass.operators.wide_profile import DISTINCT_ERROR, wide_profile
 from tabclass.operators.vocabulary import fit_vocabulary_table, index_columns
 from tabclass.plans import recipes as R_
 from tabclass.plans import standins as S
@@ -292,6 +293,24 @@ def q_row_accounting(spark: SparkSession, sf: str) -> DataFrame:
     return account_frame(spark, accounts)
 
 
+def q_profile_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Every column of three tables: nulls, range and values of at least 1 % of the
+    rows, and whether the distinct count lies within four times its stated error."""
+    out = []
+    for name, empty in (("lineitem", {"l_returnflag": "N"}), ("orders", {"o_orderstatus": "P"}), ("part", {"p_size": 7})):
+        df = S.table(spark, sf, name).withColumns({c: F.nullif(F.col(c), F.lit(v)) for c, v in empty.items()})
+        exact = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns])
+        exact = exact.unpivot([], df.columns, "column", "distinct")
+        close = F.abs(F.col("distinct_estimate") - F.col("distinct")) <= 4 * DISTINCT_ERROR * F.col("distinct")
+        heavy = F.array_join(F.transform("heavy", lambda h: F.concat_ws(":", h["value"], h["n"].cast("string"))), ",")
+        out.append(
+            wide_profile(df).join(exact, "column").select(
+                F.lit(name).alias("dataset"), "column", "rows", "nulls", "min_value", "max_value", close.alias("distinct_within_error"), heavy.alias("heavy")
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def q_tercile_target(spark: SparkSession, sf: str) -> DataFrame:
     """Exact cut points and the rows per bin (bins from the raw column: no join)."""
     raw = R.dropna_subset(C.cast_double(S.salary_raw(spark, sf), ["salary"]), ["salary"])
@@ -661,6 +680,7 @@ QUERIES = {
     "category_index_large": q_category_index_large,
     "quantiles_sketch": q_quantiles_sketch,
     "row_accounting": q_row_accounting,
+    "profile_wide": q_profile_wide,
     "one_hot": q_one_hot,
     "assemble_features": q_assemble_features,
     "build_features": q_build_features,
