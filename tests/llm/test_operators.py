@@ -359,6 +359,17 @@ def test_false_hubs_hide_no_near_pair(spark):
     assert found[1000] == found[1001] == found[1002] and found[903] == 903 and None not in found
 
 
+def test_fingerprints_carry_the_classes(spark):
+    rows = [(i * 3, prose(i % 7, 40)) for i in range(30)] + [(3, "another text of id three"), (6, prose(6, 40)), (None, prose(2, 40)), *ODD]
+    d = docs(spark, rows)
+    classes = near_classes(d)
+    got = fingerprints(d, classes=classes)
+    joined = fingerprints(d).join(classes, "doc_id", "left").withColumn("near_class", F.coalesce("near_class", "doc_id"))
+    key = lambda r: tuple(str(r[c]) for c in sorted(joined.columns))
+    assert got.count() == len(rows) and sorted(map(key, got.collect())) == sorted(map(key, joined.collect()))
+    assert {r.near_class for r in got.where("doc_id = 87").collect()} == {3}  # the text of 3, 24, 45, 66 and 87
+
+
 def test_empty_tables(spark):
     none = docs(spark, [])
     assert [f(none).count() for f in (jaccard_components, line_dedup, mix, secret_scan, pii.find_pii, fingerprints)] == [0] * 6
