@@ -5,8 +5,12 @@ conditional random field over word-shape features adds spans that the patterns
 miss, such as phone numbers without a country code and spelled-out addresses.
 It is trained on a small labelled table of sentences, made below from a few
 templates, and decoded by Viterbi in numpy batches: all words of all texts, in
-sequences that are the lines of a text, long lines being cut at plain words.
-What it tags is kept only if it has the digits or signs that its kind needs.
+sequences that are the lines of a text.  Only stretches with words in doubt are
+decoded, long ones in blocks whose best paths are joined exactly: the tags are
+those of the whole line, however long it is.
+What it tags is kept only if it has the digits or signs that its kind needs; a
+phone number without a country code may have any grouping of 7 to 15 digits, if
+the model gives it a probability of at least ``PHONE_BAR``.
 """
 from __future__ import annotations
 
@@ -33,6 +37,9 @@ LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+#: Digits and separators as phone numbers are grouped, in tagged words.
+GROUPED = re.compile(rb"[+(]?[0-9](?:[ ().-]{0,3}[0-9])*")
+LOCAL_DIGITS = range(7, 16)
 
 
 def luhn(digits: str) -> bool:
@@ -90,7 +97,7 @@ def known_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ----------------------------------------------------------------- features
 TABLE_BITS = 12
-FEATURES = 7
+FEATURES = 8
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[48:58] = ord("d")
@@ -101,8 +108,8 @@ _SHAPE[128:] = ord("l")
 
 def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, sequence: np.ndarray) -> np.ndarray:
     """Words x FEATURES: table rows of the word's shape, collapsed shape, digit
-    count and identity, and of its neighbours' collapsed shapes and the
-    identity before it, within a sequence."""
+    count and identity, and of its neighbours' collapsed shapes and the two
+    identities before it, within a sequence."""
     shape = _SHAPE[data]
     fresh = np.ones(len(data), dtype=bool)
     fresh[1:] = shape[1:] != shape[:-1]
@@ -112,20 +119,22 @@ def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray, sequence
     full = word_hashes(shape, start, end)
     word = word_hashes(_LOWER[data], start, end)
     digits = np.concatenate([[0], np.cumsum(shape == ord("d"))])
-    count = (np.minimum(digits[end] - digits[start], 20) * 32 + np.minimum(end - start, 31)).astype(np.uint64)
+    zero = np.isin(data[start], np.frombuffer(b"0(", dtype=np.uint8))  # as trunk prefixes begin
+    count = (np.minimum(digits[end] - digits[start], 20) * 64 + np.minimum(end - start, 31) * 2 + zero).astype(np.uint64)
     edge = np.uint64(0xE)
 
     def neighbour(value: np.ndarray, step: int) -> np.ndarray:
         out = np.full(len(value), edge)
-        if len(value) > 1:
-            same = sequence[1:] == sequence[:-1]
+        if len(value) > abs(step):
+            far = abs(step)
+            same = sequence[far:] == sequence[:-far]
             if step < 0:
-                out[1:][same] = value[:-1][same]
+                out[far:][same] = value[:-far][same]
             else:
-                out[:-1][same] = value[1:][same]
+                out[:-far][same] = value[far:][same]
         return out
 
-    columns = (full, short, count, word, neighbour(short, -1), neighbour(short, 1), neighbour(word, -1))
+    columns = (full, short, count, word, neighbour(short, -1), neighbour(short, 1), neighbour(word, -1), neighbour(word, -2))
     rows = [(mix64(c + np.uint64(1_000_003 * (i + 1))) >> np.uint64(64 - TABLE_BITS)).astype(np.int32) + (i << TABLE_BITS) for i, c in enumerate(columns)]
     return np.stack(rows, axis=1)
 
@@ -138,6 +147,8 @@ TEMPLATES = (
     "w w {ip} w w", "w {ip}. w w", "{ip} W w", "w | {ip} | w", "server {ip} w w", "W!! {ip}!! W!! W!!",
     "w w {card} w w w", "card {card} w w", "w {card}, w", "W w {card}", "w | {card} | w", "w*** {card}$$$ w",
     "w w {phone} w w", "call {phone} w w w", "tel {phone_local} w", "phone: {phone_local} w w", "w w {phone_local} w w", "W w. {phone} W w", "{phone} w w",
+    "tel {phone_other} w", "call {phone_other} w w w", "phone: {phone_other} w w", "w w fax {phone_other}, w", "W mobile {phone_other}. W w", "telefon {phone_other} w",
+    "w w ring w on {phone_other} w", "w call w at {phone_other}", "tel. {phone_other}, w w", "tel: {phone_other} w {phone_other} w", "w w number: {phone_other} w w",
     "ssn {ssn} w w", "w w {ssn} w", "w number {ssn}, w",
     "w w w w w w w", "W w w, w w. W w w w", "w w w w w w w w w", "w w w. W w", "w | w | W | w.", "W!! W!! W,!! W!!", "w*** w$$$ w.### w&&& w%%%",
     "w w {number} w w", "w {number}. W w w", "{number} w w w", "w w {year} w", "W {date} w w", "w w {date}, w", "w {price} w w", "w {version} w", "w w {number}%%% w",
@@ -164,23 +175,40 @@ def _value(slot: str, rng: np.random.Generator) -> str:
         return any_of(f"+1 ({digit(3)}) 555-{digit(4)}", f"+{digit(2)} {digit(3)} {digit(3)} {digit(4)}", f"+{digit(2)}-{digit(3)}-{digit(7)}")
     if slot == "phone_local":
         return any_of(f"({digit(3)}) {digit(3)}-{digit(4)}", f"{digit(3)}-{digit(3)}-{digit(4)}", f"{digit(3)}.{digit(3)}.{digit(4)}")
+    if slot == "phone_other":
+        return any_of(
+            *[f"0{digit(2)} {digit(4)} {digit(4)}", f"(0{digit(2)}) {digit(4)} {digit(4)}"] * 3, f"0{digit(2)} {digit(6)}", f"{digit(3)} {digit(4)}", f"{digit(3)}-{digit(4)}", f"0{digit(4)} {digit(3)} {digit(3)}", f"0{digit(4)} {digit(6)}",
+            f"0{digit(1)} " + " ".join(digit(2) for _ in range(4)), f"0{digit(3)}-{digit(3)}-{digit(4)}", f"{digit(2)} {digit(3)} {digit(2)} {digit(2)}",
+            f"{digit(3)} {digit(3)} {digit(3)}", f"0{digit(2)}-{digit(7)}", f"0{digit(9)}", f"0{digit(3)}.{digit(3)}.{digit(3)}",
+        )
+    if slot == "range":
+        return f"{any_of('18', '19', '20')}{digit(2)}-{any_of('18', '19', '20')}{digit(2)}" if rng.random() < 0.7 else f"{digit(2)}-{digit(2)}"
+    if slot == "thousands":
+        sep = any_of(" ", ".")
+        return sep.join([str(int(rng.integers(1, 999))), *(digit(3) for _ in range(int(rng.integers(1, 4))))])
+    if slot == "isbn":
+        return any_of(f"978-{digit(1)}-{digit(2)}-{digit(6)}-{digit(1)}", f"97{digit(11)}", f"{digit(1)}-{digit(4)}-{digit(4)}-{digit(1)}")
+    if slot == "code":
+        return any_of(f"{digit(2)}-{digit(5)}", f"{digit(4)}-{digit(6)}", f"{digit(9)}", f"{digit(8)}-{digit(1)}", f"{digit(6)}-{digit(4)}-{digit(2)}", f"20{digit(2)}-{digit(5)}")
     if slot == "ssn":
         return f"{digit(3)}-{digit(2)}-{digit(4)}"
     if slot == "date":
         return any_of(f"20{digit(2)}-0{digit(1)}-1{digit(1)}", f"1{digit(1)}/0{digit(1)}/20{digit(2)}", f"1{digit(1)}.0{digit(1)}.20{digit(2)}")
     return {
-        "number": lambda: digit(int(rng.integers(1, 8))), "year": lambda: any_of("19", "20") + digit(2), "price": lambda: f"${digit(2)}.{digit(2)}",
+        "number": lambda: str(int(rng.integers(1, 10 ** int(rng.integers(1, 8))))), "year": lambda: any_of("19", "20") + digit(2), "price": lambda: f"${digit(2)}.{digit(2)}",
         "version": lambda: f"{digit(1)}.{digit(1)}.{digit(2)}", "long": lambda: digit(int(rng.integers(8, 16))), "time": lambda: f"1{digit(1)}:{digit(2)}",
         "key": lambda: "".join(rng.choice(list("0123456789abcdef"), 40)),
     }[slot]()
 
 
 def labelled_sentences(seed: int = 3) -> list[tuple[list[str], list[int]]]:
-    """Words and tags of every sentence of the labelled table."""
+    """Words and tags of every sentence of the labelled table: the templates,
+    with up to three plain words before and two after."""
     rng, out = np.random.default_rng(seed), []
     for _ in range(COPIES):
         for template in TEMPLATES:
             row, tags = [], []
+            template = "w " * int(rng.integers(0, 4)) + template + " w" * int(rng.integers(0, 3))
             for part in template.split(" "):
                 slot = re.search(r"\{(\w+)\}", part)
                 filled = part
@@ -204,7 +232,7 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=1)
-def trained(epochs: int = 60) -> tuple[np.ndarray, np.ndarray]:
+def trained(epochs: int = 100) -> tuple[np.ndarray, np.ndarray]:
     """Emission table and transitions, by gradient ascent on the conditional
     likelihood of all sentences at once (forward-backward over padded batches)."""
     sentences = labelled_sentences()
@@ -253,50 +281,145 @@ def trained(epochs: int = 60) -> tuple[np.ndarray, np.ndarray]:
     return emit.astype(np.float32), move.astype(np.float32)
 
 
-def viterbi(score: np.ndarray, sequence: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """Best tags of words with emission ``score`` in consecutive sequences."""
-    if len(score) == 0:
-        return np.zeros(0, np.int8)
+def _runs(score: np.ndarray, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and length of the sequences, longest first, and how many are longer than each t."""
     first = np.flatnonzero(np.r_[True, sequence[1:] != sequence[:-1]])
     size = np.diff(np.r_[first, len(score)])
     order = np.argsort(-size, kind="stable")
     first, size = first[order], size[order]
-    longest = int(size[0])
-    active = np.searchsorted(-size, -np.arange(longest), side="left")  # sequences longer than t
+    return first, size, np.searchsorted(-size, -np.arange(int(size[0])), side="left")
+
+
+def viterbi(score: np.ndarray, sequence: np.ndarray, move: np.ndarray, before: np.ndarray | None = None, final: np.ndarray | None = None) -> np.ndarray:
+    """Best tags of words with emission ``score`` in consecutive sequences.
+    ``before`` (what each tag of a sequence's first word gets besides) and
+    ``final`` (the tag of its last word) may be given, in order of sequences."""
+    if len(score) == 0:
+        return np.zeros(0, np.int8)
+    first, size, active = _runs(score, sequence)
+    at_sequence = np.argsort(np.argsort(first)) if before is not None or final is not None else None
     best = score[first].copy()
+    if before is not None:
+        best += before[at_sequence]
     back = np.zeros((len(score), score.shape[1]), dtype=np.int8)
-    for t in range(1, longest):
+    for t in range(1, len(active)):
         m = active[t]
         reach = best[:m, :, None] + move[None]
         at = first[:m] + t
         back[at] = reach.argmax(axis=1)
         best[:m] = reach.max(axis=1) + score[at]
     out = np.zeros(len(score), dtype=np.int8)
-    tag = best.argmax(axis=1).astype(np.int8)
-    out[first + size - 1] = tag
-    for t in range(longest - 1, 0, -1):
+    out[first + size - 1] = best.argmax(axis=1) if final is None else final[at_sequence]
+    for t in range(len(active) - 1, 0, -1):
         m = active[t]
         at = first[:m] + t
         out[at - 1] = back[at, out[at]]
     return out
 
 
-#: Words after which a long line is cut at the next plain word.
+#: Words of one block of a long sequence.
 PIECE = 128
 
 
-def _sequences(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Sequence number of each word: lines, long ones cut before plain words."""
+def _in_blocks(score: np.ndarray, sequence: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """The tags of ``viterbi``, in steps bounded by ``PIECE`` and the number of
+    blocks instead of the longest sequence: blocks are reduced side by side to
+    the best score from each tag before them to each tag at their end, these are
+    chained, and every block is decoded between the tags found at its ends."""
+    fresh = np.r_[True, sequence[1:] != sequence[:-1]]
+    inside = np.arange(len(score)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    head = inside % PIECE == 0
+    begin = inside[head] == 0  # blocks that begin a sequence
+    if begin.all():
+        return viterbi(score, sequence, move)
+    block, k = np.cumsum(head) - 1, score.shape[1]
+    first, _, active = _runs(score, block)
+    number = np.argsort(np.argsort(first))
+    before = np.where(begin[number][:, None, None], 0, move[None]).astype(score.dtype)  # block x tag before x tag
+    reach = before + score[first][:, None, :]
+    for t in range(1, len(active)):
+        m = active[t]
+        step = (reach[:m, :, :, None] + move[None, None]).max(axis=2)
+        reach[:m] = step + score[first[:m] + t][:, None, :]
+    reach = reach[np.argsort(first)]
+    n = len(begin)
+    choice, total = np.zeros((n, k), np.int8), np.zeros((n, k))
+    for i in range(n):
+        way = reach[i] if begin[i] else total[i - 1][:, None] + reach[i]
+        choice[i], total[i] = way.argmax(axis=0), way.max(axis=0)
+    final = np.zeros(n, np.int8)
+    lead = np.zeros((n, k), score.dtype)
+    for i in range(n - 1, -1, -1):
+        if i == n - 1 or begin[i + 1]:
+            final[i] = total[i].argmax()
+        if not begin[i]:
+            final[i - 1] = choice[i, final[i]]
+            lead[i] = move[final[i - 1]]
+    return viterbi(score, block, move, lead, final)
+
+
+def surely_plain(score: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Words whose best tag is O whatever stands before and after them: O leads
+    every other tag by more than any neighbours can make up for."""
+    need = np.maximum(0, (move - move[:, :1]).max(axis=0)) + np.maximum(0, (move - move[:1]).max(axis=1))
+    return (score[:, :1] - score[:, 1:] > need[None, 1:] + 1e-3).all(axis=1)
+
+
+def decode(score: np.ndarray, sequence: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """The tags of ``viterbi``, computed only where they are in doubt: the words
+    between surely plain ones, with these at both ends, make sequences of their own."""
+    out = np.zeros(len(score), np.int8)
+    doubt = ~surely_plain(score, move)
+    same = sequence[1:] == sequence[:-1]
+    keep = doubt.copy()
+    keep[1:] |= doubt[:-1] & same
+    keep[:-1] |= doubt[1:] & same
+    at = np.flatnonzero(keep)
+    if len(at):
+        part = np.cumsum(np.r_[True, (np.diff(at) > 1) | (sequence[at[1:]] != sequence[at[:-1]])])
+        out[at] = _in_blocks(score[at], part, move)
+    return out
+
+
+def _forward(score: np.ndarray, sequence: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Log of the summed weights of all ways to each tag of each word."""
+    first, _, active = _runs(score, sequence)
+    out = score.astype(np.float64)
+    for t in range(1, len(active)):
+        at = first[: active[t]] + t
+        out[at] += _lse(out[at - 1][:, :, None] + move[None], 1)
+    return out
+
+
+#: Words on each side of a tagged run that its probability is taken over.
+CONTEXT = 16
+PHONE_BAR = 0.5
+
+
+def run_probabilities(score: np.ndarray, sequence: np.ndarray, move: np.ndarray, low: np.ndarray, high: np.ndarray, tag: int) -> np.ndarray:
+    """Probability that all words low..high-1 have ``tag``, for each run, given
+    the words of its sequence up to ``CONTEXT`` before and after it."""
+    if len(low) == 0:
+        return np.zeros(0)
+    fresh = np.flatnonzero(np.r_[True, sequence[1:] != sequence[:-1]])
+    of = np.searchsorted(fresh, low, side="right") - 1
+    a, b = np.maximum(fresh[of], low - CONTEXT), np.minimum(np.r_[fresh[1:], len(score)][of], high + CONTEXT)
+    size = b - a
+    window = np.repeat(np.arange(len(low)), size)
+    start = np.r_[0, np.cumsum(size)[:-1]]
+    near = score[np.arange(len(window)) - start[window] + a[window]]
+    ahead = _forward(near, window, move)
+    behind = _forward(near[::-1], window[::-1], move.T)[::-1] - near
+    norm = _lse(ahead[start + size - 1], 1)
+    along = np.r_[0, np.cumsum(near[:, tag] + move[tag, tag], dtype=np.float64)]
+    x, y = start + low - a, start + high - 1 - a
+    return np.exp(ahead[x, tag] + along[y + 1] - along[x + 1] + behind[y, tag] - norm)
+
+
+def _sequences(data: np.ndarray, start: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Sequence number of each word: lines."""
     line = np.concatenate([[0], np.cumsum(data == 10)])[start]
-    fresh = np.r_[True, (row[1:] != row[:-1]) | (line[1:] != line[:-1])]
-    sequence = np.cumsum(fresh) - 1
-    inside = np.arange(len(start)) - np.flatnonzero(fresh)[sequence]
-    special = np.concatenate([[0], np.cumsum(np.isin(_SHAPE[data], np.frombuffer(b"d@+([", dtype=np.uint8)))])
-    plain = np.flatnonzero((special[end] - special[start]) == 0)
-    block = inside[plain] // PIECE
-    cut = np.zeros(len(start), dtype=bool)
-    cut[plain[1:]] = (block[1:] != block[:-1]) & (sequence[plain[1:]] == sequence[plain[:-1]])
-    return np.cumsum(fresh | cut) - 1
+    return np.cumsum(np.r_[True, (row[1:] != row[:-1]) | (line[1:] != line[:-1])]) - 1
 
 
 def _fits(kind: int, text: str) -> bool:
@@ -309,27 +432,38 @@ def _fits(kind: int, text: str) -> bool:
     if kind == 2:
         return 12 <= len(digits) <= 19 and luhn(digits)
     if kind == 3:
-        return bool(re.fullmatch(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", text))
+        return bool(GROUPED.fullmatch(text.encode())) and len(digits) in LOCAL_DIGITS
     return bool(re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", text))
 
 
 def tagged_spans(data: np.ndarray, offsets: np.ndarray, emit: np.ndarray, move: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(row, kind, first byte, byte after the last) of the tagged word runs."""
+    """(row, kind, first byte, byte after the last) of the tagged word runs; of
+    those tagged phone, the grouped digits that are likely enough."""
     start, end, row = words(data, offsets)
     if len(start) == 0:
         return []
-    sequence = _sequences(data, start, end, row)
+    sequence = _sequences(data, start, row)
     features = word_features(data, start, end, sequence)
     score = emit[features[:, 0]]
     for f in range(1, FEATURES):
         score += emit[features[:, f]]
-    tag = viterbi(score, sequence, move)
+    tag = decode(score, sequence, move)
     some = np.flatnonzero(tag > 0)
     if len(some) == 0:
         return []
     breaks = np.flatnonzero(np.r_[True, (np.diff(some) > 1) | (tag[some[1:]] != tag[some[:-1]]) | (sequence[some[1:]] != sequence[some[:-1]])])
     ends = np.r_[breaks[1:], len(some)] - 1
-    return [(int(row[some[a]]), int(tag[some[a]]) - 1, int(start[some[a]]), int(end[some[b]])) for a, b in zip(breaks, ends)]
+    runs = [(int(row[some[a]]), int(tag[some[a]]) - 1, int(start[some[a]]), int(end[some[b]])) for a, b in zip(breaks, ends)]
+    out = [r for r in runs if r[1] != 3]
+    phones = [
+        (i, kind, a + m.start(), a + m.end())
+        for i, kind, a, b in runs if kind == 3
+        for m in GROUPED.finditer(data[a:b].tobytes()) if len(re.sub(rb"[^0-9]", b"", m.group())) in LOCAL_DIGITS
+    ]
+    low = np.searchsorted(end, [a for _, _, a, _ in phones], side="right")
+    high = np.searchsorted(start, [b for *_, b in phones], side="left")
+    likely = run_probabilities(score, sequence, move, low, high, TAGS.index("phone"))
+    return sorted(out + [r for r, p in zip(phones, likely) if p >= PHONE_BAR], key=lambda r: (r[0], r[2]))
 
 
 def scan(column: pa.Array, emit: np.ndarray, move: np.ndarray) -> tuple[list[list], list[list]]:

@@ -412,3 +412,54 @@ def test_quality_sample_ignores_order_and_copies(spark):
     assert a.labels.tolist() == b.labels.tolist() and a.prior == b.prior and len(a.labels) == 60
     assert a.labels[3] == 1.0 and a.labels[4] == 1.0 and a.labels[6] == 0.0
     assert np.allclose(a.vectors, b.vectors)
+
+
+def test_blocks_and_doubtful_stretches_decode_as_whole_lines():
+    rng = np.random.default_rng(4)
+    for trial in range(40):
+        n = int(rng.integers(1, 1200))
+        score, move = rng.normal(size=(n, 6)).astype(np.float32), rng.normal(size=(6, 6)).astype(np.float32)
+        score[:, 0] += rng.choice([0, 3, 9])
+        sequence = np.cumsum(rng.random(n) < rng.choice([0.0, 0.004, 0.05]))
+        whole = pii.viterbi(score, sequence, move)
+        assert (pii._in_blocks(score, sequence, move) == whole).all()
+        assert (pii.decode(score, sequence, move) == whole).all()
+        assert not whole[pii.surely_plain(score, move)].any()
+
+
+def test_run_probabilities_equal_full_sums():
+    rng = np.random.default_rng(5)
+    score, move = rng.normal(size=(7, 3)).astype(np.float32), rng.normal(size=(3, 3)).astype(np.float32)
+    sequence = np.array([0, 0, 0, 0, 1, 1, 1])
+    low, high = np.array([1, 4, 0]), np.array([3, 5, 4])
+    for a, b, got in zip(low, high, pii.run_probabilities(score, sequence, move, low, high, 2)):
+        first, last = (0, 4) if a < 4 else (4, 7)
+        ways = {p: np.exp(sum(score[first + i, t] for i, t in enumerate(p)) + sum(move[x, y] for x, y in zip(p, p[1:]))) for p in itertools.product(range(3), repeat=last - first)}
+        want = sum(w for p, w in ways.items() if all(t == 2 for t in p[a - first : b - first])) / sum(ways.values())
+        assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_crf_finds_planted_local_numbers():
+    """Precision and recall on sentences of invented words that training has not seen."""
+    rng = random.Random(6)
+    digit = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    groups = [lambda: f"0{digit(2)} {digit(4)} {digit(4)}", lambda: f"0{digit(2)} {digit(6)}", lambda: f"{digit(3)}-{digit(4)}", lambda: f"({digit(3)}) {digit(3)}-{digit(4)}", lambda: f"0{digit(4)} {digit(3)} {digit(3)}"]
+    others = [lambda: f"19{digit(2)}-20{digit(2)}", lambda: f"20{digit(2)}-0{1}-1{digit(1)}", lambda: f"{digit(4)}", lambda: f"978-3-{digit(2)}-{digit(6)}-{digit(1)}"]
+    texts, want = [], []
+    for i in range(400):
+        value = rng.choice(groups)() if i % 2 else rng.choice(others)()
+        lead = f"{prose(i, 6)} {rng.choice(['tel', 'call', 'fax', 'phone:']) if i % 2 else rng.choice(['in', 'isbn', 'since'])} "
+        texts.append(f"{lead}{value} {prose(i + 1000, 5)}")
+        want.append([(len(lead), 3, len(lead) + len(value))] if i % 2 else [])
+    _, added = pii.scan(pa.array(texts), *pii.trained())
+    right = sum(a == w for a, w in zip(added, want) if w)
+    assert right >= 180 and right >= 0.95 * sum(map(len, added))
+    print("planted local numbers: precision", right / sum(map(len, added)), "recall", right / 200)
+
+
+def test_tags_near_a_cut_are_those_of_the_whole_line():
+    one = "call (499) 555-6503 today "
+    for n in (100, 125, 126, 127, 128, 129, 300):
+        line = "word " * n + one + "word " * n
+        _, added = pii.scan(pa.array([line]), *pii.trained())
+        assert added == [[(5 * n + 5, 3, 5 * n + 19)]]
