@@ -31,6 +31,9 @@ RAW = frozenset("script style textarea title iframe noscript template svg".split
 IN_HEAD = frozenset("html head base basefont bgsound link meta title script style noscript template noframes".split())
 #: Tags that end svg and math that were left open, and the elements of these that may hold HTML.
 BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Tags that end an open paragraph, and the elements whose paragraphs end inside them.
+ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol pre section summary table ul".split())
+P_SCOPE = frozenset("button caption object table td th".split())
 HOLDS_HTML = frozenset("mi mo mn ms mtext annotation-xml".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?][^>]*>", re.S)
@@ -102,6 +105,13 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                     break
             continue
         links = 0
+        if name in ENDS_P:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == "p":
+                    cut(i)
+                    break
+                if stack[i][0] in P_SCOPE:
+                    break
         if name in VOID:
             continue
         if name in ("p", "li", "dd", "dt", "tr", "td", "th", "option"):  # a new one ends an open one
@@ -130,7 +140,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
 
 
 # ----------------------------------------------------------------- features
-PATH, WORD, FIGURES = 96, 48, 5
+PATH, WORD, FIGURES = 256, 48, 5
 INPUT, HIDDEN = PATH + WORD + FIGURES, 20
 
 
@@ -243,17 +253,23 @@ OTHER_NAMES = {
 }
 
 
+@functools.lru_cache(maxsize=1)
+def _made_words(number: int = 20_000, seed: int = 12) -> list[str]:
+    """Words of random letters."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("aeionrstlhdcmué"))
+    return ["".join(letters[rng.integers(0, len(letters), n)]) for n in rng.integers(1, 10, number)]
+
+
 def training_page(rng: np.random.Generator) -> list[tuple[tuple[str, ...], str, float, int]]:
-    """Blocks with labels of one made page."""
-    word = lambda: "".join(rng.choice(list("aeionrstlhdcmué"), rng.integers(1, 10)))
-    text = lambda a, b: " ".join(word() for _ in range(rng.integers(a, b)))
+    """Blocks with labels of one made page: main text in named, unnamed or no
+    containers, in paragraphs, plain boxes or parted by line breaks."""
+    known = _made_words()
+    text = lambda a, b: " ".join(known[int(u)] for u in len(known) * rng.random(rng.integers(a, b)) ** 3)
     sentence = lambda a, b: text(a, b).capitalize() + rng.choice([".", ".", ".", "", "!"])
     out: list[tuple[tuple[str, ...], str, float, int]] = []
     outer: tuple[str, ...] = ("html", "body") + (("div", "." + rng.choice(["wrapper", "container", "page", "site"])) if rng.random() < 0.4 else ())
 
-    def named(names: list[str], tag: str) -> tuple[str, ...]:
-        return (tag, *(f".{w}" for w in str(rng.choice(names)).split("-"))) if rng.random() < 0.85 else (tag,)
-
     def other(kind: str) -> None:
         names = OTHER_NAMES[kind]
         tag = {"menu": "nav", "header": "header", "footer": "footer", "side": "aside", "form": "form"}.get(kind)
@@ -269,17 +285,30 @@ def training_page(rng: np.random.Generator) -> list[tuple[tuple[str, ...], str,
             else:
                 out.append((path + (() if rng.random() < 0.6 else ("p",)), sentence(1, 25), float(rng.random() < 0.2), 0))
 
+    def container() -> tuple[str, ...]:
+        kind = rng.random()
+        if kind < 0.35:
+            return outer + (("main",) if rng.random() < 0.2 else ()) + ("article",)
+        if kind < 0.6:
+            names = str(rng.choice(MAIN_NAMES)).split("-")
+            return outer + (("main",) if rng.random() < 0.2 else ()) + (str(rng.choice(["div", "section", "main"])), *(f".{w}" for w in names))
+        if kind < 0.8:  # one that nothing names
+            return outer + tuple(str(rng.choice(["div", "div", "div", "section", "main"])) for _ in range(rng.integers(1, 4)))
+        return outer if kind < 0.92 else outer + ("table", "tr", "td")
+
     def main() -> None:
-        path = outer + (("main",) if rng.random() < 0.2 else ())
-        path += rng.choice([0, 1, 2]) and ("article",) or named(MAIN_NAMES, str(rng.choice(["div", "section", "main"])))
-        if len(path) <= len(outer) + 1 and path[-1] in ("div", "section"):
-            path += ("." + str(rng.choice(MAIN_NAMES)).split("-")[0],)
-        if rng.random() < 0.85:
+        path = container()
+        if rng.random() < 0.65:
             out.append((path + (rng.choice(["h1", "h1", "h2"]),), text(1, 14).capitalize() + rng.choice(["", ".", ""]), 0.0, 1))
-        for _ in range(rng.integers(1, 16)):
+        style = rng.random()
+        if style < 0.25:  # sentences parted by line breaks only
+            out.extend((path, " ".join(sentence(5, 30) for _ in range(rng.integers(2, 16))), 0.0, 1) for _ in range(rng.integers(1, 3)))
+            return
+        part = path + (("div",) if style < 0.45 else ("p",))
+        for _ in range(rng.integers(1, 16) if rng.random() < 0.8 else rng.integers(10, 40)):
             kind = rng.random()
             if kind < 0.78:
-                out.append((path + ("p",), sentence(1, 90), 0.0, 1))
+                out.append((part, sentence(1, 90 if rng.random() < 0.6 else 12), 0.0, 1))
             elif kind < 0.84:
                 out.append((path + (rng.choice(["h2", "h3"]),), text(1, 8).capitalize(), 0.0, 1))
             elif kind < 0.92:
@@ -292,28 +321,33 @@ def training_page(rng: np.random.Generator) -> list[tuple[tuple[str, ...], str,
                 names = OTHER_NAMES[str(rng.choice(["advert", "share", "side"]))]
                 out.append((path + ("div", *(f".{w}" for w in str(rng.choice(names)).split("-"))), sentence(1, 12), 1.0, 0))
 
+    before, after = rng.choice([0.0, 0.2, 0.45], 2)  # many pages have nothing but main text and a menu or a footer
     for kind in ("notice", "header", "menu", "form", "advert"):
-        if rng.random() < (0.7 if kind == "menu" else 0.45):
+        if rng.random() < (0.7 if kind == "menu" else before):
             other(kind)
     main()
     for kind in ("share", "advert", "comments", "side", "form", "notice", "footer"):
-        if rng.random() < (0.75 if kind == "footer" else 0.4):
+        if rng.random() < (0.75 if kind == "footer" else after):
             other(kind)
     return out
 
 
 @functools.lru_cache(maxsize=1)
-def trained(pages: int = 700, epochs: int = 8, seed: int = 11) -> list[np.ndarray]:
-    """The labeller, by Adam on the made pages (backpropagation through time)."""
+def trained(pages: int = 1800, epochs: int = 12, seed: int = 11) -> list[np.ndarray]:
+    """The labeller, by Adam on the made pages (backpropagation through time);
+    the running mean of the last hundred steps or so."""
     rng = np.random.default_rng(seed)
     made = [training_page(rng) for _ in range(pages)]
     xs = [block_vectors([(p, t, s) for p, t, s, _ in page]) for page in made]
+    for x in xs:  # the words of some blocks are hidden: real ones are none of these
+        x[rng.random(len(x)) < 0.25, PATH : PATH + WORD] = 0
     ys = [np.array([y for *_, y in page], np.float32) for page in made]
     model = [
         rng.normal(0, s, shape).astype(np.float32)
         for shape, s in (((INPUT, 4 * HIDDEN), 0.1), ((HIDDEN, 4 * HIDDEN), 0.1), ((4 * HIDDEN,), 0), ((INPUT, 4 * HIDDEN), 0.1), ((HIDDEN, 4 * HIDDEN), 0.1), ((4 * HIDDEN,), 0), ((2 * HIDDEN,), 0.1), ((1,), 0))
     ]
-    first, second, step = [np.zeros_like(p) for p in model], [np.zeros_like(p) for p in model], 0
+    first, second, mean = ([np.zeros_like(p) for p in model] for _ in range(3))
+    step = 0
     for epoch in range(epochs):
         for part in np.array_split(rng.permutation(pages), max(1, pages // 24)):
             wf, uf, bf, wb, ub, bb, v, c = model
@@ -325,7 +359,8 @@ def trained(pages: int = 700, epochs: int = 8, seed: int = 11) -> list[np.ndarra
             kf: list = []
             kb: list = []
             h = np.concatenate([_scan(x, mask, wf, uf, bf, kf), _mirror(_scan(r, mask, wb, ub, bb, kb), size)], axis=2)
-            wrong = ((_sigmoid(h @ v + c) - y) * mask / mask.sum()).astype(np.float32)
+            share = mask / np.sqrt(mask.sum(axis=0))  # pages of few blocks count for more than their blocks
+            wrong = ((_sigmoid(h @ v + c) - y) * share / share.sum()).astype(np.float32)
             dh = wrong[:, :, None] * v
             grads = [*_back(dh[:, :, :HIDDEN], x, kf, uf), *_back(_mirror(dh[:, :, HIDDEN:], size), r, kb, ub)]
             grads += [np.einsum("tnh,tn->h", h, wrong), wrong.sum(keepdims=True).reshape(1)]
@@ -333,9 +368,10 @@ def trained(pages: int = 700, epochs: int = 8, seed: int = 11) -> list[np.ndarra
             for k, g in enumerate(grads):
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
-                rate = 0.02 * (1 - epoch / epochs) + 0.001
+                rate = 0.015 * (1 - epoch / epochs) + 0.0005
                 model[k] = model[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-    return [m.astype(np.float32) for m in model]
+                mean[k] = 0.99 * mean[k] + 0.01 * model[k]
+    return [(m / (1 - 0.99**step)).astype(np.float32) for m in mean]
 
 
 # -------------------------------------------------------------------- pages
