@@ -75,10 +75,11 @@ def q_scan_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scan_csv_records(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents, newlines and all, written to one CSV file and read by many tasks."""
+    """All documents, newlines and all, written to CSV, a file a partition, and read by
+    many tasks, several to a file where it is large."""
     docs = S.table(spark, sf, "documents")
     path = scratch_path(spark, "scan_csv_records")
-    write_csv(docs.coalesce(1), path)
+    write_csv(docs, path)
     return read_csv_records(spark, path, docs.schema)
 
 
