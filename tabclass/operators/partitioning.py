@@ -5,9 +5,13 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabclass.sources.leases import leased_checkpoint, leased_table
 
+#: Rows that a partition of a spread table has at least, and at most.
+LEAST_ROWS, MOST_ROWS = 5_000, 500_000
+
 
 def repartition_rows(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     """``repartition(n)`` (round robin) or by keys, into one partition or more."""
@@ -35,6 +39,26 @@ def balance_partitions(df: DataFrame, min_partitions: int | None = None) -> Data
     return df.repartition(target)
 
 
+def spread_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows evenly, if a few partitions hold most of them, so that steps that
+    walk all rows many times (fits) use the whole cluster.
+
+    A compressed table of some MB comes as one or two row groups, however many rows
+    and cores there are.  Counted are rows, not partitions, since a scan may have
+    empty ones.  ``partitions`` (default: the cluster's default parallelism) is the
+    least number; none holds more than MOST_ROWS.  Small tables (LEAST_ROWS a
+    partition) and even ones are returned untouched.  Rows go to the same partitions
+    in the same order each time, which what samples by partition depends on.
+    """
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("at")).count().collect()]
+    rows = sum(counts)
+    target = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = max(min(target, rows // LEAST_ROWS), -(-rows // MOST_ROWS))
+    if n <= 1 or max(counts) * n <= 2 * rows:
+        return df
+    return df.repartition(n).sortWithinPartitions(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def set_shuffle_partitions(spark: SparkSession, partitions: int) -> None:
     if partitions < 1:
         raise ValueError(f"a shuffle needs one partition or more, not {partitions}")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tabclass.operators.columns import infer_column_roles
 from tabclass.operators.features import FEATURES_COL, LABEL_COL, build_features
-from tabclass.operators.partitioning import materialize, repartition_rows
+from tabclass.operators.partitioning import materialize, repartition_rows, spread_rows
 from tabclass.operators.split import (
     DEFAULT_SEED,
     DEFAULT_TRAIN_RATIO,
@@ -138,6 +138,8 @@ def prepare(spark: SparkSession, ds: ExperimentDataset, cfg: RunConfig) -> tuple
     if cfg.partitions is not None:
         # After the projection: the shuffle carries only the columns the model uses.
         df = repartition_rows(df, cfg.partitions)
+    else:
+        df = spread_rows(df)
     split_keys = keys or used  # no id column: the whole (used) row is the key
     if cfg.split_method == "random" and cfg.fit_scope == "train":
         raise ValueError("fit_scope='train' needs a hash or stratified split")

@@ -31,7 +31,7 @@ from tabclass.operators.features import (
     with_feature_array,
 )
 from tabclass.operators.accounting import RowAccount, account_frame
-from tabclass.operators.partitioning import repartition_rows
+from tabclass.operators.partitioning import repartition_rows, spread_rows
 from tabclass.operators.profile import profile_table, sample_rows, schema_frame
 from tabclass.operators.quantiles import TERCILE_LABELS, approx_quantiles, bin_by_cut_points, exact_quantiles
 from tabclass.operators.quantile_sketch import merge_sketches, quantile_sketches, sketch_quantiles
@@ -414,7 +414,8 @@ def q_stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------- models
 def _salary_train_test(spark: SparkSession, sf: str):
-    feats, _ = _salary_features(spark, sf)
+    rec = spread_rows(hash_split(S.recipe_salary(spark, sf), [S.SALARY_KEY]))
+    feats, _ = build_features(rec, S.SALARY.target, exclude=[S.SALARY_KEY, "split"])
     table = feats.select(S.SALARY_KEY, "label", FEATURES_COL, "split")
     return split_frames(table)
 
