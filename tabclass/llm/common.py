@@ -18,6 +18,9 @@ FILTER_BITS = 24
 #: texts for every task, so this bounds their memory; it changes no result.
 BATCH_ROWS = 1000
 
+#: Share of its largest heap that the driver may hold before garbage is collected.
+HEAP_SHARE = 0.5
+
 _BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -49,6 +52,20 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP_KEY, before)
 
 
+def collect_garbage(spark: SparkSession) -> bool:
+    """Have the driver drop what the jobs so far left behind (plans, task binaries,
+    broadcast blocks), if its heap has grown past HEAP_SHARE of what it may take.
+
+    A job of many tasks leaves much garbage and little else; left alone, the heap
+    grows to its limit before any of it goes.  Changes no result.
+    """
+    heap = spark.sparkContext._jvm.Runtime.getRuntime()
+    full = heap.totalMemory() > HEAP_SHARE * heap.maxMemory()
+    if full:
+        spark.sparkContext._jvm.System.gc()
+    return full
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the cluster's shared checkpoint folder and reread it:
     lineage is cut, a lost executor costs no recomputation, and the shuffle files
@@ -57,6 +74,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with small_batches(spark), _shuffles_dropped(spark):
         df.write.parquet(path)
+    collect_garbage(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
