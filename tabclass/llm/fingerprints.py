@@ -9,13 +9,14 @@ bands of the signature in Spark and verify the Jaccard similarity of what meets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabclass.llm.common import discard, pick, saved
+from tabclass.llm.common import discard, hash_filter, maybe_in, pick, saved
 from tabclass.llm.components import connected_components
 from tabclass.llm.shingles import distinct_by_row, text_chunks, text_shingles
 
@@ -23,11 +24,17 @@ WORDS = 5
 PERMUTATIONS = 64
 BANDS = 16
 SIMILAR = 0.75
+#: 64-bit words of a class's shingle parities; they save comparing, never a link.
+PARITY_WORDS = 16
+#: Members of a bucket with which members of other parts are compared in the second
+#: round, and members of a large bucket that one task compares.
+HUBS, BLOCK = 2, 1024
 #: Documents of one stretch of the id order, and stretches at most.
 STRETCH, STRETCHES = 4096, 20_000
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PARITY_STEP = np.uint64(0x9E3779B97F4A7C15)
 _ADD = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
 EMPTY = np.full(PERMUTATIONS, 0xFFFFFFFF, dtype=np.uint32)
 
@@ -138,39 +145,70 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.drop("near_class") if classes is None else found
 
 
+def parities(value: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
+    """Rows x PARITY_WORDS (int64): bit i is the parity of the number of a row's
+    distinct shingles that hash to i.
+
+    A shingle that one of two sets has and the other hasn't flips one bit, so two
+    sets differ by at least as many shingles as their parities differ in bits.
+    """
+    bits = PARITY_WORDS * 64
+    at = row.astype(np.int64) * bits + ((value * _PARITY_STEP) >> np.uint64(40)).astype(np.int64) % bits
+    odd = (np.bincount(at, minlength=n_rows * bits) & 1).astype(np.uint8).reshape(n_rows, bits)
+    return np.packbits(odd, axis=1).view(np.int64)
+
+
+def _may_link(m: str, n: str, x: str, y: str, similar: float) -> Column:
+    """Whether classes of ``m`` and ``n`` shingles with parities ``x`` and ``y`` can be
+    ``similar``: sets of that Jaccard similarity J differ by at most
+    (1 - J) / (1 + J) of the sum of their sizes.  No similar pair is lost."""
+    differ = [F.bit_count(F.col(f"{x}.p{i}").bitwiseXOR(F.col(f"{y}.p{i}"))) for i in range(PARITY_WORDS)]
+    sizes = F.least(m, n) / F.greatest(m, n) >= similar
+    return sizes & (sum(differ[1:], differ[0]) <= (F.col(m) + F.col(n)) * ((1 - similar) / (1 + similar)) + 1e-6)
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text, h) of the rows with an id and with words, and (h, rep, sig,
-    size) of each of their texts, by its hash, with the smallest id and the number
-    of distinct shingles."""
+    size, odd) of each of their texts, by its hash, with the smallest id, the number
+    of distinct shingles and their parities."""
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     rows = rows.where(F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).withColumn("h", F.xxhash64("text"))
+    fields = [f"p{i}" for i in range(PARITY_WORDS)]
 
-    @F.arrow_udf("struct<sig: binary, size: int>")
+    @F.arrow_udf(f"struct<sig: binary, size: int, odd: struct<{', '.join(f'{f}: bigint' for f in fields)}>>")
     def measure(column: pa.Array) -> pa.Array:
-        sigs, sizes = [], []
+        sigs, sizes, odd = [], [], [np.zeros((0, PARITY_WORDS), np.int64)]
         for _, data, offsets in text_chunks(column):
             sigs += [r.tobytes() for r in signatures(data, offsets)]
-            sizes.append(np.bincount(distinct_by_row(*text_shingles(data, offsets, WORDS))[1], minlength=len(offsets) - 1))
-        return pa.StructArray.from_arrays([pa.array(sigs, pa.binary()), pa.array(np.concatenate([*sizes, []]).astype(np.int32))], ["sig", "size"])
+            value, row = distinct_by_row(*text_shingles(data, offsets, WORDS))
+            sizes.append(np.bincount(row, minlength=len(offsets) - 1))
+            odd.append(parities(value, row, len(offsets) - 1))
+        words = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(w)) for w in np.concatenate(odd).T], fields)
+        return pa.StructArray.from_arrays([pa.array(sigs, pa.binary()), pa.array(np.concatenate([*sizes, []]).astype(np.int32)), words], ["sig", "size", "odd"])
 
     signed = rows.select("doc_id", "h", measure("text").alias("m"))
-    signed = signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.min("m.sig").alias("sig"), F.min("m.size").alias("size"))
-    return rows, saved(signed, "near-classes")
+    signed = signed.groupBy("h").agg(F.min("doc_id").alias("rep"), F.min("m").alias("m"))
+    return rows, saved(signed.select("h", "rep", "m.sig", "m.size", "m.odd"), "near-classes")
 
 
-def _alike_in_size(pairs: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
-    """Those ``pairs(x, y)`` whose numbers of shingles allow them to be ``similar``;
-    no similar pair is lost."""
-    size = classes.select(F.col("h").alias("x"), F.col("size").alias("m"))
-    both = pairs.join(size, "x").join(size.toDF("y", "n"), "y")
-    return both.where(F.least("m", "n") / F.greatest("m", "n") >= similar).select("x", "y")
+def _possible(pairs: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
+    """Those ``pairs(x, y)`` whose sizes and parities allow them to be ``similar``."""
+    known = classes.select(F.col("h").alias("x"), F.col("size").alias("m"), F.col("odd").alias("xo"))
+    both = pairs.join(known, "x").join(known.toDF("y", "n", "yo"), "y")
+    return both.where(_may_link("m", "n", "xo", "yo", similar)).select("x", "y")
 
 
-def _similar(pairs: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
+def _similar(pairs: DataFrame, rows: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
     """(x, y, jaccard) of those ``pairs(x, y)`` of text hashes whose shingle sets
-    are ``similar``."""
+    are ``similar``.
+
+    Of each text only the row with the smallest id is moved, and nearly none of a text
+    in no pair: a fixed-size filter is asked before the exact join.
+    """
     chosen = pairs.select(F.explode(F.array("x", "y")).alias("h")).distinct()
-    texts = saved(rows.join(chosen, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text")), "near-texts")
+    chosen = saved(chosen.join(classes.select("h", F.col("rep").alias("doc_id")), "h"), "near-chosen")
+    near = rows.where(maybe_in(hash_filter(chosen.select(F.xxhash64("doc_id"))), F.col("doc_id")))
+    texts = saved(near.join(chosen, ["h", "doc_id"], "left_semi").groupBy("h").agg(F.min("text").alias("text")), "near-texts")
     both = pairs.join(texts.select(F.col("h").alias("x"), F.col("text").alias("xt")), "x").join(texts.select(F.col("h").alias("y"), F.col("text").alias("yt")), "y")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,10 +224,19 @@ def _similar(pairs: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(jaccard)], names=["x", "y", "jaccard"]).filter(good)
 
     out = saved(both.select("x", "y", "xt", "yt").mapInArrow(verify, "x long, y long, jaccard double"), "near-links")
-    discard(texts)
+    discard(texts, chosen)
     return out
 
 
+def _parted(posted: DataFrame, links: DataFrame) -> DataFrame:
+    """(band, key, h, part) of the members of buckets that ``links(x, y)`` leave in
+    several parts."""
+    parts = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-parts").withColumnRenamed("node", "h")
+    member = posted.join(parts, "h", "left").select("band", "key", "h", F.coalesce("component", "h").alias("part"))
+    split = member.groupBy("band", "key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return saved(member.join(split.select("band", "key"), ["band", "key"], "left_semi"), "near-members")
+
+
 def _links(classes: DataFrame, rows: DataFrame, similar: float) -> tuple[DataFrame, list[DataFrame]]:
     """(x, y, jaccard) of verified pairs of text hashes, with the same connected
     components as all pairs that agree in a whole band and are ``similar``; and
@@ -197,7 +244,9 @@ def _links(classes: DataFrame, rows: DataFrame, similar: float) -> tuple[DataFra
 
     Every bucket of a band is first a star around its hubs, so a group of n
     near-copies gives about 2 n pairs a band and not n squared.  Members that this
-    leaves in different components are then compared with one another.
+    leaves in different parts are then compared with HUBS other members of each
+    bucket, which differ from band to band; and those that are still apart with all
+    members of other parts whose sizes and parities allow a link.
     """
     width = 4 * PERMUTATIONS // BANDS
     bands = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.substring("sig", i * width + 1, width)).alias("key")) for i in range(BANDS)])
@@ -206,25 +255,46 @@ def _links(classes: DataFrame, rows: DataFrame, similar: float) -> tuple[DataFra
     posted = saved(posted.join(hubs, ["band", "key"]), "near-buckets")
     star = posted.select("h", F.explode("hubs").alias("hub")).where("h <> hub")
     pair = [F.least("h", "hub").alias("x"), F.greatest("h", "hub").alias("y")]
-    compared = saved(_alike_in_size(star.select(*pair).distinct(), classes, similar), "near-candidates")
-    links = _similar(compared, rows, similar)
-
-    parts = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-parts").withColumnRenamed("node", "h")
-    member = posted.join(parts, "h", "left").select("band", "key", "h", F.coalesce("component", "h").alias("part"))
-    whole = saved(member, "near-members")
+    compared = saved(_possible(star.select(*pair).distinct(), classes, similar), "near-candidates")
+    made = [_similar(compared, rows, classes, similar)]
+    member = _parted(posted, made[0])
     discard(posted)
-    member = whole
-    split = member.groupBy("band", "key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band", "key")
-    member = member.join(split, ["band", "key"], "left_semi")
-    part = member.select("band", "key", "part").distinct()
-    # Parts are paired before their members, so members of one part never meet.
-    apart = part.withColumnRenamed("part", "p").join(part.withColumnRenamed("part", "q"), ["band", "key"]).where("p < q")
-    left, right = (member.select("band", "key", F.col("part").alias(c), F.col("h").alias(n)) for c, n in (("p", "h"), ("q", "hub")))
-    rest = apart.join(left, ["band", "key", "p"]).join(right, ["band", "key", "q"]).select(*pair).distinct()
-    rest = saved(_alike_in_size(rest, classes, similar).join(compared, ["x", "y"], "left_anti"), "near-candidates")
-    more = _similar(rest, rows, similar)
-    discard(compared, whole, rest)
-    return links.unionByName(more), [links, more]
+    read = [compared, member]
+
+    place = [F.xxhash64("h", "band", F.lit(i)) for i in range(HUBS)]
+    others = member.groupBy("band", "key").agg(F.array(*[F.min(F.struct(p.alias("order"), F.col("h").alias("hub"), F.col("part").alias("p"))) for p in place]).alias("hubs"))
+    star = member.join(others, ["band", "key"]).select("h", "part", F.explode(F.array_distinct("hubs")).alias("o")).select("h", "part", "o.hub", "o.p").where("part <> p")
+    again = saved(_possible(star.select(*pair).distinct().join(compared, ["x", "y"], "left_anti"), classes, similar), "near-candidates")
+    read.append(again)
+    if not again.isEmpty():
+        made.append(_similar(again, rows, classes, similar))
+        if not made[1].isEmpty():
+            member = _parted(member.select("band", "key", "h"), made[0].unionByName(made[1]))
+            read.append(member)
+
+    rest = saved(_apart(member, classes, similar).join(compared.union(again), ["x", "y"], "left_anti"), "near-candidates")
+    if not rest.isEmpty():
+        made.append(_similar(rest, rows, classes, similar))
+    discard(*read, rest)
+    return reduce(DataFrame.unionByName, made), made
+
+
+def _apart(member: DataFrame, classes: DataFrame, similar: float) -> DataFrame:
+    """(x, y) of ``member(band, key, h, part)`` that share a bucket, are of different
+    parts and may be ``similar``.
+
+    Only the members outside a bucket's largest part look for partners.  A large
+    bucket is dealt out in blocks of about BLOCK members, which they all visit; what
+    the join makes is only the pairs that sizes and parities allow.
+    """
+    sizes = member.groupBy("band", "key", "part").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.sum("n").alias("n"))
+    largest = largest.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    known = member.join(classes.select("h", "size", "odd"), "h").join(largest.select("band", "key", "main", "blocks"), ["band", "key"])
+    every = known.select("band", "key", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int").alias("block"), F.col("h").alias("y"), F.col("part").alias("q"), F.col("size").alias("n"), F.col("odd").alias("yo"), (F.col("part") != F.col("main")).alias("minor"))
+    small = known.where("part <> main").select("band", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("h").alias("x"), F.col("part").alias("p"), F.col("size").alias("m"), F.col("odd").alias("xo"))
+    found = small.join(every, ["band", "key", "block"]).where((F.expr("p <> q AND (NOT minor OR x < y)")) & _may_link("m", "n", "xo", "yo", similar))
+    return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tabclass.llm import fingerprints as fingerprints_module
 from tabclass.llm import html_text, pii
 from tabclass.llm import language_id as language_id_module
 from tabclass.llm.decontaminate import leaks
@@ -22,6 +23,7 @@ from tabclass.llm.mix import fill, mix
 from tabclass.llm.quality import features, hash_bar, scored
 from tabclass.llm.quality import train as train_quality
 from tabclass.llm.secret_scan import discoveries, secret_scan
+from tabclass.llm.shingles import text_chunks, text_shingles
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
 
@@ -359,6 +361,61 @@ def test_false_hubs_hide_no_near_pair(spark):
     assert found[1000] == found[1001] == found[1002] and found[903] == 903 and None not in found
 
 
+def test_parities_bound_the_difference_of_sets():
+    rng = random.Random(3)
+    base = prose(31, 300).split()
+    texts = [" ".join(base)]
+    for n in (0, 1, 5, 40, 200):
+        w = list(base)
+        for _ in range(n):
+            w[rng.randrange(len(w))] = "edit" + str(rng.randrange(9999))
+        texts.append(" ".join(w))
+    ((_, data, offsets),) = text_chunks(pa.array([*texts, None, "two words"]))
+    value, row = text_shingles(data, offsets, 5)
+    odd = fingerprints_module.parities(value, row, len(offsets) - 1)
+    bits = np.unpackbits(odd.view(np.uint8), axis=1)
+    sets = [set(value[row == i].tolist()) for i in range(len(offsets) - 1)]
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        assert (bits[i] != bits[j]).sum() <= len(sets[i] ^ sets[j])
+    assert (bits[0] != bits[1]).sum() == 0 and (bits[0] != bits[5]).sum() > 300
+
+
+def test_pairs_that_cannot_link_are_not_compared(spark, monkeypatch):
+    """One class of near-copies, and texts that share much with it, but too little."""
+    core = prose(500, 200).split()
+    rows = [(i, " ".join(core + [f"end{i}"])) for i in range(1, 61)]
+    rows += [(i, " ".join(core[:110] + prose(1000 + i, 90).split())) for i in range(100, 160)]
+    sets = {i: shingles(t) for i, t in rows}
+    alike = {(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b])}
+    compared, inner = [], fingerprints_module._similar
+    monkeypatch.setattr(fingerprints_module, "_similar", lambda pairs, *a: compared.append(pairs.count()) or inner(pairs, *a))
+    found = {r.doc_id: r.near_class for r in near_classes(docs(spark, rows)).collect()}
+    assert all(found[i] == 1 for i in range(1, 61)) and all(found[i] == i for i in range(100, 160))
+    assert not any(b >= 100 for _, b in alike) and sum(compared) < 3 * 60
+
+
+def test_late_links_between_parts_of_a_bucket_are_found(spark, monkeypatch):
+    """Chains of near-copies of which only neighbours link, against brute force."""
+    rng = random.Random(8)
+    monkeypatch.setattr(fingerprints_module, "BLOCK", 4)
+    rows = []
+    for chain in range(6):
+        w = prose(40 + chain, 120).split()
+        for step in range(12):
+            rows.append((rng.randrange(10**6), " ".join(w)))
+            for _ in range(3):
+                w[rng.randrange(len(w))] = f"c{chain}s{step}r{rng.randrange(99)}"
+    sets = {i: shingles(t) for i, t in rows}
+    sigs = {i: np.frombuffer(bytes.fromhex(r), np.uint32).reshape(16, 4) for i, r in fingerprints(docs(spark, rows)).select("doc_id", "fingerprint").collect()}
+    least = {i: i for i in sets}
+    for _ in sets:
+        for a, b in itertools.combinations(sets, 2):
+            if least[a] != least[b] and (sigs[a] == sigs[b]).all(axis=1).any() and len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b]):
+                low, high = sorted((least[a], least[b]))
+                least = {k: low if v == high else v for k, v in least.items()}
+    assert {r.doc_id: r.near_class for r in near_classes(docs(spark, rows)).collect()} == least
+
+
 def test_fingerprints_carry_the_classes(spark):
     rows = [(i * 3, prose(i % 7, 40)) for i in range(30)] + [(3, "another text of id three"), (6, prose(6, 40)), (None, prose(2, 40)), *ODD]
     d = docs(spark, rows)
